@@ -54,7 +54,8 @@ def argmax_rows_window(
     best = counted.withColumn("_place", place).filter("_place = 1")
     # A count can be large: cut it into batches, spread those, and write out each batch where it is.
     batch = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _COPIES)))
-    batches = best.select("*", batch.alias("_batch")).repartition()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    batches = best.select("*", batch.alias("_batch")).repartition(tasks)
     size = F.least(F.lit(_COPIES), F.col("_n") - F.col("_batch") * _COPIES)
     copies = batches.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy"))
     return copies.select(entity, *keep, top)
