@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,11 @@ def normalise_key(key: Column | str) -> Column:
     return F.regexp_replace(F.translate(key, "-()", "_"), r"\s+", "_")
 
 
+def all_present(names: Sequence[str]) -> Column:
+    """All named columns are not NULL, in the form that reaches the Parquet scan."""
+    return reduce(lambda left, right: left & right, [F.col(name).isNotNull() for name in names])
+
+
 def trend_sentence(
     change: Column, years: Column, label: Column, unit: Column, group: Column | None = None
 ) -> Column:

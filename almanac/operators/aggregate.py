@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanac.functions.columns import all_present
 from almanac.spec import Measure
 
 _LOW_BITS = 20
@@ -73,7 +74,7 @@ def as_means(totals: DataFrame, keys: Sequence[str], measures: Sequence[Measure]
 
 def means(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Means of all measures per key. Rows with a NULL key belong to no group."""
-    keyed = df.dropna(subset=list(keys))
+    keyed = df.filter(all_present(keys))
     return as_means(period_totals(keyed, keys, measures), keys, measures)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import lookup, trend_sentence
+from almanac.functions.columns import all_present, lookup, trend_sentence
 from almanac.spec import Measure
 
 
@@ -33,7 +33,7 @@ def deltas(
         *[F.lead(f"{m.name}_avg").over(following).alias(f"_next_{m.name}") for m in measures],
     )
     if drop_last:
-        leads = leads.dropna(subset=[f"_next_{m.name}" for m in measures])
+        leads = leads.filter(all_present([f"_next_{m.name}" for m in measures]))
     changes = [(F.col(f"_next_{m.name}") - F.col(f"{m.name}_avg")).alias(m.name) for m in measures]
     return leads.select(*by, period, *keep, *changes)
 

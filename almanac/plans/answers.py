@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import with_season
+from almanac.functions.columns import all_present, with_season
 from almanac.operators.aggregate import (
     as_means,
     first_seen,
@@ -88,7 +88,7 @@ def trend_of_totals(totals: DataFrame, spec: ObservationSpec, by_season: bool =
     nth_year = F.dense_rank().over(Window.orderBy(spec.year))
     averages = as_means(totals.withColumn("years", nth_year), [*keys, "years"], spec.measures)
     averages = averages.withColumn("years", F.max("years").over(Window.partitionBy()))
-    changes = deltas(averages.dropna(subset=keys), spec.measures, by, spec.year, keep=["years"])
+    changes = deltas(averages.filter(all_present(keys)), spec.measures, by, spec.year, keep=["years"])
     years = F.coalesce(F.max("years"), F.lit(0)).alias("years")
     summed = trend_totals(changes, spec.measures, by, [years])
     return trend_text(summed, spec.measures, by="season" if by_season else None)
@@ -134,7 +134,7 @@ def write_answers(
         rows = argmax_rows(observations, m, [year], entity, maxima=entities)
         write_csv(rows, f"{out}/Q4d/Max{m.capitalize()}Year")
 
-    of_month = totals.filter(F.col(spec.month) == month).dropna(subset=[year])
+    of_month = totals.filter(F.col(spec.month) == month).filter(all_present([year]))
     averages = as_means(roll_up(of_month, [year], spec.measures), [year], spec.measures)
     write_csv(averages, f"{out}/Q4e/MayAverages")
     write_csv(best_worst(averages, year, order), f"{out}/Q4e/BestWorstYear")
