@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.sources.shared import use_checkpoints
+from almanac.sources.shared import materialise
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -36,14 +36,12 @@ def rank_global(df: DataFrame, order: Order, name: str = "rank") -> DataFrame:
 
     An unpartitioned ``row_number`` would sort the table in one task. Here Spark range-partitions and
     sorts it by all order columns, so many rows with the same first column spread over tasks too. The
-    sorted table is checkpointed, which fixes each row's place; a row's rank is its place in its
-    partition plus the sizes of the partitions before. The table of sizes has one row per partition.
-    This operator runs one job, for the checkpoint.
+    sorted table is written to the shared folder, which fixes each row's place; a row's rank is its
+    place in its partition plus the sizes of the partitions before. The table of sizes has one row per
+    sorted partition, so it can be broadcast. This operator runs one job, for the sorted table.
     """
-    use_checkpoints(df.sparkSession)
-    placed = (
-        df.orderBy(*ordering(order)).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    )
+    in_order = df.orderBy(*ordering(order))
+    placed = materialise(in_order.withColumn("_id", F.monotonically_increasing_id()), "ranked")
     part = F.shiftright("_id", _ROW_BITS)
     row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,9 @@ cleaning job did, and exists to reproduce that job's results.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +20,11 @@ from almanac.spec import STATION_REPORT, ObservationSpec
 MISSING = "---"
 PROVISIONAL = "Provisional"
 MARKS = "*#$"
+BLANKS = " \t\r\f\v"
 NUMBER = r"-?\d+(?:\.\d+)?"
 
 # What the older job removed from a line, and the line starts it skipped.
-LEGACY_WORD = "provisional"
+LEGACY_REMOVED = ("-", "provisional", "#", "*")
 LEGACY_SKIPPED = (
     "Location",
     "Estimated",
@@ -53,8 +57,9 @@ def read_lines(
         # A file's first block is read by one task from top to bottom.
         titles = (
             lines.filter("_start = 0")
+            .withColumn("_row", F.monotonically_increasing_id())
             .groupBy("_file")
-            .agg(F.min_by("value", F.monotonically_increasing_id()).alias("value"))
+            .agg(F.min_by("value", "_row").alias("value"))
         )
         lines = lines.join(titles, ["_file", "value"], "left_anti")
     return lines.select(entity, "value")
@@ -65,13 +70,14 @@ def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Dat
     value = F.col("value")
     measure = rf"\s+(?:{NUMBER}|{MISSING})[{MARKS}]*"
     form = rf"^\s*\d{{4}}\s+\d{{1,2}}(?:{measure}){{{len(spec.measures)}}}[{MARKS}\s]*(?:{PROVISIONAL})?\s*$"
-    plain = F.trim(F.translate(value, "\t\r\f\v" + MARKS, "    "))
-    tokens = lines.filter(value.rlike(form)).select(spec.entity, F.split(plain, " +").alias("token"))
+    # In such a line, marks stand only between values, so they separate them as blanks do.
+    token = F.split(F.btrim(value, F.lit(BLANKS)), rf"[{MARKS}\s]+")
+    tokens = lines.filter(value.rlike(form)).select(spec.entity, token.alias("token"))
     names = [spec.year, spec.month, *spec.measure_names]
     texts = tokens.select(
         spec.entity,
         *[F.get("token", F.lit(i)).alias(name) for i, name in enumerate(names)],
-        (F.size("token") > len(names)).alias("provisional"),
+        F.get("token", F.lit(len(names))).eqNullSafe(PROVISIONAL).alias("provisional"),
     )
     return cast_columns(texts, [c for c in spec.columns if c[0] in names])
 
@@ -83,14 +89,15 @@ def parse_legacy(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Da
     split at blanks, and kept what had the right number of tokens. Rows with missing values are
     therefore dropped, and a provisional row with one missing value shifts to the left.
     """
-    skipped = "^(?:" + "|".join(LEGACY_SKIPPED) + ")"
+    skipped = reduce(or_, [F.startswith("value", F.lit(start)) for start in LEGACY_SKIPPED])
     line = F.concat(F.col(spec.entity), F.lit(" "), "value")
-    line = F.replace(F.translate(line, "-", ""), F.lit(LEGACY_WORD), F.lit(""))
-    line = F.regexp_replace(F.translate(line, "#*", ""), r"\s+$", "")
+    for removed in LEGACY_REMOVED:
+        line = F.replace(line, F.lit(removed), F.lit(""))
+    token = F.split(F.rtrim(line, F.lit(BLANKS)), r"\s+")
     names = [spec.entity, spec.year, spec.month, *spec.measure_names]
     tokens = (
-        lines.filter(~F.col("value").rlike(skipped))
-        .select(F.split(line, r"\s+").alias("token"))
+        lines.filter(~skipped)
+        .select(token.alias("token"))
         .filter(F.size("token") == len(names))
     )
     texts = tokens.select(*[F.get("token", F.lit(i)).alias(name) for i, name in enumerate(names)])

@@ -1,0 +1,86 @@
+import random
+from collections import Counter
+
+import pytest
+
+from almanac.operators import argmax_rows, argmax_rows_window, extremes, max_by_entity
+from tests.conftest import plan, rows
+
+FORMS = [argmax_rows, argmax_rows_window]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_ties_duplicates_and_nulls(spark, form):
+    data = [
+        ("a", 1978, 99.9), ("a", 1978, 99.9), ("a", 2009, 99.9), ("a", 1990, 1.0), ("a", 1991, None),
+        ("b", 1980, None), (None, 1980, 5.0), ("c", None, 2.0),
+    ]
+    df = spark.createDataFrame(data, "station string, year int, rain double")
+    found = form(df, "rain")
+    assert found.columns == ["station", "year", "max_rain"]
+    assert rows(found) == [("a", 1978, 99.9), ("a", 1978, 99.9), ("a", 2009, 99.9), ("c", None, 2.0)]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_strings_compare_as_strings(spark, form):
+    data = [("a", 2018, "Provisional"), ("a", 2017, "99.9$"), ("b", 2001, "242.2"), ("b", 2002, "99.9")]
+    df = spark.createDataFrame(data, "station string, year int, sun string")
+    assert rows(form(df, "sun")) == [("a", 2018, "Provisional"), ("b", 2002, "99.9")]
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_equals_brute_force_with_a_hot_entity(spark, conf, monkeypatch, form, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    monkeypatch.setattr(extremes, "_COPIES", 100)
+    rng = random.Random(11)
+    data = [
+        (rng.choice([0, 0, 0, *range(1, 7)]), rng.randint(1990, 1993), rng.choice([None, 1.0, 2.0, 3.0]))
+        for _ in range(6000)
+    ]
+    tops = {}
+    for station, _, x in data:
+        if x is not None:
+            tops[station] = max(x, tops.get(station, x))
+    expected = Counter((s, y, x) for s, y, x in data if x is not None and x == tops[s])
+    df = spark.createDataFrame(data, "station int, year int, x double").repartition(6)
+    assert Counter(tuple(r) for r in form(df, "x").collect()) == expected
+
+
+def test_counts_at_the_edge_of_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(extremes, "_COPIES", 10)
+    for n in (1, 9, 10, 11, 20, 21):
+        df = spark.range(n).selectExpr("'a' station", "1990 year", "1.0D x")
+        assert argmax_rows_window(df, "x").count() == n
+
+
+def test_small_maxima_are_broadcast_and_large_ones_are_not(spark, conf):
+    df = spark.range(0, 5000, 1, 4).selectExpr("id % 10 station", "1990 year", "id * 1.0D x", "'pad' other")
+    assert "BroadcastHashJoin" in plan(argmax_rows(df, "x"))
+    conf("spark.sql.autoBroadcastJoinThreshold", "100b")
+    text = plan(argmax_rows(df, "x"))
+    assert "SortMergeJoin" in text
+    assert "Broadcast" not in text
+
+
+def test_a_hot_entity_at_its_maximum_is_split(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    hot = spark.range(0, 40_000, 1, 8).selectExpr("0L station", "cast(id % 50 as int) year", "7.0D x")
+    cold = spark.range(0, 1000, 1, 8).selectExpr("1 + id % 100 station", "1990 year", "id * 1.0D x")
+    found = argmax_rows(hot.unionByName(cold), "x")
+    assert "skew=true" in plan(found)
+    assert found.count() == 40_100
+
+
+def test_maxima_can_be_shared(spark):
+    df = spark.createDataFrame([("a", 1, 2.0, 9.0), ("a", 2, 3.0, 8.0)], "station string, year int, x double, y double")
+    maxima = max_by_entity(df, ["x", "y"])
+    assert rows(argmax_rows(df, "x", maxima=maxima)) == [("a", 2, 3.0)]
+    assert rows(argmax_rows(df, "y", maxima=maxima)) == [("a", 1, 9.0)]
+
+
+def test_the_window_is_limited_before_its_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 station", "1990 year", "id % 5 x")
+    assert plan(argmax_rows_window(df, "x")).count("WindowGroupLimit") == 2
