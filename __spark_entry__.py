@@ -77,15 +77,16 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sun = F.when(F.col("l_discount") == 0, F.concat(F.lit("---"), detached)).otherwise(
         F.concat(text(F.col("l_discount")), mark)
     )
-    data = item.select(
-        F.concat(F.lit("S-"), "l_suppkey").alias("station"),
-        F.concat(
-            F.lit("   "), F.year("l_shipdate"), F.lit("  "), F.month("l_shipdate"),
-            F.lit("   "), text(F.col("l_quantity")), F.lit("    "), tmin,
-            F.lit("      "), "l_linenumber", F.lit("   "), text(F.col("l_extendedprice")), mark,
-            F.lit("    "), sun, F.when(F.col("l_linestatus") == "O", "  Provisional").otherwise(""),
-        ).alias("value"),
+    line = F.concat(
+        F.lit("   "), F.year("l_shipdate"), F.lit("  "), F.month("l_shipdate"),
+        F.lit("   "), text(F.col("l_quantity")), F.lit("    "), tmin,
+        F.lit("      "), "l_linenumber", F.lit("   "), text(F.col("l_extendedprice")), mark,
+        F.lit("    "), sun, F.when(F.col("l_linestatus") == "O", "  Provisional").otherwise(""),
     )
+    # explode makes the line a column that is rendered once, as if it had been read.
+    data = item.select(
+        F.concat(F.lit("S-"), "l_suppkey").alias("station"), F.explode(F.array(line)).alias("value")
+    )
     others = [
         F.col("s_name"),
         F.lit("Location 162700E 40700N, Lat 50.218 Lon -5.327, 87m amsl"),

@@ -34,18 +34,31 @@ BEST_MONTH = (
 )
 MAY = 5
 
+# Where each answer is written; {} stands for a capitalised measure.
+OLDEST = "Q4a/OldestStation"
+HIGHEST = "Q4b/Max{}Station"
+YEARLY_TREND = "Q4c/YearlyTrend"
+SEASONAL_TREND = "Q4c/SeasonalTrend"
+EXTREME_ROWS = "Q4d/Max{}Year"
+MONTH_MEANS = "Q4e/MayAverages"
+BEST_AND_WORST = "Q4e/BestWorstYear"
+
 
 def ingest(
     spark: SparkSession, source: str, root: str, spec: ObservationSpec = STATION_REPORT, mode: str = "strict"
 ) -> None:
-    """Clean all files of a directory and store them by entity, in one job."""
+    """Clean all files of a directory and store them by entity, without a shuffle.
+
+    A file holds one entity, and large files are read by several tasks, so rows are written where they
+    are read.
+    """
     if mode == "strict":
         observations = parse_lines(read_lines(spark, source, spec.entity), spec)
     elif mode == "legacy":
         observations = parse_legacy(read_lines(spark, source, spec.entity, drop_titles=True), spec)
     else:
         raise ValueError(f"mode must be strict or legacy, not {mode!r}")
-    write_observations(observations, root, [spec.entity])
+    write_observations(observations, root, [spec.entity], gather=False)
 
 
 def rank_first_seen(df: DataFrame, entity: str = "station", period: str = "year") -> DataFrame:
@@ -117,24 +130,24 @@ def write_answers(
     )
 
     oldest = rank_global(entities.select(entity, "min_year"), [("min_year", "asc"), (entity, "asc")])
-    write_csv(oldest, f"{out}/Q4a/OldestStation")
+    write_csv(oldest, f"{out}/{OLDEST}")
 
     for m in extremes:
         highest = entities.select(entity, f"max_{m}")
         ranked = rank_global(highest, [(f"max_{m}", "desc"), (entity, "asc")])
-        write_csv(ranked, f"{out}/Q4b/Max{m.capitalize()}Station")
+        write_csv(ranked, f"{out}/{HIGHEST.format(m.capitalize())}")
 
     yearly = trend_of_totals(roll_up(totals, [year], spec.measures), spec)
-    write_csv(yearly.select("patterns"), f"{out}/Q4c/YearlyTrend")
+    write_csv(yearly.select("patterns"), f"{out}/{YEARLY_TREND}")
     seasons = with_season(totals, spec.month, spec.seasons)
     seasonal = trend_of_totals(roll_up(seasons, [year, "season"], spec.measures), spec, by_season=True)
-    write_csv(seasonal.select("patterns"), f"{out}/Q4c/SeasonalTrend")
+    write_csv(seasonal.select("patterns"), f"{out}/{SEASONAL_TREND}")
 
     for m in extremes:
         rows = argmax_rows(observations, m, [year], entity, maxima=entities)
-        write_csv(rows, f"{out}/Q4d/Max{m.capitalize()}Year")
+        write_csv(rows, f"{out}/{EXTREME_ROWS.format(m.capitalize())}")
 
     of_month = totals.filter(F.col(spec.month) == month).filter(all_present([year]))
     averages = as_means(roll_up(of_month, [year], spec.measures), [year], spec.measures)
-    write_csv(averages, f"{out}/Q4e/MayAverages")
-    write_csv(best_worst(averages, year, order), f"{out}/Q4e/BestWorstYear")
+    write_csv(averages, f"{out}/{MONTH_MEANS}")
+    write_csv(best_worst(averages, year, order), f"{out}/{BEST_AND_WORST}")

@@ -8,16 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_observations(df: DataFrame, root: str, partition_by: Sequence[str] = ("station",)) -> None:
+def write_observations(
+    df: DataFrame, root: str, partition_by: Sequence[str] = ("station",), gather: bool = True
+) -> None:
     """Write one directory per key value and replace only the directories that ``df`` has rows for.
 
-    The rebalance hint gathers a key's rows into files of a useful size, and lets adaptive execution
-    split the rows of a hot key over several tasks. Partition by columns whose number of values does
-    not grow with the data; an entity with millions of values should be partitioned by year.
+    ``gather`` brings a key's rows together first, for files of a useful size: the rebalance hint
+    shuffles by the key, and adaptive execution then splits the rows of a hot key over several tasks.
+    Rows that come straight from one file per key lie together already and need no shuffle.
+
+    Partition by columns whose number of values does not grow with the data; an entity with millions
+    of values should be partitioned by year.
     """
+    if gather:
+        df = df.hint("rebalance", *partition_by)
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(root)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.columns import cast_columns
+from almanac.sources.shared import materialise
 from almanac.spec import STATION_REPORT, ObservationSpec
 
 # The text format.
@@ -43,7 +44,8 @@ def read_lines(
     first dot.
 
     Cleaning recognises data lines by their form, so titles need no treatment. ``drop_titles`` drops
-    all lines that equal their file's first line anyway, at the price of reading the files twice.
+    all lines that equal their file's first line anyway. It reads the files twice: a first job collects
+    the titles in the shared folder, whose size then tells whether they can be broadcast.
     """
     # File names arrive percent-encoded, but with "+" as it is.
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
@@ -61,7 +63,7 @@ def read_lines(
             .groupBy("_file")
             .agg(F.min_by("value", "_row").alias("value"))
         )
-        lines = lines.join(titles, ["_file", "value"], "left_anti")
+        lines = lines.join(materialise(titles, "titles"), ["_file", "value"], "left_anti")
     return lines.select(entity, "value")
 
 

@@ -1,0 +1,124 @@
+"""Known results for four published station reports.
+
+Set ``ALMANAC_REPORTS`` to a folder with the text files of these stations, and ``ALMANAC_MAY_MEANS`` to
+a folder of CSV files with all stations' May means (year, tmax, tmin, af, rain, sun), to run them.
+"""
+
+import os
+
+import pytest
+
+from almanac import STATION_REPORT
+from almanac.operators import argmax_rows, best_worst, first_seen, max_by_entity, rank_global
+from almanac.plans import ingest, month_means, trend
+from almanac.plans.answers import BEST_MONTH
+from almanac.sources import parse_legacy, parse_lines, read_lines, read_observations
+from tests.conftest import rows
+
+REPORTS = os.environ.get("ALMANAC_REPORTS", "")
+MAY_MEANS = os.environ.get("ALMANAC_MAY_MEANS", "")
+needs_reports = pytest.mark.skipif(not os.path.isdir(REPORTS), reason="ALMANAC_REPORTS is not a folder")
+needs_means = pytest.mark.skipif(not os.path.isdir(MAY_MEANS), reason="ALMANAC_MAY_MEANS is not a folder")
+
+# station: rows, first year, most rain, its (year, month), most sun, its (year, month), lowest tmin,
+# number of NULLs per measure, provisional rows
+STRICT = {
+    "Camborne": (487, 1978, 276.7, (1978, 12), 308.4, (1990, 7), -0.8, (0, 0, 0, 0, 7), 10),
+    "Cardiff": (499, 1977, 267.6, (2000, 10), 305.4, (1995, 8), -3.4, (0, 0, 0, 0, 276), 10),
+    "Cwmystwyth": (618, 1959, 425.4, (2009, 11), 260.2, (1976, 8), -4.9, (39, 18, 19, 28, 36), 0),
+    "Dunstaffnage": (574, 1971, 417.8, (2011, 12), 270.9, (1995, 6), -2.1, (21, 20, 19, 17, 350), 10),
+}
+# station: rows, first year, most rain and sun as text, years of most rain, years of most sun
+LEGACY = {
+    "Camborne": (470, 1979, "99.7", "99.2", [1990], [2003, 2005]),
+    "Cardiff": (233, 1977, "99.2", "Provisional", [1980], [2018] * 7 + [2019] * 3),
+    "Cwmystwyth": (532, 1961, "99.9", "99.0", [1978, 1978, 2009], [1985]),
+    "Dunstaffnage": (222, 1981, "98.9", "Provisional", [1998], [2018] * 7 + [2019] * 3),
+}
+# Changes of tmax, tmin, af, rain, sun over all years, with legacy cleaning.
+LEGACY_TREND = {
+    None: (-2, -3, 0, -11, 34),
+    "winter": (3, 0, 0, -34, 47),
+    "spring": (6, 3, -3, 60, 59),
+    "summer": (4, 1, -1, -60, None),  # sun is 31 or 32, by the order of summation
+    "autumn": (-5, -1, 2, 17, 2),
+}
+
+
+@pytest.fixture(scope="module")
+def strict(spark):
+    return parse_lines(read_lines(spark, REPORTS))
+
+
+@pytest.fixture(scope="module")
+def legacy(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("legacy") / "obs")
+    ingest(spark, REPORTS, root, mode="legacy")
+    return read_observations(spark, root, STATION_REPORT.struct_type(measures_as_strings=True))
+
+
+@needs_reports
+def test_strict_rows(strict):
+    found = {}
+    for station in STRICT:
+        data = [r for r in strict.collect() if r.station == station]
+        rain = max((r for r in data if r.rain is not None), key=lambda r: r.rain)
+        sun = max((r for r in data if r.sun is not None), key=lambda r: r.sun)
+        nulls = tuple(sum(r[m] is None for r in data) for m in STATION_REPORT.measure_names)
+        found[station] = (
+            len(data), min(r.year for r in data), rain.rain, (rain.year, rain.month), sun.sun,
+            (sun.year, sun.month), min(r.tmin for r in data if r.tmin is not None), nulls,
+            sum(r.provisional for r in data),
+        )
+    assert found == STRICT
+    assert strict.count() == 2178
+
+
+@needs_reports
+def test_legacy_rows(legacy):
+    counts = dict(rows(legacy.groupBy("station").count()))
+    first = dict(rows(first_seen(legacy)))
+    top = {s: (rain, sun) for s, rain, sun in rows(max_by_entity(legacy, ["rain", "sun"]))}
+    years = {m: {s: [] for s in LEGACY} for m in ("rain", "sun")}
+    for measure, by_station in years.items():
+        for station, year, _ in rows(argmax_rows(legacy, measure)):
+            by_station[station].append(year)
+    found = {s: (counts[s], first[s], *top[s], years["rain"][s], years["sun"][s]) for s in LEGACY}
+    assert found == LEGACY
+
+
+@needs_reports
+def test_titles_do_not_matter(spark):
+    with_titles = parse_legacy(read_lines(spark, REPORTS))
+    without = parse_legacy(read_lines(spark, REPORTS, drop_titles=True))
+    assert rows(with_titles) == rows(without)
+
+
+@needs_reports
+def test_legacy_trends(legacy):
+    yearly = {(None, r.measure): int(r.change) for r in trend(legacy, STATION_REPORT).collect()}
+    seasonal = trend(legacy, STATION_REPORT, by_season=True).collect()
+    found = {**yearly, **{(r.season, r.measure): int(r.change) for r in seasonal}}
+    for season, changes in LEGACY_TREND.items():
+        for measure, change in zip(STATION_REPORT.measure_names, changes):
+            assert found[season, measure] in ((31, 32) if change is None else (change,)), (season, measure)
+    assert {r.years for r in seasonal} == {58}
+
+
+@needs_reports
+def test_legacy_may(legacy):
+    means = month_means(legacy, 5, STATION_REPORT.measures)
+    assert means.count() == 53
+    assert rows(best_worst(means, "year", BEST_MONTH)) == [("best_year", 1990), ("worst_year", 1972)]
+
+
+@needs_means
+def test_best_and_worst_of_all_stations(spark):
+    columns = ["tmax_avg", "tmin_avg", "af_avg", "rain_avg", "sun_avg"]
+    schema = "year int, " + ", ".join(f"{c} double" for c in columns)
+    means = spark.read.schema(schema).csv(MAY_MEANS)
+    assert means.count() == 129
+    assert rows(best_worst(means, "year", BEST_MONTH)) == [("best_year", 1909), ("worst_year", 1983)]
+    ranked = {r.rank: r.year for r in rank_global(means, [*BEST_MONTH, ("year", "asc")]).collect()}
+    assert [ranked[i] for i in (1, 2, 3)] == [1909, 1989, 1901]
+    assert [ranked[i] for i in (127, 128, 129)] == [1969, 1906, 1983]
