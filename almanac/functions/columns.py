@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +10,16 @@ from pyspark.sql import functions as F
 from almanac.spec import SEASONS, Measure
 
 
-def season_of(month: Column | str, seasons=SEASONS) -> Column:
-    """Season name of a month number; NULL for NULL and for months in no season."""
-    month = F.col(month) if isinstance(month, str) else month
+def quoted(*names: str) -> str:
+    """Column names for use in SQL expressions."""
+    return ", ".join("`" + name.replace("`", "``") + "`" for name in names)
+
+
+def season_of(month: str, seasons=SEASONS) -> Column:
+    """Season name of a month column; NULL for NULL and for months in no season."""
     name = F.lit(None).cast("string")
     for season, months in reversed(seasons):
-        name = F.when(month.isin(*months), season).otherwise(name)
+        name = F.when(F.col(month).isin(*months), season).otherwise(name)
     return name
 
 
@@ -40,15 +43,14 @@ def cast_columns(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame
     )
 
 
-def normalise_key(key: Column | str) -> Column:
+def normalise_key(key: str) -> Column:
     """Directory-safe form of an entity key: ``-`` and blanks become ``_``, parentheses go."""
-    key = F.col(key) if isinstance(key, str) else key
     return F.regexp_replace(F.translate(key, "-()", "_"), r"\s+", "_")
 
 
 def all_present(names: Sequence[str]) -> Column:
     """All named columns are not NULL, in the form that reaches the Parquet scan."""
-    return reduce(lambda left, right: left & right, [F.col(name).isNotNull() for name in names])
+    return F.expr(" and ".join(f"{quoted(name)} is not null" for name in names))
 
 
 def trend_sentence(

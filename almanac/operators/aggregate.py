@@ -5,36 +5,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import all_present
+from almanac.functions.columns import all_present, quoted
 from almanac.spec import Measure
 
-_LOW_BITS = 20
-
-
 def num_periods(df: DataFrame, period: str = "year") -> DataFrame:
     """One row with the number of distinct periods; NULL counts as one."""
     return df.select(period).distinct().agg(F.count("*").alias("periods"))
 
 
-def _units(measure: Measure) -> Column:
-    return F.rint(F.col(measure.name).try_cast("double") * 10**measure.scale).cast("bigint")
+def _number(measure: Measure) -> str:
+    """The measure as a double; text that is no number is NULL."""
+    return f"try_cast({quoted(measure.name)} as double)"
 
 
-def _total(measure: Measure) -> Column:
+def _total(measure: Measure) -> str:
     """Sum of a measure: in units of its last decimal if it has a scale, else as double.
 
     Adding units is exact, and takes long arithmetic only: summing decimals would cost ten times as
-    much. High and low bits are summed apart so that no group of any real size can overflow.
+    much. The low 20 bits and the rest are summed apart, so that no group of any real size overflows.
     """
     if measure.scale is None:
-        return F.sum(F.col(measure.name).try_cast("double"))
-    units = _units(measure)
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    return (high * F.lit(1 << _LOW_BITS).cast("decimal(10,0)") + low).cast("decimal(38,0)")
+        return f"sum({_number(measure)})"
+    units = f"cast(rint({_number(measure)} * {10**measure.scale}) as bigint)"
+    high = f"cast(sum(shiftright({units}, 20)) as decimal(20,0))"
+    low = f"cast(sum({units} & {2**20 - 1}) as decimal(20,0))"
+    return f"cast({high} * {2**20} + {low} as decimal(38,0))"
+
+
+def _columns(measure: Measure) -> tuple[str, str, str]:
+    return quoted(f"{measure.name}_total"), quoted(f"{measure.name}_n"), quoted(f"{measure.name}_avg")
 
 
 def period_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
@@ -42,34 +44,30 @@ def period_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure
 
     Columns ``<measure>_total`` and ``<measure>_n``. Rows with NULL keys form groups as well.
     """
-    columns = []
+    aggregates = []
     for m in measures:
-        value = F.col(m.name).try_cast("double")
-        columns += [_total(m).alias(f"{m.name}_total"), F.count(value).alias(f"{m.name}_n")]
-    return df.groupBy(*keys).agg(*columns)
+        total, n, _ = _columns(m)
+        aggregates += [F.expr(f"{_total(m)} as {total}"), F.expr(f"count({_number(m)}) as {n}")]
+    return df.groupBy(*keys).agg(*aggregates)
 
 
 def roll_up(totals: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Totals over fewer or coarser keys, from totals over finer ones."""
-    columns = []
+    aggregates = []
     for m in measures:
-        total = F.sum(f"{m.name}_total")
-        if m.scale is not None:
-            total = total.cast("decimal(38,0)")
-        columns += [total.alias(f"{m.name}_total"), F.sum(f"{m.name}_n").alias(f"{m.name}_n")]
-    return totals.groupBy(*keys).agg(*columns)
+        total, n, _ = _columns(m)
+        kind = "double" if m.scale is None else "decimal(38,0)"
+        aggregates += [F.expr(f"cast(sum({total}) as {kind}) as {total}"), F.expr(f"sum({n}) as {n}")]
+    return totals.groupBy(*keys).agg(*aggregates)
 
 
 def as_means(totals: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """``<measure>_avg`` from totals; NULL where a measure has no values."""
-    columns = []
+    averages = []
     for m in measures:
-        total = F.col(f"{m.name}_total").cast("double")
-        if m.scale is not None:
-            total = total / F.lit(float(10**m.scale))
-        n = F.nullif(F.col(f"{m.name}_n"), F.lit(0))
-        columns.append((total / n).alias(f"{m.name}_avg"))
-    return totals.select(*keys, *columns)
+        total, n, average = _columns(m)
+        averages.append(f"cast({total} as double) / {float(10 ** (m.scale or 0))}D / nullif({n}, 0) as {average}")
+    return totals.selectExpr(*[quoted(key) for key in keys], *averages)
 
 
 def means(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import all_present, lookup, trend_sentence
+from almanac.functions.columns import all_present, lookup, quoted, trend_sentence
 from almanac.spec import Measure
 
 
@@ -26,23 +26,25 @@ def deltas(
     only rows whose successor has all measures; one filter after all leads, so that a group loses its
     last row once and not once per measure.
     """
-    following = Window.partitionBy(*by).orderBy(period)
-    leads = means.select(
-        *by, period, *keep,
-        *[F.col(f"{m.name}_avg") for m in measures],
-        *[F.lead(f"{m.name}_avg").over(following).alias(f"_next_{m.name}") for m in measures],
-    )
+    group = f"partition by {quoted(*by)} " if by else ""
+    following = f"over ({group}order by {quoted(period)})"
+    averages = {m.name: quoted(f"{m.name}_avg") for m in measures}
+    nexts = {m.name: quoted(f"_next_{m.name}") for m in measures}
+    keys = [quoted(name) for name in (*by, period, *keep)]
+    leads = means.selectExpr(
+        *keys, *averages.values(), *[f"lead({averages[m]}) {following} as {nexts[m]}" for m in nexts]
+    )
     if drop_last:
         leads = leads.filter(all_present([f"_next_{m.name}" for m in measures]))
-    changes = [(F.col(f"_next_{m.name}") - F.col(f"{m.name}_avg")).alias(m.name) for m in measures]
-    return leads.select(*by, period, *keep, *changes)
+    return leads.selectExpr(*keys, *[f"{nexts[m]} - {averages[m]} as {quoted(m)}" for m in nexts])
 
 
 def trend_totals(
     changes: DataFrame, measures: Sequence[Measure], by: Sequence[str] = (), extra: Sequence[Column] = ()
 ) -> DataFrame:
     """Sum of each measure's changes, each rounded half up to an integer before; all in one pass."""
-    sums = [F.sum(F.col(m.name).try_cast("decimal(10,0)")).alias(m.name) for m in measures]
+    names = [quoted(m.name) for m in measures]
+    sums = [F.expr(f"sum(try_cast({name} as decimal(10,0))) as {name}") for name in names]
     return changes.groupBy(*by).agg(*sums, *extra)
 
 
