@@ -3,8 +3,9 @@ from almanac.plans.answers import (
     month_means,
     rank_by_max,
     rank_first_seen,
+    run_job,
     trend,
     write_answers,
 )
 
-__all__ = ["ingest", "month_means", "rank_by_max", "rank_first_seen", "trend", "write_answers"]
+__all__ = ["ingest", "month_means", "rank_by_max", "rank_first_seen", "run_job", "trend", "write_answers"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from almanac.operators.extremes import argmax_rows
 from almanac.operators.rank import best_worst, rank_global
 from almanac.operators.trend import deltas, trend_text, trend_totals
 from almanac.sources.shared import materialise
-from almanac.sources.store import write_csv, write_observations
+from almanac.sources.store import read_observations, write_csv, write_observations
 from almanac.sources.text import parse_legacy, parse_lines, read_lines
 from almanac.spec import STATION_REPORT, Measure, ObservationSpec
 
@@ -34,7 +34,9 @@ BEST_MONTH = (
 )
 MAY = 5
 
-# Where each answer is written; {} stands for a capitalised measure.
+# Where a run keeps its store and each answer; {} stands for a capitalised measure.
+STORE = "PreProcessedData"
+ANSWERS = "Answers"
 OLDEST = "Q4a/OldestStation"
 HIGHEST = "Q4b/Max{}Station"
 YEARLY_TREND = "Q4c/YearlyTrend"
@@ -47,18 +49,18 @@ BEST_AND_WORST = "Q4e/BestWorstYear"
 def ingest(
     spark: SparkSession, source: str, root: str, spec: ObservationSpec = STATION_REPORT, mode: str = "strict"
 ) -> None:
-    """Clean all files of a directory and store them by entity, without a shuffle.
+    """Clean all files of a directory and store them by entity.
 
-    A file holds one entity, and large files are read by several tasks, so rows are written where they
-    are read.
+    A file holds one entity, and large files are read by several tasks, so in strict mode rows are
+    written where they are read, without a shuffle. Dropping titles may shuffle lines, so in legacy
+    mode rows are gathered before they are written.
     """
-    if mode == "strict":
-        observations = parse_lines(read_lines(spark, source, spec.entity), spec)
-    elif mode == "legacy":
-        observations = parse_legacy(read_lines(spark, source, spec.entity, drop_titles=True), spec)
-    else:
+    if mode not in ("strict", "legacy"):
         raise ValueError(f"mode must be strict or legacy, not {mode!r}")
-    write_observations(observations, root, [spec.entity], gather=False)
+    legacy = mode == "legacy"
+    parse = parse_legacy if legacy else parse_lines
+    lines = read_lines(spark, source, spec.entity, drop_titles=legacy)
+    write_observations(parse(lines, spec), root, [spec.entity], gather=legacy)
 
 
 def rank_first_seen(df: DataFrame, entity: str = "station", period: str = "year") -> DataFrame:
@@ -151,3 +153,15 @@ def write_answers(
     averages = as_means(roll_up(of_month, [year], spec.measures), [year], spec.measures)
     write_csv(averages, f"{out}/{MONTH_MEANS}")
     write_csv(best_worst(averages, year, order), f"{out}/{BEST_AND_WORST}")
+
+
+def run_job(spark: SparkSession, settings: Mapping, mode: str = "strict") -> None:
+    """A whole run from a job's settings: text in ``input_path`` to a store and all answers below
+    ``output_path``. Measures of station reports keep their wording, units and number of decimals.
+    """
+    labels = {m.name: (m.label, m.unit) for m in STATION_REPORT.measures}
+    spec = ObservationSpec.from_config(settings, labels, scale=1)
+    out = settings["output_path"].rstrip("/")
+    ingest(spark, settings["input_path"], f"{out}/{STORE}", spec, mode)
+    schema = spec.struct_type(values_as_strings=mode == "legacy")
+    write_answers(read_observations(spark, f"{out}/{STORE}", schema), f"{out}/{ANSWERS}", spec)

@@ -1,4 +1,4 @@
-from almanac.sources.shared import materialise, reused, shared_path, use_checkpoints
+from almanac.sources.shared import materialise, reused, shared_folder, shared_path
 from almanac.sources.store import read_observations, write_csv, write_observations
 from almanac.sources.text import parse_legacy, parse_lines, read_lines
 
@@ -9,8 +9,8 @@ __all__ = [
     "read_lines",
     "read_observations",
     "reused",
+    "shared_folder",
     "shared_path",
-    "use_checkpoints",
     "write_csv",
     "write_observations",
 ]

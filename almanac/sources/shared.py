@@ -11,26 +11,24 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_checkpoints(spark: SparkSession) -> str:
-    """The session's checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a session whose executors all live in this
-    process may fall back to a temporary folder.
+    Only a session whose executors all live in this process may fall back to a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="almanac-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="almanac-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{use_checkpoints(spark).rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -71,11 +71,11 @@ def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Dat
     """Typed observations plus ``provisional``, from every line that has the form of a data line."""
     value = F.col("value")
     measure = rf"\s+(?:{NUMBER}|{MISSING})[{MARKS}]*"
-    form = rf"^\s*\d{{4}}\s+\d{{1,2}}(?:{measure}){{{len(spec.measures)}}}[{MARKS}\s]*(?:{PROVISIONAL})?\s*$"
+    form = rf"^\s*\d{{4}}\s+\d{{1,2}}(?:{measure}){{{len(spec.values)}}}[{MARKS}\s]*(?:{PROVISIONAL})?\s*$"
     # In such a line, marks stand only between values, so they separate them as blanks do.
     token = F.split(F.btrim(value, F.lit(BLANKS)), rf"[{MARKS}\s]+")
     tokens = lines.filter(value.rlike(form)).select(spec.entity, token.alias("token"))
-    names = [spec.year, spec.month, *spec.measure_names]
+    names = [spec.year, spec.month, *spec.values]
     texts = tokens.select(
         spec.entity,
         *[F.get("token", F.lit(i)).alias(name) for i, name in enumerate(names)],
@@ -96,7 +96,7 @@ def parse_legacy(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Da
     for removed in LEGACY_REMOVED:
         line = F.replace(line, F.lit(removed), F.lit(""))
     token = F.split(F.rtrim(line, F.lit(BLANKS)), r"\s+")
-    names = [spec.entity, spec.year, spec.month, *spec.measure_names]
+    names = [spec.entity, spec.year, spec.month, *spec.values]
     tokens = (
         lines.filter(~skipped)
         .select(token.alias("token"))

@@ -61,9 +61,14 @@ class ObservationSpec:
         keys = [(self.entity, "string"), (self.year, "int"), (self.month, "int")]
         return keys + [(name, "double") for name in self.measure_names]
 
-    def struct_type(self, measures_as_strings: bool = False) -> T.StructType:
-        """Schema of the stored table; legacy-cleaned tables keep their measures as strings."""
-        names = set(self.measure_names) if measures_as_strings else set()
+    @property
+    def values(self) -> list[str]:
+        """Columns after entity, year and month, in the order in which text lines have them."""
+        return [name for name, _ in self.columns if name not in (self.entity, self.year, self.month)]
+
+    def struct_type(self, values_as_strings: bool = False) -> T.StructType:
+        """Schema of the stored table; legacy-cleaned tables keep their values as strings."""
+        names = set(self.values) if values_as_strings else set()
         return T.StructType(
             [
                 T.StructField(name, T.StringType() if name in names else _TYPES[kind])
@@ -75,8 +80,9 @@ class ObservationSpec:
     def from_config(
         cls, config: Mapping, labels: Mapping[str, tuple[str, str]] | None = None, scale: int | None = None
     ) -> ObservationSpec:
-        """Build a spec from a job's settings: ``schema`` (a list of cname/ctype pairs, of which the
-        first three are entity, year and month), ``measuresCols``, and optionally the month lists.
+        """Build a spec from a job's settings: ``schema`` (a list of cname/ctype pairs in the order of
+        the text, of which the first three are entity, year and month), ``measuresCols``, and
+        optionally ``winterMonths`` and so on. ``labels`` gives each measure's wording and unit.
         """
         types = tuple((field["cname"], field["ctype"]) for field in config["schema"])
         unknown = [kind for _, kind in types if kind not in _TYPES]

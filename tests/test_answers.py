@@ -8,9 +8,9 @@ from fractions import Fraction
 import pytest
 
 from almanac import SEASONS, STATION_REPORT
-from almanac.plans import ingest, month_means, rank_by_max, rank_first_seen, write_answers
-from almanac.sources import read_observations
-from tests.conftest import rows
+from almanac.plans import ingest, month_means, rank_by_max, rank_first_seen, run_job, write_answers
+from almanac.sources import parse_lines, read_lines, read_observations
+from tests.conftest import plan, rows
 
 NAMES = STATION_REPORT.measure_names
 HEADER = "{}\nLocation 1E 2N\n   yyyy  mm   tmax    tmin      af    rain     sun\n              degC    degC    days      mm   hours\n"
@@ -148,7 +148,7 @@ def test_may(spark, answers, stored, stations):
 def test_legacy_cleaning_ends_in_the_same_answers_layout(spark, folder, tmp_path):
     root, out = str(tmp_path / "obs"), str(tmp_path / "answers")
     ingest(spark, folder, root, mode="legacy")
-    kept = read_observations(spark, root, STATION_REPORT.struct_type(measures_as_strings=True))
+    kept = read_observations(spark, root, STATION_REPORT.struct_type(values_as_strings=True))
     write_answers(kept, out)
     ranked = spark.read.schema("s string, v string, r long").csv(f"{out}/Q4b/MaxRainStation")
     highest = {s: v for s, v, _ in rows(ranked)}
@@ -157,6 +157,22 @@ def test_legacy_cleaning_ends_in_the_same_answers_layout(spark, folder, tmp_path
     assert spark.read.text(f"{out}/Q4c/SeasonalTrend").count() == 20
 
 
+def test_run_from_settings(spark, folder, answers, tmp_path):
+    settings = {
+        "input_path": folder,
+        "output_path": f"{tmp_path}/",
+        "schema": [{"cname": c, "ctype": t} for c, t in STATION_REPORT.columns],
+        "measuresCols": NAMES,
+    }
+    run_job(spark, settings)
+    for answer in ("Q4a/OldestStation", "Q4b/MaxRainStation", "Q4c/SeasonalTrend", "Q4d/MaxSunYear", "Q4e/MayAverages"):
+        assert rows(spark.read.text(f"{tmp_path}/Answers/{answer}")) == rows(spark.read.text(f"{answers}/{answer}"))
+
+
+def test_strict_ingest_does_not_shuffle(spark, folder):
+    assert "Exchange" not in plan(parse_lines(read_lines(spark, folder)))
+
+
 def test_unknown_mode_is_refused(spark, folder, tmp_path):
     with pytest.raises(ValueError, match="lenient"):
         ingest(spark, folder, str(tmp_path / "x"), mode="lenient")

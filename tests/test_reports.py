@@ -54,7 +54,7 @@ def strict(spark):
 def legacy(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("legacy") / "obs")
     ingest(spark, REPORTS, root, mode="legacy")
-    return read_observations(spark, root, STATION_REPORT.struct_type(measures_as_strings=True))
+    return read_observations(spark, root, STATION_REPORT.struct_type(values_as_strings=True))
 
 
 @needs_reports

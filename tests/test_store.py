@@ -9,7 +9,7 @@ from almanac.sources import (
     read_observations,
     reused,
     shared_path,
-    use_checkpoints,
+    shared_folder,
     write_csv,
     write_observations,
 )
@@ -63,7 +63,7 @@ def test_rows_of_a_hot_station_are_split_over_files(spark, tmp_path, conf):
 
 
 def test_legacy_schema_has_string_measures(spark):
-    kinds = [f.dataType.simpleString() for f in STATION_REPORT.struct_type(measures_as_strings=True)]
+    kinds = [f.dataType.simpleString() for f in STATION_REPORT.struct_type(values_as_strings=True)]
     assert kinds == ["string", "int", "int"] + ["string"] * 5
 
 
@@ -92,7 +92,7 @@ def test_reused_table_is_released(spark):
 def test_materialised_table_lies_in_the_shared_folder(spark):
     kept = materialise(spark.range(10), "numbers")
     assert kept.count() == 10
-    assert all(use_checkpoints(spark) in f for f in kept.inputFiles())
+    assert all(shared_folder(spark) in f for f in kept.inputFiles())
     assert shared_path(spark, "x") != shared_path(spark, "x")
 
 
