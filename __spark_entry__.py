@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -146,6 +147,38 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(means.schema).csv(path)
 
 
+def ingest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text to sentences: the seasonal trend of the parsed lines."""
+    measures = tuple(Measure(m.name, m.label, m.unit, 2) for m in STATION_REPORT.measures)
+    found = plans.trend(ingest_lines(spark, sf_dir), ObservationSpec(measures), by_season=True)
+    return _bigint(found, ["change"])
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All answers written as CSV and read back, one below the other."""
+    out = sources.shared_path(spark, "answers")
+    plans.write_answers(observations(spark, sf_dir), out, SPEC, ["quantity", "price"], 5, BEST)
+    averages = [f"{m}_avg" for m in SPEC.measure_names]
+    parts = [
+        ("Q4a/OldestStation", "station long, year int, rank long"),
+        ("Q4b/MaxQuantityStation", "station long, value double, rank long"),
+        ("Q4b/MaxPriceStation", "station long, value double, rank long"),
+        ("Q4c/YearlyTrend", "text string"),
+        ("Q4c/SeasonalTrend", "text string"),
+        ("Q4d/MaxQuantityYear", "station long, year int, value double"),
+        ("Q4d/MaxPriceYear", "station long, year int, value double"),
+        ("Q4e/MayAverages", "year int, " + ", ".join(f"{a} double" for a in averages)),
+        ("Q4e/BestWorstYear", "text string, year int"),
+    ]
+    frames = []
+    for name, schema in parts:
+        frame = spark.read.schema(schema).csv(f"{out}/{name}").withColumn("answer", F.lit(name))
+        if averages[0] in frame.columns:
+            frame = frame.unpivot(["answer", "year"], averages, "text", "value")
+        frames.append(frame)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 # -- aggregates -----------------------------------------------------------------------------------
 
 
@@ -170,6 +203,20 @@ def rolled_up_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.as_means(op.roll_up(fine, ["year"], MEASURES), ["year"], MEASURES)
 
 
+def period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact totals in units of the last decimal, per supplier and month."""
+    totals = op.period_totals(observations(spark, sf_dir), ["station", "year", "month"], MEASURES)
+    return _bigint(totals, [f"{m}_total" for m in SPEC.measure_names])
+
+
+def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.first_seen(observations(spark, sf_dir))
+
+
+def max_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.max_by_entity(observations(spark, sf_dir), SPEC.measure_names)
+
+
 def season_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_season(observations(spark, sf_dir)).groupBy("season").agg(F.count("*").alias("n"))
 
@@ -260,8 +307,9 @@ def trend_text_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    ingest_lines, ingest_legacy, text_scan, parquet_roundtrip, csv_roundtrip,
-    num_periods, period_means, season_means, month_means, rolled_up_means, season_of, join_on_keys,
+    ingest_lines, ingest_legacy, ingest_trend, text_scan, parquet_roundtrip, csv_roundtrip, answers,
+    num_periods, period_means, season_means, month_means, period_totals, rolled_up_means,
+    first_seen, max_by_entity, season_of, join_on_keys,
     rank_first_seen, rank_by_max, rank_multi, best_worst, argmax_rows, argmax_rows_window,
     deltas, deltas_by_season, deltas_by_entity_season,
     trend_totals, trend_totals_by_season, trend_text, trend_text_by_season,
@@ -328,26 +376,25 @@ _WORST_ORDER = (
 )
 
 
-def _text(by: str) -> str:
+_YEARS = "(SELECT count(*) FROM (SELECT DISTINCT year FROM obs))"
+
+
+def _text(by: str, measures=MEASURES) -> str:
+    """Rows of a trend from the common table ``changes``."""
     group = f"GROUP BY {by}" if by else ""
     ids = f"{by}, " if by else ""
     start = f"'The ' || {by} || ' avg '" if by else "'The avg '"
     parts = []
-    for m in MEASURES:
-        verb = f"CASE WHEN {m.name} < 0 THEN ' reduced by ' ELSE ' increased by ' END"
+    for m in measures:
+        total = f"CAST(sum(CAST({m.name} AS DECIMAL(10,0))) AS BIGINT)"
+        verb = "CASE WHEN change < 0 THEN ' reduced by ' ELSE ' increased by ' END"
         parts.append(
-            f"SELECT {ids}'{m.name}' AS measure, {m.name} AS change, years, "
-            f"{start} || '{m.label}' || {verb} || CAST(abs({m.name}) AS VARCHAR) || "
-            f"'{m.unit} over the past ' || CAST(years AS VARCHAR) || ' years' AS patterns "
-            f"FROM totals, periods"
+            f"SELECT {ids}'{m.name}' AS measure, change, {_YEARS} AS years, "
+            f"{start} || '{m.label}' || {verb} || CAST(abs(change) AS VARCHAR) || "
+            f"'{m.unit} over the past ' || CAST({_YEARS} AS VARCHAR) || ' years' AS patterns "
+            f"FROM (SELECT {ids}{total} AS change FROM changes {group})"
         )
-    union = " UNION ALL ".join(parts)
-    return (
-        f"WITH {_OBS}, {_deltas(by)}, "
-        f"totals AS (SELECT {ids}{_SUMS} FROM changes {group}), "
-        f"periods AS (SELECT count(*) AS years FROM (SELECT DISTINCT year FROM obs)) "
-        f"{union}"
-    )
+    return " UNION ALL ".join(parts)
 
 
 def _argmax(measure: str) -> str:
@@ -390,11 +437,71 @@ FROM texts
 WHERE CAST(no_tmin AS INTEGER) + CAST(no_sun AS INTEGER) = CAST(provisional AS INTEGER)"""
 
 
+_STATION = [m.name for m in STATION_REPORT.measures]
+_SEASON = _OBS[_OBS.index("CASE WHEN") : _OBS.index("END AS season") + len("END AS season")]
+_INGEST_TREND = f"""
+WITH obs AS (SELECT {_YEAR} AS year, {_SEASON}, {_MEASURED} FROM lineitem),
+means AS (SELECT season, year, {", ".join(_mean(m) for m in _STATION)} FROM obs GROUP BY season, year),
+changes AS (SELECT season, {", ".join(f"lead({m}_avg) OVER w - {m}_avg AS {m}" for m in _STATION)}
+            FROM means WINDOW w AS (PARTITION BY season ORDER BY year))
+{_text("season", STATION_REPORT.measures)}"""
+
+
+def _answer(name: str, table: str, **columns: str) -> str:
+    kinds = {"station": "BIGINT", "year": "INTEGER", "value": "DOUBLE", "rank": "BIGINT", "text": "VARCHAR"}
+    picked = [f"CAST({columns.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in kinds.items()]
+    return f"SELECT '{name}' AS answer, {', '.join(picked)} FROM {table}"
+
+
+def _highest(measure: str) -> str:
+    ranked = f"row_number() OVER (ORDER BY max_{measure} DESC NULLS LAST, station)"
+    tops = f"(SELECT station, max({measure}) AS max_{measure} FROM obs GROUP BY station)"
+    name = f"Q4b/Max{measure.capitalize()}Station"
+    return _answer(name, tops, station="station", value=f"max_{measure}", rank=ranked)
+
+
+def _extreme_rows(measure: str) -> str:
+    tops = f"(SELECT station AS s, max({measure}) AS top FROM obs GROUP BY station)"
+    rows = f"obs JOIN {tops} ON station = s AND {measure} = top"
+    return _answer(f"Q4d/Max{measure.capitalize()}Year", rows, station="station", year="year", value="top")
+
+
+def _best(label: str, order: str) -> str:
+    one = f"(SELECT year AS y FROM may ORDER BY {order} LIMIT 1)"
+    return _answer("Q4e/BestWorstYear", one, year="y", text=f"'{label}'")
+
+
+_SEASON_CHANGES = _deltas("season").replace("means AS", "s_means AS").replace("FROM means", "FROM s_means")
+_SEASON_CHANGES = _SEASON_CHANGES.replace("changes AS", "s_changes AS")
+_ANSWERS = f"""
+WITH {_OBS}, {_deltas("")}, {_SEASON_CHANGES}, may AS ({_means("year", "WHERE month = 5")}),
+seen AS (SELECT station, min(year) AS y FROM obs GROUP BY station)
+""" + " UNION ALL ".join(
+    [
+        _answer("Q4a/OldestStation", "seen", station="station", year="y",
+                rank="row_number() OVER (ORDER BY y NULLS FIRST, station)"),
+        _highest("quantity"),
+        _highest("price"),
+        _answer("Q4c/YearlyTrend", f"({_text('')})", text="patterns"),
+        _answer("Q4c/SeasonalTrend", f"({_text('season').replace('FROM changes', 'FROM s_changes')})",
+                text="patterns"),
+        _extreme_rows("quantity"),
+        _extreme_rows("price"),
+        *[_answer("Q4e/MayAverages", "may", year="year", text=f"'{m}_avg'", value=f"{m}_avg")
+          for m in SPEC.measure_names],
+        _best("best_year", f"{_BEST_ORDER}, year ASC"),
+        _best("worst_year", f"{_WORST_ORDER}, year DESC"),
+    ]
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ingest_lines": f"""SELECT 'S-' || l_suppkey AS station, {_YEAR} AS year, {_MONTH} AS month,
             {_MEASURED} FROM lineitem""",
         "ingest_legacy": _LEGACY,
+        "ingest_trend": _INGEST_TREND,
+        "answers": _ANSWERS,
         "text_scan": f"SELECT {_YEAR} AS year, {_MONTH} AS month, {_MEASURED} FROM lineitem",
         "parquet_roundtrip": f"""SELECT l_returnflag || '-(' || l_linestatus || ') x' AS station,
             {_YEAR} AS year, {_MONTH} AS month, l_quantity AS tmax, l_tax AS tmin,
@@ -406,6 +513,12 @@ def oracle_sql() -> dict[str, str]:
         "season_means": f"WITH {_OBS} {_means('year, season')}",
         "month_means": f"WITH {_OBS} {_means('year', 'WHERE month = 5')}",
         "rolled_up_means": f"WITH {_OBS} {_means('year')}",
+        "period_totals": f"""WITH {_OBS} SELECT station, year, month,
+            {_each('CAST(sum(CAST(round({m} * 100) AS BIGINT)) AS BIGINT) AS {m}_total')},
+            {_each('count({m}) AS {m}_n')} FROM obs GROUP BY station, year, month""",
+        "first_seen": f"WITH {_OBS} SELECT station, min(year) AS min_year FROM obs GROUP BY station",
+        "max_by_entity": f"""WITH {_OBS} SELECT station, {_each('max({m}) AS max_{m}')}
+            FROM obs GROUP BY station""",
         "season_of": f"WITH {_OBS} SELECT season, count(*) AS n FROM obs GROUP BY season",
         "join_on_keys": f"""WITH {_OBS},
             a AS (SELECT station, year, {_mean('quantity')} FROM obs WHERE season = 'winter'
@@ -444,6 +557,6 @@ def oracle_sql() -> dict[str, str]:
         "trend_totals": f"WITH {_OBS}, {_deltas('')} SELECT {_SUMS} FROM changes",
         "trend_totals_by_season": f"""WITH {_OBS}, {_deltas('season')}
             SELECT season, {_SUMS} FROM changes GROUP BY season""",
-        "trend_text": _text(""),
-        "trend_text_by_season": _text("season"),
+        "trend_text": f"WITH {_OBS}, {_deltas('')} {_text('')}",
+        "trend_text_by_season": f"WITH {_OBS}, {_deltas('season')} {_text('season')}",
     }

@@ -66,15 +66,18 @@ class ObservationSpec:
         """Columns after entity, year and month, in the order in which text lines have them."""
         return [name for name, _ in self.columns if name not in (self.entity, self.year, self.month)]
 
-    def struct_type(self, values_as_strings: bool = False) -> T.StructType:
-        """Schema of the stored table; legacy-cleaned tables keep their values as strings."""
+    def struct_type(self, values_as_strings: bool = False, provisional: bool = False) -> T.StructType:
+        """Schema of the stored table. Legacy-cleaned tables keep their values as strings; strictly
+        cleaned ones can be read with their ``provisional`` flag.
+        """
         names = set(self.values) if values_as_strings else set()
-        return T.StructType(
-            [
-                T.StructField(name, T.StringType() if name in names else _TYPES[kind])
-                for name, kind in self.columns
-            ]
-        )
+        fields = [
+            T.StructField(name, T.StringType() if name in names else _TYPES[kind])
+            for name, kind in self.columns
+        ]
+        if provisional:
+            fields.append(T.StructField("provisional", T.BooleanType()))
+        return T.StructType(fields)
 
     @classmethod
     def from_config(

@@ -96,6 +96,15 @@ def test_all_rows_are_stored(stored, stations):
     assert rows(stored) == sorted(expected, key=lambda r: tuple((v is not None, v) for v in r))
 
 
+def test_provisional_flag_is_stored(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "X.txt").write_text("X\n2018 6 1 2 3 4 5 Provisional\n2018 5 1 2 3 4 5\n")
+    ingest(spark, str(tmp_path / "in"), str(tmp_path / "store"))
+    schema = STATION_REPORT.struct_type(provisional=True)
+    stored = read_observations(spark, str(tmp_path / "store"), schema)
+    assert rows(stored.select("month", "provisional")) == [(5, False), (6, True)]
+
+
 def test_oldest_stations(spark, answers, stored):
     found = rows(spark.read.schema("s string, y int, r long").csv(f"{answers}/Q4a/OldestStation"))
     assert found == [("Ash Vale", 1961, 3), ("B-4", 1955, 2), ("Cold", 1980, 4), ("Hot", 1930, 1)]
