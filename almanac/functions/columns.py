@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,17 +11,29 @@ from pyspark.sql import functions as F
 from almanac.spec import SEASONS, Measure
 
 
-def quoted(*names: str) -> str:
-    """Column names for use in SQL expressions."""
-    return ", ".join("`" + name.replace("`", "``") + "`" for name in names)
+# The wording of a trend, over all observations and within one group.
+TREND = "The avg {label} {direction} by {size}{unit} over the past {years} years"
+GROUP_TREND = "The {group} avg {label} {direction} by {size}{unit} over the past {years} years"
+REDUCED, INCREASED = "reduced", "increased"
+
+
+def quoted(name: str) -> str:
+    """A column name for use in SQL expressions."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string for use in SQL expressions."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def season_of(month: str, seasons=SEASONS) -> Column:
     """Season name of a month column; NULL for NULL and for months in no season."""
-    name = F.lit(None).cast("string")
-    for season, months in reversed(seasons):
-        name = F.when(F.col(month).isin(*months), season).otherwise(name)
-    return name
+    cases = [
+        f"when {quoted(month)} in ({', '.join(map(str, months))}) then {literal(name)}"
+        for name, months in seasons
+    ]
+    return F.expr(f"case {' '.join(cases)} end")
 
 
 def with_season(df: DataFrame, month: str = "month", seasons=SEASONS, name: str = "season") -> DataFrame:
@@ -53,19 +66,29 @@ def all_present(names: Sequence[str]) -> Column:
     return F.expr(" and ".join(f"{quoted(name)} is not null" for name in names))
 
 
-def trend_sentence(
-    change: Column, years: Column, label: Column, unit: Column, group: Column | None = None
-) -> Column:
-    """Words for a total change; NULL if any part is NULL. No change counts as an increase."""
-    verb = F.when(change < 0, " reduced by ").otherwise(" increased by ")
-    start = [F.lit("The ")] if group is None else [F.lit("The "), group, F.lit(" ")]
-    return F.concat(
-        *start, F.lit("avg "), label, verb, F.abs(change).cast("string"), unit,
-        F.lit(" over the past "), years.cast("string"), F.lit(" years"),
-    )
+def by_name(name: str, texts: Mapping[str, str]) -> str:
+    """SQL for the text that belongs to the name in a column."""
+    pairs = [literal(part) for pair in texts.items() for part in pair]
+    return f"map({', '.join(pairs)})[{quoted(name)}]"
 
 
-def lookup(key: Column, measures: Sequence[Measure], attribute: str) -> Column:
-    """A measure's label or unit by the measure's name."""
-    pairs = [F.lit(v) for m in measures for v in (m.name, getattr(m, attribute))]
-    return F.create_map(*pairs)[key]
+def sentence(template: str, **parts: str) -> Column:
+    """A template with its fields filled by SQL expressions; NULL if one of them is."""
+    pieces = []
+    for text, field, _, _ in Formatter().parse(template):
+        pieces += [literal(text)] if text else []
+        pieces += [f"cast({parts[field]} as string)"] if field else []
+    return F.expr(f"concat({', '.join(pieces)})")
+
+
+def trend_sentence(measures: Sequence[Measure], group: str | None = None) -> Column:
+    """Words for the columns ``measure``, ``change`` and ``years``. No change counts as an increase."""
+    return sentence(
+        GROUP_TREND if group else TREND,
+        group=quoted(group or ""),
+        label=by_name("measure", {m.name: m.label for m in measures}),
+        direction=f"if(change < 0, {literal(REDUCED)}, {literal(INCREASED)})",
+        size="abs(change)",
+        unit=by_name("measure", {m.name: m.unit for m in measures}),
+        years="years",
+    )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import all_present, lookup, quoted, trend_sentence
+from almanac.functions.columns import all_present, quoted, trend_sentence
 from almanac.spec import Measure
 
 
@@ -26,7 +26,7 @@ def deltas(
     only rows whose successor has all measures; one filter after all leads, so that a group loses its
     last row once and not once per measure.
     """
-    group = f"partition by {quoted(*by)} " if by else ""
+    group = f"partition by {', '.join(map(quoted, by))} " if by else ""
     following = f"over ({group}order by {quoted(period)})"
     averages = {m.name: quoted(f"{m.name}_avg") for m in measures}
     nexts = {m.name: quoted(f"_next_{m.name}") for m in measures}
@@ -56,12 +56,8 @@ def trend_text(
     ``years`` is the number of periods, or the column of ``totals`` that has it.
     """
     ids = [by] if by else []
+    names = [m.name for m in measures]
     count = F.col(years) if isinstance(years, str) else F.lit(years)
-    wide = totals.select(*ids, count.cast("bigint").alias("years"), *[m.name for m in measures])
-    rows = wide.unpivot([*ids, "years"], [m.name for m in measures], "measure", "change")
-    name = F.col("measure")
-    sentence = trend_sentence(
-        F.col("change"), F.col("years"), lookup(name, measures, "label"), lookup(name, measures, "unit"),
-        F.col(by) if by else None,
-    )
-    return rows.select(*ids, "measure", "change", "years", sentence.alias("patterns"))
+    wide = totals.select(*ids, count.cast("bigint").alias("years"), *names)
+    rows = wide.unpivot([*ids, "years"], names, "measure", "change")
+    return rows.select(*ids, "measure", "change", "years", trend_sentence(measures, by).alias("patterns"))

@@ -71,6 +71,12 @@ def test_sentences_of_station_reports(spark):
     ]
 
 
+def test_any_text_can_be_a_label(spark):
+    odd = Measure("a", "it's a \\ {label}", "%")
+    totals = spark.createDataFrame([(Decimal(2),)], "a decimal(20,0)")
+    assert trend_text(totals, [odd], years=3).first().patterns == "The avg it's a \\ {label} increased by 2% over the past 3 years"
+
+
 def observed(spark, data):
     return spark.createDataFrame([("s", *r) for r in data], OBS)
 
