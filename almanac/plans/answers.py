@@ -22,7 +22,7 @@ from almanac.operators.trend import deltas, trend_text, trend_totals
 from almanac.sources.shared import materialise
 from almanac.sources.store import read_observations, write_csv, write_observations
 from almanac.sources.text import parse_legacy, parse_lines, read_lines
-from almanac.spec import STATION_REPORT, Measure, ObservationSpec
+from almanac.spec import DECIMALS, STATION_REPORT, Measure, ObservationSpec
 
 # What makes a good month, most important first, for station reports.
 BEST_MONTH = (
@@ -157,10 +157,10 @@ def write_answers(
 
 def run_job(spark: SparkSession, settings: Mapping, mode: str = "strict") -> None:
     """A whole run from a job's settings: text in ``input_path`` to a store and all answers below
-    ``output_path``. Measures of station reports keep their wording, units and number of decimals.
+    ``output_path``. Measures of station reports keep their wording and units.
     """
     labels = {m.name: (m.label, m.unit) for m in STATION_REPORT.measures}
-    spec = ObservationSpec.from_config(settings, labels, scale=1)
+    spec = ObservationSpec.from_config(settings, labels, scale=DECIMALS)
     out = settings["output_path"].rstrip("/")
     ingest(spark, settings["input_path"], f"{out}/{STORE}", spec, mode)
     schema = spec.struct_type(values_as_strings=mode == "legacy")

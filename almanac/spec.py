@@ -26,10 +26,11 @@ _TYPES = {
 
 @dataclass(frozen=True)
 class Measure:
-    """A numeric column. ``scale`` is the number of decimals its values carry.
+    """A numeric column. ``scale`` is a number of decimals that its values never exceed.
 
-    With a scale, sums are exact, so that means do not depend on the order in which tasks finish.
-    Without one, sums are plain double sums.
+    With a scale, sums are exact, so that means do not depend on the order in which tasks finish; it may
+    be larger than needed, but values with more decimals would be rounded. Without one, sums are plain
+    double sums.
     """
 
     name: str
@@ -100,13 +101,15 @@ class ObservationSpec:
         return cls(measures, entity, year, month, seasons, types)
 
 
+DECIMALS = 4  # station reports have one; the rest is room
+
 # The measures of monthly station reports, their wording and units.
 STATION_REPORT = ObservationSpec(
     measures=(
-        Measure("tmax", "maximum temperature", "degC", 1),
-        Measure("tmin", "minimum temperature", "degC", 1),
-        Measure("af", "frosty days", "days", 1),
-        Measure("rain", "rainfall", "mm", 1),
-        Measure("sun", "sunshine", "hours", 1),
+        Measure("tmax", "maximum temperature", "degC", DECIMALS),
+        Measure("tmin", "minimum temperature", "degC", DECIMALS),
+        Measure("af", "frosty days", "days", DECIMALS),
+        Measure("rain", "rainfall", "mm", DECIMALS),
+        Measure("sun", "sunshine", "hours", DECIMALS),
     )
 )

@@ -97,3 +97,11 @@ def test_join_on_keys_is_inner_and_drops_null_keys(spark):
     c = spark.createDataFrame([(1, 12), (1, 13)], "k int, c int")
     assert rows(join_on_keys([a, b, c], ["k"])) == [(1, 10, 11, 12), (1, 10, 11, 13)]
     assert rows(join_on_keys([a], ["k"])) == rows(a)
+
+
+def test_a_larger_scale_gives_the_same_means(spark):
+    rng = random.Random(9)
+    data = [(rng.randint(1, 20), round(rng.uniform(-50, 300), 1)) for _ in range(5000)]
+    df = spark.createDataFrame(data, "k int, x double")
+    found = [rows(means(df, ["k"], [Measure("x", scale=s)])) for s in (1, 2, 4, 6)]
+    assert found[0] == found[1] == found[2] == found[3]

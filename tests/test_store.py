@@ -1,4 +1,5 @@
 import os
+from types import SimpleNamespace
 
 import pytest
 
@@ -126,3 +127,14 @@ def test_spec_from_settings():
     assert [f.dataType.simpleString() for f in spec.struct_type()] == ["string", "int", "int", "double", "timestamp", "bigint"]
     with pytest.raises(ValueError, match="decimal"):
         ObservationSpec.from_config({"schema": [{"cname": "x", "ctype": "decimal"}], "measuresCols": []})
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": folder} if folder else {})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("spark://host:7077", "hdfs://x/y")) == "hdfs://x/y"
+    assert shared_path(session("yarn", "hdfs://x/y/"), "t").startswith("hdfs://x/y/almanac/t-")
