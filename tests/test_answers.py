@@ -166,14 +166,19 @@ def test_legacy_cleaning_ends_in_the_same_answers_layout(spark, folder, tmp_path
     assert spark.read.text(f"{out}/Q4c/SeasonalTrend").count() == 20
 
 
-def test_run_from_settings(spark, folder, answers, tmp_path):
+@pytest.mark.parametrize("mode", ["strict", "legacy"])
+def test_run_from_settings(spark, folder, answers, tmp_path, mode):
     settings = {
         "input_path": folder,
         "output_path": f"{tmp_path}/",
         "schema": [{"cname": c, "ctype": t} for c, t in STATION_REPORT.columns],
         "measuresCols": NAMES,
     }
-    run_job(spark, settings)
+    run_job(spark, settings, mode)
+    if mode == "legacy":
+        ranked = spark.read.schema("s string, y int, r long").csv(f"{tmp_path}/Answers/Q4a/OldestStation")
+        assert {r.s for r in ranked.collect()} == {"Hot", "Ash", "B4", "Cold"}
+        return
     for answer in ("Q4a/OldestStation", "Q4b/MaxRainStation", "Q4c/SeasonalTrend", "Q4d/MaxSunYear", "Q4e/MayAverages"):
         assert rows(spark.read.text(f"{tmp_path}/Answers/{answer}")) == rows(spark.read.text(f"{answers}/{answer}"))
 

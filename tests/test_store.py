@@ -138,3 +138,22 @@ def test_a_cluster_must_name_its_shared_folder():
         shared_folder(session("spark://host:7077"))
     assert shared_folder(session("spark://host:7077", "hdfs://x/y")) == "hdfs://x/y"
     assert shared_path(session("yarn", "hdfs://x/y/"), "t").startswith("hdfs://x/y/almanac/t-")
+
+
+def test_a_local_session_keeps_one_temporary_folder(monkeypatch, tmp_path):
+    made = []
+
+    def make(prefix):
+        made.append(prefix)
+        return str(tmp_path / f"{prefix}{len(made)}")
+
+    folders = []
+    context = SimpleNamespace(
+        master="local[2]",
+        getCheckpointDir=lambda: folders[-1] if folders else None,
+        setCheckpointDir=folders.append,
+    )
+    session = SimpleNamespace(sparkContext=context, conf={})
+    monkeypatch.setattr("tempfile.mkdtemp", make)
+    assert shared_folder(session) == shared_folder(session) == folders[0]
+    assert made == ["almanac-"]
