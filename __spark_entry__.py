@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from functools import reduce
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -321,10 +322,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return trend_text_by_season(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def observation_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries on text corpora and their SQL, if that part of the library is there."""
+    found, sql = {}, {}
+    if find_spec("almanac.llm") is not None:
+        from almanac.llm import registry
+
+        found |= registry.QUERIES
+        sql |= registry.ORACLE_SQL
+        if find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL is not None:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**observation_queries(), **_corpus()[0]}
+
+
 # -- the same in SQL ------------------------------------------------------------------------------
 
 _OBS = """obs AS (
@@ -495,7 +517,7 @@ seen AS (SELECT station, min(year) AS y FROM obs GROUP BY station)
 )
 
 
-def oracle_sql() -> dict[str, str]:
+def observation_sql() -> dict[str, str]:
     return {
         "ingest_lines": f"""SELECT 'S-' || l_suppkey AS station, {_YEAR} AS year, {_MONTH} AS month,
             {_MEASURED} FROM lineitem""",
@@ -560,3 +582,7 @@ def oracle_sql() -> dict[str, str]:
         "trend_text": f"WITH {_OBS}, {_deltas('')} {_text('')}",
         "trend_text_by_season": f"WITH {_OBS}, {_deltas('season')} {_text('season')}",
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**observation_sql(), **_corpus()[1]}

@@ -10,8 +10,8 @@ import __spark_entry__ as entry_module
 from tests.conftest import plan
 
 SF_DIR = Path("/root/testdata/sf0.001")
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = entry_module.observation_queries()
+SQL = entry_module.observation_sql()
 
 pytestmark = pytest.mark.skipif(not SF_DIR.is_dir(), reason="needs the driver's tables")
 
@@ -32,6 +32,8 @@ def table(columns, records):
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert SQL.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
