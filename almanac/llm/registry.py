@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from almanac.llm import mixing
+from almanac.llm import mixing, urls, warc
 
-QUERIES = {"op1_mix_sources": mixing.op1_mix_sources}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_judge_urls": urls.op3_judge_urls,
+    "op9_merkle_audit": warc.op9_merkle_audit,
+}
+
+#: What SQL cannot say (random rounding, trained models) is tested against brute force instead.
+ORACLE_SQL = {
+    "op3_judge_urls": urls.OP3_SQL,
+    "op9_merkle_audit": warc.OP9_SQL,
+}
