@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from almanac.llm import mixing, urls, warc
+from almanac.llm import decontaminate, mixing, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_judge_urls": urls.op3_judge_urls,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_merkle_audit": warc.op9_merkle_audit,
 }
 
 #: What SQL cannot say (random rounding, trained models) is tested against brute force instead.
 ORACLE_SQL = {
     "op3_judge_urls": urls.OP3_SQL,
+    "op6_decontaminate": decontaminate.OP6_SQL,
     "op9_merkle_audit": warc.OP9_SQL,
 }
