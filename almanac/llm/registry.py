@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, mixing, urls, warc
+from almanac.llm import decontaminate, mixing, ngram_join, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_judge_urls": urls.op3_judge_urls,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_merkle_audit": warc.op9_merkle_audit,
 }
@@ -14,6 +15,7 @@ QUERIES = {
 #: What SQL cannot say (random rounding, trained models) is tested against brute force instead.
 ORACLE_SQL = {
     "op3_judge_urls": urls.OP3_SQL,
+    "op4_ngram_join": ngram_join.OP4_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op9_merkle_audit": warc.OP9_SQL,
 }
