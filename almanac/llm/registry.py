@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, mixing, ngram_join, urls, warc
+from almanac.llm import decontaminate, embeddings, mixing, ngram_join, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_judge_urls": urls.op3_judge_urls,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_near_duplicates": embeddings.op7_near_duplicates,
     "op9_merkle_audit": warc.op9_merkle_audit,
 }
 
@@ -17,5 +18,6 @@ ORACLE_SQL = {
     "op3_judge_urls": urls.OP3_SQL,
     "op4_ngram_join": ngram_join.OP4_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
+    "op7_near_duplicates": embeddings.OP7_SQL,
     "op9_merkle_audit": warc.OP9_SQL,
 }
