@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, mixing, ngram_join, urls, warc
+from almanac.llm import decontaminate, embeddings, language, mixing, ngram_join, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_near_duplicates": embeddings.op7_near_duplicates,
     "op9_merkle_audit": warc.op9_merkle_audit,
+    "op10_language_id": language.op10_language_id,
 }
 
 #: What SQL cannot say (random rounding, trained models) is tested against brute force instead.
