@@ -168,14 +168,15 @@ def _predictor(net: ByteNetwork) -> Callable[[Iterator[pd.DataFrame]], Iterator[
     return predict
 
 
-def labelled_sample(docs: DataFrame, label: str, fit_on: Column, per_label: int, salt: str) -> DataFrame:
-    """At most ``per_label`` rows of each label, those with the smallest hashes, so that reruns agree.
+def labelled_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
+    """At most ``per_label`` rows of each label, those whose doc_id has the smallest hash, so that reruns agree.
 
     Rows are numbered after each task has kept its own smallest, so a hot label is no hot task.
     """
-    known = docs.filter(fit_on & F.col(label).isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy(label).orderBy(F.xxhash64("text", F.lit(salt)), "text")
-    return known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label).drop("place")
+    others = [c for c in rows.columns if c not in (label, "doc_id")]
+    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id", *others)
+    placed = rows.filter(F.col(label).isNotNull()).withColumn("place", F.row_number().over(order))
+    return placed.filter(F.col("place") <= per_label).drop("place")
 
 
 def train(docs: DataFrame, fit_on: Column, per_language: int = SAMPLE) -> ByteNetwork | None:
@@ -186,9 +187,9 @@ def train(docs: DataFrame, fit_on: Column, per_language: int = SAMPLE) -> ByteNe
     # A stretch from within the text, at a place that its hash gives, and cut where the network cuts.
     room = F.greatest(F.char_length("text") - WINDOW, F.lit(0)) + 1
     piece = F.substr("text", (F.pmod(F.xxhash64("text"), room) + 1).cast("int"), F.lit(WINDOW))
-    lettered = docs.select("doc_id", "text", "lang").filter(F.col("text").rlike(r"\p{L}"))
-    sample = labelled_sample(lettered, "lang", fit_on, per_language, "lang")
-    rows = sorted((r.lang, r.piece) for r in sample.select("lang", piece.alias("piece")).collect())
+    lettered = docs.filter(fit_on & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", piece.alias("piece"))
+    sample = labelled_sample(lettered, "lang", per_language)
+    rows = sorted((r.lang, r.piece) for r in sample.collect())
     languages = sorted({lang for lang, _ in rows})
     if not languages:
         return None

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, language, mixing, ngram_join, urls, warc
+from almanac.llm import decontaminate, embeddings, language, mixing, ngram_join, toxicity, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_judge_urls": urls.op3_judge_urls,
     "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_near_duplicates": embeddings.op7_near_duplicates,
     "op9_merkle_audit": warc.op9_merkle_audit,
