@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, language, mixing, ngram_join, toxicity, urls, warc
+from almanac.llm import decontaminate, embeddings, language, mixing, ngram_join, quality, toxicity, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_quality": quality.op2_quality,
     "op3_judge_urls": urls.op3_judge_urls,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_toxicity": toxicity.op5_toxicity,
