@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, language, mixing, ngram_join, quality, toxicity, urls, warc
+from almanac.llm import decontaminate, embeddings, language, lines, mixing, ngram_join, quality, toxicity, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_near_duplicates": embeddings.op7_near_duplicates,
+    "op8_line_dedup": lines.op8_line_dedup,
     "op9_merkle_audit": warc.op9_merkle_audit,
     "op10_language_id": language.op10_language_id,
 }
@@ -22,5 +23,6 @@ ORACLE_SQL = {
     "op4_ngram_join": ngram_join.OP4_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op7_near_duplicates": embeddings.OP7_SQL,
+    "op8_line_dedup": lines.OP8_SQL,
     "op9_merkle_audit": warc.OP9_SQL,
 }
