@@ -1,0 +1,187 @@
+"""Trained models: held-out accuracy on texts of a simple kind, and odd rows."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from almanac.llm import language, quality, toxicity
+from almanac.llm.common import pieces, remainder, span_hashes, table_of, word_spans
+from tests.conftest import rows
+
+SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["schr", "enk", "öt", "burg"], "cc": ["ção", "lhe", "nha", "dor"]}
+
+
+def prose(rng, lang, n):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+ODD = [(9001, None), (9002, ""), (9003, "1234 !!"), (None, "kalo mitu"), (9004, "w " * 60_000), (9005, "x"), (9005, "x")]
+
+
+def test_remainder_is_crc32_of_the_id_as_text(spark):
+    found = spark.range(50).select("id", remainder(F.col("id"), 5).alias("r")).collect()
+    assert all(r.r == zlib.crc32(str(r.id).encode()) % 5 for r in found)
+
+
+def test_hashes_depend_on_the_bytes_only():
+    texts = ["one Two\nthree", None, "", "two  one", "é " * 3, "ONE"]
+    found = []
+    for size in (1, 8, 10_000):
+        words = []
+        for first, last, data, starts in pieces(texts, size):
+            a, b = word_spans(data, table_of(b" \n"))
+            words += [(bytes(data[x:y]).decode().lower(), h) for x, y, h in zip(a, b, span_hashes(data, a, b))]
+        found.append(words)
+    assert found[0] == found[1] == found[2]
+    assert [w for w, _ in found[0]] == ["one", "two", "three", "two", "one", "é", "é", "é", "one"]
+    assert len({h for _, h in found[0]}) == len({w for w, _ in found[0]})
+
+
+@pytest.fixture(scope="module")
+def languages(spark):
+    rng = random.Random(1)
+    data = [(i, prose(rng, lang, rng.randrange(3, 120)), lang) for i in range(600) for lang in [rng.choice(list(SYLLABLES))]]
+    return spark.createDataFrame(data, "doc_id long, text string, lang string")
+
+
+def test_language_by_held_out_texts(languages):
+    net = language.train(languages, remainder(F.col("doc_id"), 5) != 0)
+    found = language.identify(languages, net).join(languages, "doc_id").filter(remainder(F.col("doc_id"), 5) == 0)
+    right = [r.lang == r.lang_pred for r in found.collect()]
+    assert len(right) > 80 and np.mean(right) > 0.97
+
+
+def test_lookup_is_the_same_network():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 255, (40, language.WINDOW)).astype(np.uint8)
+    language_of = rng.integers(0, 3, 40)
+    net = language.fit(x, language_of, ["a", "b", "c"])
+    _, h = language._pooled(net, x)
+    direct = language._softmax(h @ net.dense + net.offset)
+    assert np.allclose(language.window_probabilities(net, language._tables(net), x), direct, atol=1e-4)
+
+
+def test_windows_hold_all_of_a_text():
+    for n in (0, 1, language.WINDOW, language.WINDOW + 1, 5000):
+        text = "".join(chr(97 + i % 26) for i in range(n))
+        x = language.windows_of(text)
+        assert x.shape[1] == language.WINDOW
+        assert bytes(x[x != 32]).decode() == text
+
+
+def test_language_of_odd_rows(spark, languages):
+    net = language.train(languages, F.lit(True))
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").selectExpr("*", "'zz' as lang", "1 as score", "2 as lang_pred")
+    found = {r.doc_id: r for r in language.identify(docs, net).collect()}
+    assert [found[i].lang_pred for i in (9001, 9002, 9003)] == ["und"] * 3
+    assert found[9004].lang_pred in SYLLABLES and found[None].lang_pred == "aa"
+    assert language.identify(docs, net).count() == len(ODD)
+    assert rows(language.identify(docs.filter("false"), net)) == []
+    assert language.train(docs.selectExpr("doc_id", "text", "cast(null as string) as lang"), F.lit(True)) is None
+    assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
+
+
+@pytest.fixture(scope="module")
+def insults(spark):
+    rng = random.Random(2)
+    docs, labels = [], []
+    for i in range(900):
+        words = prose(rng, rng.choice(["aa", "bb"]), rng.randrange(5, 150)).split()
+        bad = rng.random() < 0.3
+        if bad:
+            words.insert(rng.randrange(len(words)), rng.choice(["grob", "frech", "übel" + rng.choice(["er", "es", "stem", "ste"])]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_toxicity_by_held_out_texts(insults):
+    docs, labels = insults
+    net = toxicity.train(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+    found = toxicity.toxic_scores(docs, net).join(labels, "doc_id").filter(remainder(F.col("doc_id"), 5) == 0).collect()
+    assert np.mean([(r.score >= 0.5) == bool(r.toxic) for r in found]) > 0.95
+    assert set(net.thresholds) == {*toxicity.FREQUENT, toxicity.OTHER}
+
+
+def test_toxicity_of_odd_rows(spark, insults):
+    net = toxicity.train(*insults, F.lit(True))
+    docs = spark.createDataFrame(ODD + [(9010, "kalo " * 50_000 + "grob")], "doc_id long, text string").selectExpr("*", "1 as score", "2 as toxic")
+    found = {r.doc_id: r.score for r in toxicity.toxic_scores(docs, net).collect()}
+    assert found[9001] == found[9002] < 0.5 and found[9010] >= 0.5 > found[9004]
+    assert toxicity.toxic_scores(docs, net).count() == docs.count()
+    assert rows(toxicity.toxic_scores(docs.filter("false"), net)) == []
+    only_good = insults[1].filter("toxic = 0")
+    assert toxicity.train(insults[0], only_good, F.lit(True)) is None
+    assert {r.score for r in toxicity.toxic_scores(docs, None).collect()} == {0.0}
+
+
+def test_thresholds_fall_into_the_gap():
+    scores, target = np.array([-3.0, -1.0, 2.0, 4.0]), np.array([0, 0, 1, 1])
+    assert -1 < toxicity._threshold(scores, target) < 2
+    assert toxicity._threshold(scores, np.ones(4, int)) < -3
+
+
+def test_text_is_split_without_reaching_over(spark):
+    a, b = "one two three", "four five"
+    alone = [x for t in (a, b) for x in toxicity.tokens([t])]
+    together = next(iter(toxicity.tokens([a, b])))
+    assert (together[0] == np.concatenate([x[0] for x in alone])).all()
+    net = toxicity.WordNetwork(np.random.default_rng(0).normal(size=(toxicity.BUCKETS, toxicity.DIM)).astype(np.float32), [np.random.default_rng(w).normal(size=(w * toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS], np.zeros(len(toxicity.WIDTHS) * toxicity.FILTERS, np.float32), np.ones(len(toxicity.WIDTHS) * toxicity.FILTERS, np.float32), 0.0)
+    one = np.concatenate([toxicity.logits(net, x[0], x[1]) for x in alone])
+    assert np.allclose(toxicity.logits(net, together[0], together[1]), one, rtol=1e-4)
+
+
+@pytest.fixture(scope="module")
+def junk(spark):
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(600):
+        text = prose(rng, rng.choice(["aa", "cc"]), rng.randrange(20, 300))
+        kind = rng.choice(["good", "good", "caps", "same", "marks"])
+        if kind == "caps":
+            text = text[: len(text) // 2] + text[len(text) // 2 :].upper().replace(" ", "!! ")
+        elif kind == "same":
+            text += " " + " ".join([text.split()[0]] * 60)
+        elif kind == "marks":
+            text = text.replace(" ", "%%% ")
+        docs.append((i, text))
+        labels.append((i, int(kind == "good"), 0))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_quality_by_held_out_texts(junk):
+    docs, labels = junk
+    model = quality.train(docs, labels, remainder(F.col("doc_id"), 4) != 2)
+    found = quality.quality_scores(docs, model).join(labels, "doc_id").filter(remainder(F.col("doc_id"), 4) == 2).collect()
+    assert np.mean([(r.score >= 0.7) == bool(r.quality) for r in found]) > 0.93
+
+
+def test_quality_of_odd_rows(spark, junk):
+    model = quality.train(*junk, F.lit(True))
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").selectExpr("*", "1 as score", "2 as quality")
+    found = quality.quality_scores(docs, model).collect()
+    by_id = {r.doc_id: r.score for r in found}
+    assert len(found) == len(ODD) and all(0 <= r.score <= 1 for r in found) and by_id[9001] == by_id[9002]
+    assert rows(quality.quality_scores(docs.filter("false"), model)) == []
+    assert quality.train(junk[0], junk[1].filter("quality = 1"), F.lit(True)) is None
+
+
+def test_passages_cover_every_word_and_do_not_mix_texts():
+    texts = ["a b c " * 40, None, "x", "Zz! " * 100]
+    together = [f[a:b] for f, e in quality.passages(texts) for a, b in zip(e, e[1:])]
+    alone = [f for t in texts for f, _ in quality.passages([t])]
+    assert [len(t) for t in together] == [3, 1, 1, 3]
+    assert all(np.allclose(x, y) for x, y in zip(together, alone))
+
+
+def test_attention_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(1)
+    bags = [rng.normal(size=(n, quality.FEATURES)).astype(np.float32) for n in (1, 3, 5)] * 20
+    target = np.array([0, 1, 1] * 20)
+    model = quality.fit(bags, target)
+    edges = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
+    score = quality._forward(model, np.concatenate(bags), edges)["score"]
+    assert np.mean((score >= 0.5) == target) > 0.95

@@ -1,0 +1,86 @@
+import gzip
+import hashlib
+from pathlib import Path
+
+import pytest
+
+from almanac.llm.warc import audit, leaves, read_warc, record_of, write_warc
+from tests.conftest import rows
+
+SCHEMA = "page_id long, url string, html string"
+PAGES = [(1, "http://a/é", "<p>x</p>"), (2, "http://b", "line\r\n\r\nline"), (3, "http://c", ""), (4, "http://d", "ends\r\n"), (5, None, None), (6, "http://e", "ß" * 5000)]
+
+
+def records(spark, pages):
+    df = spark.createDataFrame(pages, SCHEMA)
+    return df.select("page_id", "url", record_of(df.page_id, df.url, df.html).alias("record"))
+
+
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_round_trip(spark, tmp_path, compression):
+    path = str(tmp_path / "warc")
+    write_warc(spark.createDataFrame(PAGES, SCHEMA).repartition(2), path, compression)
+    found = read_warc(spark, path)
+    assert rows(found.select("url", "html")) == sorted(((u or "", h or "") for _, u, h in PAGES))
+    assert found.filter("not intact").count() == 0
+    ids = {r.record_id for r in found.collect()}
+    assert len(ids) == len(PAGES) and all(len(i) == 36 for i in ids)
+
+
+def test_files_are_plain_warc(spark, tmp_path):
+    write_warc(spark.createDataFrame(PAGES[:2], SCHEMA).coalesce(1), str(tmp_path / "w"))
+    data = b"".join(gzip.open(f).read() for f in Path(tmp_path / "w").glob("*.gz"))
+    read = []
+    while data:  # as the format says: header, blank line, so many bytes, two blank lines
+        head, _, data = data.partition(b"\r\n\r\n")
+        assert head.startswith(b"WARC/1.0\r\nWARC-Type: resource\r\n")
+        size = int(dict(h.split(b": ", 1) for h in head.split(b"\r\n")[1:])[b"Content-Length"])
+        read.append(data[:size].decode())
+        assert data[size : size + 4] == b"\r\n\r\n"
+        data = data[size + 4 :]
+    assert read == [h for _, _, h in PAGES[:2]]
+
+
+def test_a_cut_record_is_not_intact(spark, tmp_path):
+    path = tmp_path / "cut.warc"
+    path.write_bytes(b"WARC/1.0\r\nWARC-Target-URI: u\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n")
+    found = read_warc(spark, str(path)).collect()
+    assert [(r.url, r.html, r.intact) for r in found] == [("u", "short", False)]
+
+
+def test_leaves_have_the_offsets_of_the_files(spark):
+    found = leaves(records(spark, PAGES), ["page_id", "url"]).orderBy("pos").collect()
+    offset = 0
+    for k, r in enumerate(found):
+        assert (r.pos, r.offset) == (k, offset)
+        offset += r.length
+    text = records(spark, PAGES[:1]).collect()[0].record
+    assert found[0].digest == hashlib.sha256(text.encode()).hexdigest()
+    assert found[0].length == len(text.encode()) + 4
+
+
+@pytest.mark.parametrize("fanout", [2, 3, 64])
+@pytest.mark.parametrize("bad", [set(), {0}, {99}, {3, 4, 50}, set(range(100))])
+def test_audit_finds_damage_and_nothing_else(spark, fanout, bad):
+    pages = [(i, f"http://h/{i}", "text" * (i % 7)) for i in range(100)]
+    copy = [(i, u, "~" + h if i in bad and len(bad) == 100 else ("X" * len(h) if i in bad and h else h + ("" if h or i not in bad else ""))) for i, u, h in pages]
+    changed = {a[0] for a, b in zip(pages, copy) if a != b}
+    found = audit(records(spark, pages), records(spark, copy), ["page_id", "url"], fanout).collect()
+    assert len(found) == 100
+    assert {r.page_id for r in found if not r.ok} == changed
+
+
+def test_a_lost_record_moves_what_follows(spark):
+    pages = [(i, "u", f"page {i}") for i in range(10)]
+    found = audit(records(spark, pages), records(spark, pages[:4] + pages[5:]), ["page_id", "url"], 2).collect()
+    assert {r.page_id for r in found if r.ok} == {0, 1, 2, 3}
+
+
+def test_odd_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    empty = none.select("page_id", "url", record_of(none.page_id, none.url, none.html).alias("record"))
+    assert audit(empty, empty, ["page_id", "url"]).collect() == []
+    assert [r.ok for r in audit(records(spark, PAGES[:1]), empty, ["page_id", "url"]).collect()] == [False]
+    same = [(None, None, None)] * 3 + [(1, "u", "x" * 300_000)] * 2
+    more = records(spark, same).selectExpr("*", "1 as pos", "2 as part", "3 as digest")
+    assert [r.ok for r in audit(more, more, ["page_id", "url"], 2).collect()] == [True] * 5
