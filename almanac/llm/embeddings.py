@@ -179,7 +179,8 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     sized = classes.select("node", "copies").join(counts, "node", "left").join(roots, "node", "left")
     facts = sized.select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"))
     rows = members.select("vec_id", "node").join(facts, "node", "left")
-    least_id = rows.filter("root is not null").groupBy("root").agg(F.min("vec_id").alias("least"))
+    # Written first, so that the join is one of its own and a component with very many members is split in it.
+    least_id = materialise(rows.filter("root is not null").groupBy("root").agg(F.min("vec_id").alias("least")), "least")
     component = F.coalesce("least", "vec_id")
     return rows.join(least_id, "root", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

@@ -109,16 +109,16 @@ def _survivors(rows: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(fp, n, prefix): the shingles, rarest first, of which two linked sets must have one in common.
+    """(fp, n, share, prefix): the shingles, rarest first, of which two linked sets must have one in common.
 
     Shingles of one set only can match nothing; they come first in the order and fill the prefix, so
-    sets with too many of them are out.
+    sets with too many of them are out. ``share`` is what part of the set other sets have too.
     """
     spread = sets.select("fp", "n", F.explode("shingles").alias("token"))
     common = spread.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     listed = spread.join(common, "token").groupBy("fp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
     room = f"size(shared) - n + {_spare()} + 1"
-    return listed.filter(f"{room} > 0").selectExpr("fp", "n", f"transform(slice(shared, 1, cast({room} as int)), x -> x.token) as prefix")
+    return listed.filter(f"{room} > 0").selectExpr("fp", "n", "size(shared) / n as share", f"transform(slice(shared, 1, cast({room} as int)), x -> x.token) as prefix")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def _folded(signature: bytes, width: int) -> np.ndarray:
 def _tile_pairs(tile: pd.DataFrame) -> pd.DataFrame:
     """Pairs of different components whose signatures leave room for enough overlap."""
     n = tile["n"].to_numpy(np.int64)
-    # Components as small integers, sides as the block that a row comes from.
+    # Components as small integers, the block that a row comes from, and prefixes as they were cut.
     comp = pd.factorize(tile["comp"])[0]
     upper, block = tile["upper"].to_numpy(bool), tile["block"].to_numpy(np.int64)
     width = 8 * min(map(len, tile["signature"]))
@@ -154,8 +154,10 @@ def _tile_pairs(tile: pd.DataFrame) -> pd.DataFrame:
     if tile["i"].iloc[0] != tile["j"].iloc[0]:
         close &= block[:, None] != block[None, :]
     a, b = np.nonzero(np.triu(close, 1))
-    fps = tile["fp"].to_numpy()
-    return pd.DataFrame({"a": [min(fps[x], fps[y]) for x, y in zip(a, b)], "b": [max(fps[x], fps[y]) for x, y in zip(a, b)]})
+    # A pair that meets in several tiles is told in the one of its least common shingle only.
+    fps, token, seen = tile["fp"].to_numpy(), tile["token"].iloc[0], {i: set(tile["prefix"].iloc[i].tolist()) for i in {*a.tolist(), *b.tolist()}}
+    pairs = [(min(fps[x], fps[y]), max(fps[x], fps[y])) for x, y in zip(a.tolist(), b.tolist()) if min(seen[x] & seen[y]) == token]
+    return pd.DataFrame(pairs, columns=["a", "b"])
 
 
 def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,7 +177,7 @@ def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _tile_pairs(pd.concat(held, ignore_index=True))
 
 
-def _tile_candidates(entries: DataFrame, signatures: DataFrame) -> DataFrame:
+def _tile_candidates(entries: DataFrame, facts: DataFrame) -> DataFrame:
     """(a, b) of sets in different components that meet in a tile and pass the bound.
 
     A tile has a prefix shingle and two neighbouring size bands; sets two bands apart differ too much
@@ -190,10 +192,10 @@ def _tile_candidates(entries: DataFrame, signatures: DataFrame) -> DataFrame:
     mixed_up = mixed_up.filter("lo < hi and not u").select(*tile, F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     dealt = spread.join(mixed_up, tile).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).join(signatures, "fp")
+    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).join(facts, "fp")
     placed = dealt.repartition("token", "band", "i", "j").sortWithinPartitions("token", "band", "i", "j")
-    columns = placed.select("token", "band", "i", "j", "fp", "n", "comp", "upper", "block", "signature")
-    return columns.mapInPandas(_tiles, "a binary, b binary").distinct()
+    columns = placed.select("token", "band", "i", "j", "fp", "n", "comp", "upper", "block", "signature", "prefix")
+    return columns.mapInPandas(_tiles, "a binary, b binary")
 
 
 def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
@@ -214,15 +216,17 @@ def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFr
     sets = materialise(full.filter("n > 0").groupBy("fp").agg(*firsts), "sets")
     prefixes = materialise(_prefixes(sets), "prefixes")
 
-    entries = prefixes.select("fp", "n", F.explode("prefix").alias("token"))
-    pivots = entries.groupBy("token").agg(F.min("fp").alias("pivot"))
+    entries = prefixes.select("fp", "n", "share", F.explode("prefix").alias("token"))
+    # The set with the fewest shingles of its own is the likeliest centre of those that share one.
+    pivots = entries.groupBy("token").agg(F.max_by("fp", F.struct("share", "fp")).alias("pivot"))
     common = entries.join(pivots, "token").filter("fp <> pivot").groupBy("fp", "pivot").agg(F.count("*").alias("common"))
     best = common.groupBy("fp").agg(F.max_by("pivot", F.struct("common", "pivot")).alias("b"))
     stars = materialise(_verified(best.select(F.col("fp").alias("a"), "b"), sets), "stars")
 
     roots = components(stars).withColumnRenamed("node", "fp")
     entries = entries.join(roots, "fp", "left").select("token", "fp", "n", F.coalesce("root", "fp").alias("comp"))
-    pairs = materialise(_tile_candidates(entries, sets.select("fp", "signature")), "candidates")
+    facts = sets.select("fp", "signature").join(prefixes.select("fp", "prefix"), "fp")
+    pairs = materialise(_tile_candidates(entries, facts), "candidates")
     return components(stars.union(_verified(pairs, sets)))
 
 
@@ -238,7 +242,8 @@ def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     roots = materialise(similar_sets(docs, rows, words), "roots").withColumnRenamed("node", "fp")
     members = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "n").join(roots, "fp", "left")
     members = members.withColumn("root", F.coalesce("root", "fp"))
-    least = members.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    # Written first, so that the join is one of its own and a component with very many members is split in it.
+    least = materialise(members.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return members.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
