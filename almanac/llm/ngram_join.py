@@ -31,7 +31,8 @@ def _sets(texts: pd.Series, words: int) -> Iterator[np.ndarray]:
         bounds = np.searchsorted(starts, rows)
         whole = hashes.copy()  # of the shingle that starts here
         for k in range(1, words):
-            whole[: len(hashes) - k] = mixed(whole[: len(hashes) - k]) + hashes[k:]
+            n = max(0, len(hashes) - k)
+            whole[:n] = mixed(whole[:n]) + hashes[k : k + n]
         for i in range(last - first):
             a, b = bounds[i], bounds[i + 1]
             if b - a >= words:
