@@ -51,21 +51,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier, year, month, quantity and price are NULL in some rows, and so are all taxes of one year."""
+
+    def but(column: str | Column, *where: str) -> Column:
+        return F.when(F.expr(" or ".join(where)), F.lit(None)).otherwise(column)
+
+    year = F.year("l_shipdate")
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("station"),
-        F.year("l_shipdate").alias("year"),
-        F.month("l_shipdate").alias("month"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
+        but(F.col("l_suppkey"), "l_orderkey % 97 = 1").alias("station"),
+        but(year, "l_orderkey % 89 = 2").alias("year"),
+        but(F.month("l_shipdate"), "l_orderkey % 83 = 3").alias("month"),
+        but(F.col("l_quantity"), "l_partkey % 13 = 4").alias("quantity"),
+        but(F.col("l_extendedprice"), "l_partkey % 11 = 5").alias("price"),
         F.rint(F.nullif("l_discount", F.lit(0.0)) * 100).alias("discount"),
-        F.rint(F.col("l_tax") * 100).alias("tax"),
+        but(F.rint(F.col("l_tax") * 100), "year(l_shipdate) = 1995").alias("tax"),
     )
 
 
 # -- ingest ---------------------------------------------------------------------------------------
 
 
-def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+# What is odd about some orders' lines: a value that is no number, a note at the end, a value too few.
+NO_NUMBER, NOTE, TOO_FEW = "l_orderkey % 50 = 7", "l_orderkey % 50 = 8", "l_orderkey % 50 = 9"
+
+
+def station_lines(
+    spark: SparkSession, sf_dir: str, odd: bool = False, key: str = "l_suppkey", about_key: str = "s_suppkey"
+) -> DataFrame:
     """Orders' lines rendered as station text, between the other lines such files have."""
 
     def text(number: Column) -> Column:
@@ -79,34 +91,69 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sun = F.when(F.col("l_discount") == 0, F.concat(F.lit("---"), detached)).otherwise(
         F.concat(text(F.col("l_discount")), mark)
     )
+    end = F.lit("")
+    if odd:
+        sun = F.when(F.expr(NO_NUMBER), "x").when(F.expr(TOO_FEW), "").otherwise(sun)
+        end = F.when(F.expr(NOTE), "   moved to a new place").otherwise("")
     line = F.concat(
         F.lit("   "), F.year("l_shipdate"), F.lit("  "), F.month("l_shipdate"),
         F.lit("   "), text(F.col("l_quantity")), F.lit("    "), tmin,
         F.lit("      "), "l_linenumber", F.lit("   "), text(F.col("l_extendedprice")), mark,
-        F.lit("    "), sun, F.when(F.col("l_linestatus") == "O", "  Provisional").otherwise(""),
+        F.lit("    "), sun, F.when(F.col("l_linestatus") == "O", "  Provisional").otherwise(""), end,
     )
     # explode makes the line a column that is rendered once, as if it had been read.
     data = item.select(
-        F.concat(F.lit("S-"), "l_suppkey").alias("station"), F.explode(F.array(line)).alias("value")
+        F.concat(F.lit("S-"), key).alias("station"), F.explode(F.array(line)).alias("value")
     )
     others = [
         F.col("s_name"),
-        F.lit("Location 162700E 40700N, Lat 50.218 Lon -5.327, 87m amsl"),
-        F.lit("Estimated data is marked with a * after the value."),
-        F.lit("Missing data (more than 2 days missing in month) is marked by  ---."),
-        F.lit("Sunshine data taken from an automatic sensor marked with a #"),
+        F.lit("Location 100000E 20000N, Lat 12.345 Lon -1.234, 5m amsl"),
+        F.lit("Estimated values carry a * behind them."),
+        F.lit("Missing values (no reading on most days) are given as  ---."),
+        F.lit("Sunshine by the new kind of sensor carries a #"),
         F.lit("   yyyy  mm   tmax    tmin      af    rain     sun"),
         F.lit("              degC    degC    days      mm   hours"),
         F.lit("Site closed"),
     ]
     about = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("S-"), "s_suppkey").alias("station"), F.explode(F.array(*others)).alias("value")
+        F.concat(F.lit("S-"), F.expr(about_key)).alias("station"), F.explode(F.array(*others)).alias("value")
     )
     return data.unionByName(about)
 
 
 def ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.parse_lines(station_lines(spark, sf_dir))
+    return sources.parse_lines(station_lines(spark, sf_dir, odd=True))
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sources.rejected_lines(station_lines(spark, sf_dir, odd=True))
+    return found.groupBy("station").agg(F.count("*").alias("n"))
+
+
+def _station_files(spark: SparkSession, sf_dir: str, odd: bool) -> str:
+    """Text in one folder per station, of which there are seven, with a title first in each file."""
+    path = sources.shared_path(spark, "stations")
+    lines = station_lines(spark, sf_dir, odd, "l_linenumber", "s_suppkey % 7 + 1")
+    title = F.col("value").startswith("Supplier")
+    lines.repartition("station").sortWithinPartitions("station", title.desc()).write.partitionBy("station").text(path)
+    return path
+
+
+FOLDER = "station=([^/]*)/"
+
+
+def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to a store by year, and the store read back."""
+    root = sources.shared_path(spark, "store")
+    source = _station_files(spark, sf_dir, odd=True)
+    plans.ingest(spark, source, root, partition_by=["year"], entity_in=FOLDER, rejected=f"{root}-rejected")
+    return sources.read_observations(spark, root, STATION_REPORT.struct_type(provisional=True))
+
+
+def ingest_files_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sources.shared_path(spark, "store")
+    plans.ingest(spark, _station_files(spark, sf_dir, odd=False), root, mode="legacy", entity_in=FOLDER)
+    return sources.read_observations(spark, root, STATION_REPORT.struct_type(values_as_strings=True))
 
 
 def ingest_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +198,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text to sentences: the seasonal trend of the parsed lines."""
     measures = tuple(Measure(m.name, m.label, m.unit, 2) for m in STATION_REPORT.measures)
-    found = plans.trend(ingest_lines(spark, sf_dir), ObservationSpec(measures), by_season=True)
+    parsed = sources.parse_lines(station_lines(spark, sf_dir))
+    found = plans.trend(parsed, ObservationSpec(measures), by_season=True)
     return _bigint(found, ["change"])
 
 
@@ -201,15 +249,29 @@ def month_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolled_up_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     fine = op.period_totals(observations(spark, sf_dir), ["year", "month"], MEASURES)
-    return op.as_means(op.roll_up(fine, ["year"], MEASURES), ["year"], MEASURES)
+    return op.as_means(op.roll_up(fine.filter("year is not null"), ["year"], MEASURES), ["year"], MEASURES)
 
 
 def period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact totals in units of the last decimal, per supplier and month."""
     totals = op.period_totals(observations(spark, sf_dir), ["station", "year", "month"], MEASURES)
+    totals = totals.drop(*[f"{m}_rest" for m in SPEC.measure_names])
     return _bigint(totals, [f"{m}_total" for m in SPEC.measure_names])
 
 
+def means_of_wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of values that no long holds in units, of tiny ones, and with NaN and infinity among them."""
+    line, quantity = F.col("l_linenumber"), F.col("l_quantity")
+    wide = F.when(line < 5, quantity * 1e17 + quantity).when(line == 5, F.lit(None).cast("double"))
+    wide = wide.when((line == 6) & (F.col("l_orderkey") % 2 == 0), float("inf"))
+    wide = wide.when((line == 7) & (F.col("l_orderkey") % 2 == 0), float("nan")).otherwise(quantity)
+    rows = table(spark, sf_dir, "lineitem").select(line, wide.alias("wide"), (quantity * 2.0**-30).alias("tiny"))
+    found = op.means(rows, ["l_linenumber"], [Measure("wide", scale=2), Measure("tiny")])
+    kind = F.when(F.isnan("wide_avg"), "nan").when(F.col("wide_avg") == float("inf"), "inf").otherwise("number")
+    finite = F.when(F.col("wide_avg") < float("inf"), F.col("wide_avg"))
+    return found.select("l_linenumber", kind.alias("kind"), finite.alias("wide_avg"), "tiny_avg")
+
+
 def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.first_seen(observations(spark, sf_dir))
 
@@ -299,6 +361,13 @@ def trend_totals_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bigint(op.trend_totals(changes, MEASURES, ["season"]), SPEC.measure_names)
 
 
+def trend_large_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of more than ten digits."""
+    means = period_means(spark, sf_dir).select("year", *[(F.col(f"{m}_avg") * 1e13).alias(f"{m}_avg") for m in SPEC.measure_names])
+    totals = op.trend_totals(op.deltas(means, MEASURES), MEASURES)
+    return totals.select(*[F.col(m).cast("double").alias(m) for m in SPEC.measure_names])
+
+
 def trend_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bigint(plans.trend(observations(spark, sf_dir), SPEC), ["change"])
 
@@ -308,12 +377,12 @@ def trend_text_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    ingest_lines, ingest_legacy, ingest_trend, text_scan, parquet_roundtrip, csv_roundtrip, answers,
+    ingest_lines, rejected_lines, ingest_files, ingest_files_legacy, ingest_legacy, ingest_trend, text_scan, parquet_roundtrip, csv_roundtrip, answers,
     num_periods, period_means, season_means, month_means, period_totals, rolled_up_means,
-    first_seen, max_by_entity, season_of, join_on_keys,
+    means_of_wide_values, first_seen, max_by_entity, season_of, join_on_keys,
     rank_first_seen, rank_by_max, rank_multi, best_worst, argmax_rows, argmax_rows_window,
     deltas, deltas_by_season, deltas_by_entity_season,
-    trend_totals, trend_totals_by_season, trend_text, trend_text_by_season,
+    trend_totals, trend_totals_by_season, trend_large_changes, trend_text, trend_text_by_season,
 )
 
 
@@ -350,18 +419,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # -- the same in SQL ------------------------------------------------------------------------------
 
 _OBS = """obs AS (
-  SELECT l_suppkey AS station,
-         CAST(year(l_shipdate) AS INTEGER) AS year,
-         CAST(month(l_shipdate) AS INTEGER) AS month,
-         CASE WHEN month(l_shipdate) IN (12, 1, 2) THEN 'winter'
-              WHEN month(l_shipdate) IN (3, 4, 5) THEN 'spring'
-              WHEN month(l_shipdate) IN (6, 7, 8) THEN 'summer'
-              WHEN month(l_shipdate) IN (9, 10, 11) THEN 'autumn' END AS season,
-         l_quantity AS quantity,
-         l_extendedprice AS price,
+  SELECT station, year, month,
+         CASE WHEN month IN (12, 1, 2) THEN 'winter'
+              WHEN month IN (3, 4, 5) THEN 'spring'
+              WHEN month IN (6, 7, 8) THEN 'summer'
+              WHEN month IN (9, 10, 11) THEN 'autumn' END AS season,
+         quantity, price, discount, tax
+  FROM (SELECT CASE WHEN l_orderkey % 97 = 1 THEN NULL ELSE l_suppkey END AS station,
+         CASE WHEN l_orderkey % 89 = 2 THEN NULL ELSE CAST(year(l_shipdate) AS INTEGER) END AS year,
+         CASE WHEN l_orderkey % 83 = 3 THEN NULL ELSE CAST(month(l_shipdate) AS INTEGER) END AS month,
+         CASE WHEN l_partkey % 13 = 4 THEN NULL ELSE l_quantity END AS quantity,
+         CASE WHEN l_partkey % 11 = 5 THEN NULL ELSE l_extendedprice END AS price,
          round(nullif(l_discount, 0) * 100) AS discount,
-         round(l_tax * 100) AS tax
-  FROM lineitem)"""
+         CASE WHEN year(l_shipdate) = 1995 THEN NULL ELSE round(l_tax * 100) END AS tax FROM lineitem))"""
 
 
 def _mean(measure: str) -> str:
@@ -377,7 +447,9 @@ _MEANS = ", ".join(_mean(m) for m in SPEC.measure_names)
 
 
 def _means(keys: str, where: str = "") -> str:
-    return f"SELECT {keys}, {_MEANS} FROM obs {where} GROUP BY {keys}"
+    # Rows with a NULL key belong to no group.
+    known = " AND ".join(f"{key.strip()} IS NOT NULL" for key in keys.split(","))
+    return f"SELECT {keys}, {_MEANS} FROM obs WHERE {known} {where} GROUP BY {keys}"
 
 
 def _deltas(by: str) -> str:
@@ -387,7 +459,7 @@ def _deltas(by: str) -> str:
     return f"means AS ({_means(keys)}), changes AS (SELECT {keys}, {lead} FROM means)"
 
 
-_SUMS = _each("CAST(sum(CAST({m} AS DECIMAL(10,0))) AS BIGINT) AS {m}")
+_SUMS = _each("CAST(sum(CAST({m} AS DECIMAL(38,0))) AS BIGINT) AS {m}")
 _BEST_ORDER = (
     "quantity_avg DESC NULLS LAST, price_avg DESC NULLS LAST, "
     "discount_avg ASC NULLS FIRST, tax_avg ASC NULLS FIRST"
@@ -408,7 +480,7 @@ def _text(by: str, measures=MEASURES) -> str:
     start = f"'The ' || {by} || ' avg '" if by else "'The avg '"
     parts = []
     for m in measures:
-        total = f"CAST(sum(CAST({m.name} AS DECIMAL(10,0))) AS BIGINT)"
+        total = f"CAST(sum(CAST({m.name} AS DECIMAL(38,0))) AS BIGINT)"
         verb = "CASE WHEN change < 0 THEN ' reduced by ' ELSE ' increased by ' END"
         parts.append(
             f"SELECT {ids}'{m.name}' AS measure, change, {_YEARS} AS years, "
@@ -428,6 +500,13 @@ def _argmax(measure: str) -> str:
 
 _YEAR = "CAST(year(l_shipdate) AS INTEGER)"
 _MONTH = "CAST(month(l_shipdate) AS INTEGER)"
+_ODD = f"""
+    l_quantity AS tmax,
+    CASE WHEN l_tax <> 0 THEN -l_tax END AS tmin,
+    CAST(l_linenumber AS DOUBLE) AS af,
+    l_extendedprice AS rain,
+    CASE WHEN l_discount <> 0 AND NOT {NO_NUMBER} THEN l_discount END AS sun,
+    l_linestatus = 'O' AS provisional FROM lineitem WHERE NOT {TOO_FEW}"""
 _MEASURED = """
     l_quantity AS tmax,
     CASE WHEN l_tax <> 0 THEN -l_tax END AS tmin,
@@ -460,7 +539,7 @@ WHERE CAST(no_tmin AS INTEGER) + CAST(no_sun AS INTEGER) = CAST(provisional AS I
 
 
 _STATION = [m.name for m in STATION_REPORT.measures]
-_SEASON = _OBS[_OBS.index("CASE WHEN") : _OBS.index("END AS season") + len("END AS season")]
+_SEASON = _OBS[_OBS.index("CASE WHEN") : _OBS.index("END AS season") + len("END AS season")].replace("month", "month(l_shipdate)")
 _INGEST_TREND = f"""
 WITH obs AS (SELECT {_YEAR} AS year, {_SEASON}, {_MEASURED} FROM lineitem),
 means AS (SELECT season, year, {", ".join(_mean(m) for m in _STATION)} FROM obs GROUP BY season, year),
@@ -476,7 +555,7 @@ def _answer(name: str, table: str, **columns: str) -> str:
 
 
 def _highest(measure: str) -> str:
-    ranked = f"row_number() OVER (ORDER BY max_{measure} DESC NULLS LAST, station)"
+    ranked = f"row_number() OVER (ORDER BY max_{measure} DESC NULLS LAST, station NULLS FIRST)"
     tops = f"(SELECT station, max({measure}) AS max_{measure} FROM obs GROUP BY station)"
     name = f"Q4b/Max{measure.capitalize()}Station"
     return _answer(name, tops, station="station", value=f"max_{measure}", rank=ranked)
@@ -496,12 +575,12 @@ def _best(label: str, order: str) -> str:
 _SEASON_CHANGES = _deltas("season").replace("means AS", "s_means AS").replace("FROM means", "FROM s_means")
 _SEASON_CHANGES = _SEASON_CHANGES.replace("changes AS", "s_changes AS")
 _ANSWERS = f"""
-WITH {_OBS}, {_deltas("")}, {_SEASON_CHANGES}, may AS ({_means("year", "WHERE month = 5")}),
+WITH {_OBS}, {_deltas("")}, {_SEASON_CHANGES}, may AS ({_means("year", "AND month = 5")}),
 seen AS (SELECT station, min(year) AS y FROM obs GROUP BY station)
 """ + " UNION ALL ".join(
     [
         _answer("Q4a/OldestStation", "seen", station="station", year="y",
-                rank="row_number() OVER (ORDER BY y NULLS FIRST, station)"),
+                rank="row_number() OVER (ORDER BY y NULLS FIRST, station NULLS FIRST)"),
         _highest("quantity"),
         _highest("price"),
         _answer("Q4c/YearlyTrend", f"({_text('')})", text="patterns"),
@@ -520,7 +599,15 @@ seen AS (SELECT station, min(year) AS y FROM obs GROUP BY station)
 def observation_sql() -> dict[str, str]:
     return {
         "ingest_lines": f"""SELECT 'S-' || l_suppkey AS station, {_YEAR} AS year, {_MONTH} AS month,
-            {_MEASURED} FROM lineitem""",
+            {_ODD}""",
+        "rejected_lines": f"""SELECT 'S-' || l_suppkey AS station, count(*) AS n FROM lineitem
+            WHERE {TOO_FEW} GROUP BY 1""",
+        "ingest_files": f"SELECT 'S-' || l_linenumber AS station, {_YEAR} AS year, {_MONTH} AS month, {_ODD}",
+        "ingest_files_legacy": _LEGACY.replace("'S' || l_suppkey", "'S' || l_linenumber"),
+        "means_of_wide_values": """SELECT l_linenumber, CASE l_linenumber WHEN 6 THEN 'inf' WHEN 7 THEN 'nan' ELSE 'number' END AS kind,
+            CASE WHEN l_linenumber < 5 THEN CAST(sum(CAST(CAST((l_quantity * 1e17 + l_quantity) * 100 AS DOUBLE) AS HUGEINT)) AS DOUBLE)
+                / 100 / count(*) END AS wide_avg, sum(l_quantity) / 1073741824 / count(*) AS tiny_avg
+            FROM lineitem GROUP BY l_linenumber""",
         "ingest_legacy": _LEGACY,
         "ingest_trend": _INGEST_TREND,
         "answers": _ANSWERS,
@@ -533,7 +620,7 @@ def observation_sql() -> dict[str, str]:
         "num_periods": f"WITH {_OBS} SELECT count(*) AS periods FROM (SELECT DISTINCT year FROM obs)",
         "period_means": f"WITH {_OBS} {_means('year')}",
         "season_means": f"WITH {_OBS} {_means('year, season')}",
-        "month_means": f"WITH {_OBS} {_means('year', 'WHERE month = 5')}",
+        "month_means": f"WITH {_OBS} {_means('year', 'AND month = 5')}",
         "rolled_up_means": f"WITH {_OBS} {_means('year')}",
         "period_totals": f"""WITH {_OBS} SELECT station, year, month,
             {_each('CAST(sum(CAST(round({m} * 100) AS BIGINT)) AS BIGINT) AS {m}_total')},
@@ -561,7 +648,7 @@ def observation_sql() -> dict[str, str]:
                   FROM orders GROUP BY o_custkey)""",
         "rank_multi": f"""WITH {_OBS}, means AS ({_means('station, year')})
             SELECT *, row_number() OVER (ORDER BY {_BEST_ORDER}, station, year) AS rank FROM means""",
-        "best_worst": f"""WITH {_OBS}, means AS ({_means('year', 'WHERE month = 5')})
+        "best_worst": f"""WITH {_OBS}, means AS ({_means('year', 'AND month = 5')})
             SELECT * FROM (SELECT 'best_year' AS year_type, year AS value FROM means
                            ORDER BY {_BEST_ORDER}, year ASC LIMIT 1)
             UNION ALL
@@ -576,6 +663,8 @@ def observation_sql() -> dict[str, str]:
                       WINDOW w AS (PARTITION BY station, season ORDER BY year))
             SELECT station, season, year, {_each('next_{m} - {m}_avg AS {m}')} FROM leads
             WHERE {_each('next_{m} IS NOT NULL').replace(',', ' AND')}""",
+        "trend_large_changes": f"""WITH {_OBS}, {_deltas("").replace("lead(", "1e13 * lead(").replace(" - ", " - 1e13 * ")}
+            SELECT {_SUMS.replace("AS BIGINT", "AS DOUBLE")} FROM changes""",
         "trend_totals": f"WITH {_OBS}, {_deltas('')} SELECT {_SUMS} FROM changes",
         "trend_totals_by_season": f"""WITH {_OBS}, {_deltas('season')}
             SELECT season, {_SUMS} FROM changes GROUP BY season""",

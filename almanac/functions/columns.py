@@ -48,9 +48,9 @@ def cast_columns(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame
     kinds = dict(columns)
     return df.select(
         *[
-            F.col(name).try_cast("bigint" if kinds[name] == "long" else kinds[name]).alias(name)
+            F.col(quoted(name)).try_cast("bigint" if kinds[name] == "long" else kinds[name]).alias(name)
             if name in kinds
-            else F.col(name)
+            else F.col(quoted(name))
             for name in df.columns
         ]
     )

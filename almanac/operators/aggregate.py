@@ -13,7 +13,7 @@ from almanac.spec import Measure
 
 def num_periods(df: DataFrame, period: str = "year") -> DataFrame:
     """One row with the number of distinct periods; NULL counts as one."""
-    return df.select(period).distinct().agg(F.count("*").alias("periods"))
+    return df.select(quoted(period)).distinct().agg(F.count("*").alias("periods"))
 
 
 def _number(measure: Measure) -> str:
@@ -21,52 +21,76 @@ def _number(measure: Measure) -> str:
     return f"try_cast({quoted(measure.name)} as double)"
 
 
+# Units up to here fit a long, and up to here a decimal sum of ten billion of them.
+_LONG, _DECIMAL = "9e18D", "1e28D"
+
+
+def _units(measure: Measure) -> str:
+    return f"rint({_number(measure)} * {10**measure.scale}D)"
+
+
 def _total(measure: Measure) -> str:
     """Sum of a measure: in units of its last decimal if it has a scale, else as double.
 
     Adding units is exact, and takes long arithmetic only: summing decimals would cost ten times as
     much. The low 20 bits and the rest are summed apart, so that no group of any real size overflows.
+    Units that no long holds are summed as decimals; what no decimal holds is in ``_rest``.
     """
     if measure.scale is None:
         return f"sum({_number(measure)})"
-    units = f"cast(rint({_number(measure)} * {10**measure.scale}) as bigint)"
-    high = f"cast(sum(shiftright({units}, 20)) as decimal(20,0))"
-    low = f"cast(sum({units} & {2**20 - 1}) as decimal(20,0))"
-    return f"cast({high} * {2**20} + {low} as decimal(38,0))"
+    units = _units(measure)
+    whole = f"case when abs({units}) < {_LONG} then cast({units} as bigint) end"
+    high = f"cast(sum(shiftright({whole}, 20)) as decimal(20,0))"
+    low = f"cast(sum(({whole}) & {2**20 - 1}) as decimal(20,0))"
+    small = f"cast({high} * {2**20} + {low} as decimal(38,0))"
+    between = f"abs({units}) >= {_LONG} and abs({units}) < {_DECIMAL}"
+    large = f"cast(sum(case when {between} then cast({units} as decimal(38,0)) end) as decimal(38,0))"
+    return f"coalesce(cast({small} + {large} as decimal(38,0)), {small}, {large})"
+
+
+def _rest(measure: Measure) -> str:
+    """Sum of NaN, infinities and values beyond any decimal, so that means are what they are for doubles."""
+    return f"sum(case when not abs({_units(measure)}) < {_DECIMAL} then {_number(measure)} end)"
 
 
-def _columns(measure: Measure) -> tuple[str, str, str]:
-    return quoted(f"{measure.name}_total"), quoted(f"{measure.name}_n"), quoted(f"{measure.name}_avg")
+def _columns(measure: Measure) -> tuple[str, str, str, str]:
+    return tuple(quoted(f"{measure.name}_{part}") for part in ("total", "n", "avg", "rest"))
 
 
 def period_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Total and number of non-NULL values of every measure per key, in one pass over ``df``.
 
-    Columns ``<measure>_total`` and ``<measure>_n``. Rows with NULL keys form groups as well.
+    Columns ``<measure>_total`` and ``<measure>_n``, and ``<measure>_rest`` for a measure with a scale: the
+    sum of what is no finite number of decimal size. Rows with NULL keys form groups as well.
     """
     aggregates = []
     for m in measures:
-        total, n, _ = _columns(m)
+        total, n, _, rest = _columns(m)
         aggregates += [F.expr(f"{_total(m)} as {total}"), F.expr(f"count({_number(m)}) as {n}")]
-    return df.groupBy(*keys).agg(*aggregates)
+        aggregates += [] if m.scale is None else [F.expr(f"{_rest(m)} as {rest}")]
+    return df.groupBy(*map(quoted, keys)).agg(*aggregates)
 
 
 def roll_up(totals: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Totals over fewer or coarser keys, from totals over finer ones."""
     aggregates = []
     for m in measures:
-        total, n, _ = _columns(m)
+        total, n, _, rest = _columns(m)
         kind = "double" if m.scale is None else "decimal(38,0)"
         aggregates += [F.expr(f"cast(sum({total}) as {kind}) as {total}"), F.expr(f"sum({n}) as {n}")]
-    return totals.groupBy(*keys).agg(*aggregates)
+        aggregates += [] if m.scale is None else [F.expr(f"sum({rest}) as {rest}")]
+    return totals.groupBy(*map(quoted, keys)).agg(*aggregates)
 
 
 def as_means(totals: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """``<measure>_avg`` from totals; NULL where a measure has no values."""
     averages = []
     for m in measures:
-        total, n, average = _columns(m)
-        averages.append(f"cast({total} as double) / {float(10 ** (m.scale or 0))}D / nullif({n}, 0) as {average}")
+        total, n, average, rest = _columns(m)
+        whole = f"cast({total} as double)"
+        if m.scale is not None:
+            whole = f"(coalesce({whole}, 0D) / {float(10**m.scale)}D + coalesce({rest}, 0D))"
+        averages.append(f"{whole} / nullif({n}, 0) as {average}")
     return totals.selectExpr(*[quoted(key) for key in keys], *averages)
 
 
@@ -77,12 +101,12 @@ def means(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> Da
 
 
 def first_seen(df: DataFrame, entity: str = "station", period: str = "year") -> DataFrame:
-    return df.groupBy(entity).agg(F.min(period).alias(f"min_{period}"))
+    return df.groupBy(quoted(entity)).agg(F.min(quoted(period)).alias(f"min_{period}"))
 
 
 def max_by_entity(df: DataFrame, measures: Sequence[str], entity: str = "station") -> DataFrame:
     """Maximum of each measure per entity, ``max_<measure>``, in one pass."""
-    return df.groupBy(entity).agg(*[F.max(m).alias(f"max_{m}") for m in measures])
+    return df.groupBy(quoted(entity)).agg(*[F.max(quoted(m)).alias(f"max_{m}") for m in measures])
 
 
 def join_on_keys(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -4,13 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.functions.columns import quoted
 from almanac.operators.aggregate import max_by_entity
 from almanac.sources.shared import materialise
 
 _COPIES = 10_000
+#: Pieces that the rows of one (entity, value) are cut into before they are joined.
+_PIECES = 16
+
+
+def _at_top(df: DataFrame, maxima: DataFrame, entity: str, measure: str, keep: Sequence[str]) -> DataFrame:
+    """(keep…, entity, max_<measure>) of the rows of ``df`` at their entity's maximum.
+
+    Every row is in one of ``_PIECES`` pieces by its number, and each maximum is there for every piece, so that
+    not even an entity with very many rows of one value is one task's, with or without adaptive execution.
+    """
+    top = f"max_{measure}"
+    wanted = maxima.filter(F.col(quoted(top)).isNotNull()).select(
+        F.col(quoted(entity)).alias("_entity"), quoted(top), F.explode(F.sequence(F.lit(0), F.lit(_PIECES - 1))).alias("_piece")
+    )
+    columns = list(dict.fromkeys([entity, *keep, measure]))
+    rows = df.select(*map(quoted, columns)).withColumn("_of", F.pmod(F.monotonically_increasing_id(), F.lit(_PIECES)).cast("int"))
+    same = (F.col(quoted(entity)) == F.col("_entity")) & (F.col(quoted(measure)) == F.col(quoted(top)))
+    return rows.join(wanted, same & (F.col("_of") == F.col("_piece")))
 
 
 def argmax_rows(
@@ -24,38 +43,34 @@ def argmax_rows(
 
     The maxima are written to the shared folder first, so that Catalyst knows their size: below the
     broadcast threshold the rows are filtered where they are read and nothing else is shuffled. Above
-    it, rows are joined on (entity, value); only a hot entity's rows at its maximum share a key, and
-    adaptive execution splits them. Pass ``maxima`` (from ``max_by_entity``) to share them.
+    it, all rows are shuffled by (entity, value, piece). Pass ``maxima`` (from ``max_by_entity``) to share them.
     """
     if maxima is None:
         maxima = materialise(max_by_entity(df, [measure], entity), "maxima")
-    top = f"max_{measure}"
-    maxima = maxima.select(F.col(entity).alias("_entity"), top)
-    at_top = (F.col(entity) == F.col("_entity")) & (F.col(measure) == F.col(top))
-    return df.select(entity, *keep, measure).join(maxima, at_top).select(entity, *keep, top)
+    found = _at_top(df, maxima, entity, measure, keep)
+    return found.select(*map(quoted, [entity, *keep, f"max_{measure}"]))
 
 
 def argmax_rows_window(
     df: DataFrame, measure: str, keep: Sequence[str] = ("year",), entity: str = "station"
 ) -> DataFrame:
-    """The same rows by a window, in one pass and without a job of its own.
+    """The same rows by counts, without a job of its own.
 
     Equal (entity, keep…, value) rows are counted first, on the map side, and written out again at the
-    end; an entity's window then holds one row per value of ``keep``, however hot the entity. Suits
-    measures with few distinct values and ``keep`` columns that are periods.
+    end. Of the counted rows the maxima are taken, again on the map side, and joined back by piece. Suits
+    measures with few distinct values and ``keep`` columns that are periods; no window holds an entity.
     """
     top = f"max_{measure}"
     counted = (
-        df.filter(F.col(entity).isNotNull() & F.col(measure).isNotNull())
-        .groupBy(entity, *keep, F.col(measure).alias(top))
+        df.filter(F.col(quoted(entity)).isNotNull() & F.col(quoted(measure)).isNotNull())
+        .groupBy(*map(quoted, dict.fromkeys([entity, *keep, measure])))
         .agg(F.count("*").alias("_n"))
     )
-    place = F.rank().over(Window.partitionBy(entity).orderBy(F.col(top).desc()))
-    best = counted.withColumn("_place", place).filter("_place = 1")
+    best = _at_top(counted, max_by_entity(counted, [measure], entity), entity, measure, [*keep, "_n"])
     # A count can be large: cut it into batches, spread those, and write out each batch where it is.
     batch = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _COPIES)))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     batches = best.select("*", batch.alias("_batch")).repartition(tasks)
     size = F.least(F.lit(_COPIES), F.col("_n") - F.col("_batch") * _COPIES)
     copies = batches.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy"))
-    return copies.select(entity, *keep, top)
+    return copies.select(*map(quoted, [entity, *keep, top]))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.functions.columns import quoted
 from almanac.sources.shared import materialise
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
@@ -23,8 +24,8 @@ def ordering(order: Order, reverse: bool = False) -> list[Column]:
     for name, direction in order:
         if direction not in ("asc", "desc"):
             raise ValueError(f"direction of {name} must be asc or desc, not {direction!r}")
-        ascending = (direction == "asc") != reverse
-        columns.append(F.col(name).asc_nulls_first() if ascending else F.col(name).desc_nulls_last())
+        ascending, column = (direction == "asc") != reverse, F.col(quoted(name))
+        columns.append(column.asc_nulls_first() if ascending else column.desc_nulls_last())
     return columns
 
 
@@ -53,7 +54,7 @@ def rank_global(df: DataFrame, order: Order, name: str = "rank") -> DataFrame:
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_before") + row + 1).alias(name))
+        .select(*map(quoted, df.columns), (F.col("_before") + row + 1).alias(name))
     )
 
 
@@ -69,7 +70,7 @@ def best_worst(df: DataFrame, period: str, order: Order, labels=("best_year", "w
         return df.orderBy(*ordering(full, reverse)).limit(1)
 
     first, last = [
-        top(reverse).select(F.lit(label).alias("year_type"), F.col(period).alias("value"))
+        top(reverse).select(F.lit(label).alias("year_type"), F.col(quoted(period)).alias("value"))
         for label, reverse in zip(labels, (False, True))
     ]
     return first.unionByName(last)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from almanac.functions.columns import all_present, quoted, trend_sentence
 from almanac.spec import Measure
 
+#: Digits of the largest change that can be added.
+DIGITS = 38
+
 
 def deltas(
     means: DataFrame,
@@ -40,12 +43,28 @@ def deltas(
 
 
 def trend_totals(
-    changes: DataFrame, measures: Sequence[Measure], by: Sequence[str] = (), extra: Sequence[Column] = ()
+    changes: DataFrame,
+    measures: Sequence[Measure],
+    by: Sequence[str] = (),
+    extra: Sequence[Column] = (),
+    digits: int = DIGITS,
 ) -> DataFrame:
-    """Sum of each measure's changes, each rounded half up to an integer before; all in one pass."""
-    names = [quoted(m.name) for m in measures]
-    sums = [F.expr(f"sum(try_cast({name} as decimal(10,0))) as {name}") for name in names]
-    return changes.groupBy(*by).agg(*sums, *extra)
+    """Sum of each measure's changes, each rounded half up to an integer before; all in one pass.
+
+    NaN and infinite changes count for nothing, like NULL. A finite change of more than 38 digits fails
+    the query rather than leave the sum. ``digits=10`` leaves out larger changes, as an older job did.
+    """
+    sums = [F.expr(f"sum({_rounded(quoted(m.name), digits)}) as {quoted(m.name)}") for m in measures]
+    return changes.groupBy(*map(quoted, by)).agg(*sums, *extra)
+
+
+def _rounded(name: str, digits: int) -> str:
+    whole = f"try_cast({name} as decimal({digits},0))"
+    if digits < DIGITS:
+        return whole
+    finite = f"abs({name}) < double('infinity')"
+    lost = f"cast(raise_error(concat('change too large to add: ', {name})) as decimal({DIGITS},0))"
+    return f"case when {finite} then coalesce({whole}, {lost}) end"
 
 
 def trend_text(
@@ -58,6 +77,7 @@ def trend_text(
     ids = [by] if by else []
     names = [m.name for m in measures]
     count = F.col(years) if isinstance(years, str) else F.lit(years)
-    wide = totals.select(*ids, count.cast("bigint").alias("years"), *names)
-    rows = wide.unpivot([*ids, "years"], names, "measure", "change")
+    ids = [quoted(i) for i in ids]
+    wide = totals.select(*ids, count.cast("bigint").alias("years"), *map(quoted, names))
+    rows = wide.unpivot([*ids, "years"], [quoted(n) for n in names], "measure", "change")
     return rows.select(*ids, "measure", "change", "years", trend_sentence(measures, by).alias("patterns"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import all_present, with_season
+from almanac.functions.columns import all_present, quoted, with_season
 from almanac.operators.aggregate import (
     as_means,
     first_seen,
@@ -19,10 +19,10 @@ from almanac.operators.aggregate import (
 from almanac.operators.extremes import argmax_rows
 from almanac.operators.rank import best_worst, rank_global
 from almanac.operators.trend import deltas, trend_text, trend_totals
-from almanac.sources.shared import materialise
+from almanac.sources.shared import materialise, scratch
 from almanac.sources.store import read_observations, write_csv, write_observations
-from almanac.sources.text import parse_legacy, parse_lines, read_lines
-from almanac.spec import DECIMALS, STATION_REPORT, Measure, ObservationSpec
+from almanac.sources.text import FILE_NAME, parse_legacy, parse_lines, read_lines, rejected_lines
+from almanac.spec import STATION_REPORT, Measure, ObservationSpec
 
 # What makes a good month, most important first, for station reports.
 BEST_MONTH = (
@@ -33,9 +33,11 @@ BEST_MONTH = (
     ("af_avg", "asc"),
 )
 MAY = 5
+_NTH = "_nth_period"  # a name that columns are unlikely to have
 
 # Where a run keeps its store and each answer; {} stands for a capitalised measure.
 STORE = "PreProcessedData"
+REJECTED = "RejectedLines"
 ANSWERS = "Answers"
 OLDEST = "Q4a/OldestStation"
 HIGHEST = "Q4b/Max{}Station"
@@ -47,20 +49,33 @@ BEST_AND_WORST = "Q4e/BestWorstYear"
 
 
 def ingest(
-    spark: SparkSession, source: str, root: str, spec: ObservationSpec = STATION_REPORT, mode: str = "strict"
+    spark: SparkSession,
+    source: str,
+    root: str,
+    spec: ObservationSpec = STATION_REPORT,
+    mode: str = "strict",
+    partition_by: Sequence[str] | None = None,
+    entity_in: str = FILE_NAME,
+    rejected: str | None = None,
 ) -> None:
-    """Clean all files of a directory and store them by entity.
+    """Clean all files of a directory and store them by entity, or by the columns ``partition_by``.
+
+    One directory per entity suits some hundred entities; millions belong into partitions by year. A file
+    holds one entity, and large files are read by several tasks, so in strict mode and by entity, rows
+    are written where they are read, without a shuffle. Otherwise rows of a partition lie in many
+    files, or titles are dropped, which may shuffle lines; then they are gathered before they are written.
 
-    A file holds one entity, and large files are read by several tasks, so in strict mode rows are
-    written where they are read, without a shuffle. Dropping titles may shuffle lines, so in legacy
-    mode rows are gathered before they are written.
+    ``rejected`` is where strict mode writes the lines that start as data and are none, as Parquet.
     """
     if mode not in ("strict", "legacy"):
         raise ValueError(f"mode must be strict or legacy, not {mode!r}")
     legacy = mode == "legacy"
     parse = parse_legacy if legacy else parse_lines
-    lines = read_lines(spark, source, spec.entity, drop_titles=legacy)
-    write_observations(parse(lines, spec), root, [spec.entity], gather=legacy)
+    keys = list(partition_by or [spec.entity])
+    lines = read_lines(spark, source, spec.entity, drop_titles=legacy, entity_in=entity_in)
+    write_observations(parse(lines, spec), root, keys, gather=legacy or keys != [spec.entity])
+    if rejected and not legacy:
+        rejected_lines(lines, spec).write.mode("overwrite").parquet(rejected)
 
 
 def rank_first_seen(df: DataFrame, entity: str = "station", period: str = "year") -> DataFrame:
@@ -100,11 +115,11 @@ def trend_of_totals(totals: DataFrame, spec: ObservationSpec, by_season: bool =
     keys = [spec.year, *by]
     # The number of years is one for all seasons, and counts NULL as a year, so it is taken before
     # rows with NULL keys go. Both windows range over at most one row per year and season.
-    nth_year = F.dense_rank().over(Window.orderBy(spec.year))
-    averages = as_means(totals.withColumn("years", nth_year), [*keys, "years"], spec.measures)
-    averages = averages.withColumn("years", F.max("years").over(Window.partitionBy()))
-    changes = deltas(averages.filter(all_present(keys)), spec.measures, by, spec.year, keep=["years"])
-    years = F.coalesce(F.max("years"), F.lit(0)).alias("years")
+    nth_year = F.dense_rank().over(Window.orderBy(quoted(spec.year)))
+    averages = as_means(totals.withColumn(_NTH, nth_year), [*keys, _NTH], spec.measures)
+    averages = averages.withColumn(_NTH, F.max(_NTH).over(Window.partitionBy()))
+    changes = deltas(averages.filter(all_present(keys)), spec.measures, by, spec.year, keep=[_NTH])
+    years = F.coalesce(F.max(_NTH), F.lit(0)).alias("years")
     summed = trend_totals(changes, spec.measures, by, [years])
     return trend_text(summed, spec.measures, by="season" if by_season else None)
 
@@ -120,13 +135,26 @@ def write_answers(
     """All answers as CSV directories below ``out``.
 
     The observations are read twice for all means, trends and rankings (totals per year and month, and
-    extremes per entity, both kept in the shared folder), and once for each measure in ``extremes``.
+    extremes per entity, both kept in the shared folder), and once for each measure in ``extremes``. What
+    lies in the shared folder meanwhile is deleted at the end.
     """
+    with scratch(observations.sparkSession):
+        _write_answers(observations, out, spec, extremes, month, order)
+
+
+def _write_answers(
+    observations: DataFrame,
+    out: str,
+    spec: ObservationSpec,
+    extremes: Sequence[str],
+    month: int,
+    order: Sequence[tuple[str, str]],
+) -> None:
     entity, year = spec.entity, spec.year
     totals = materialise(period_totals(observations, [year, spec.month], spec.measures), "totals")
     entities = materialise(
-        observations.groupBy(entity).agg(
-            F.min(year).alias("min_year"), *[F.max(m).alias(f"max_{m}") for m in extremes]
+        observations.groupBy(quoted(entity)).agg(
+            F.min(quoted(year)).alias("min_year"), *[F.max(quoted(m)).alias(f"max_{m}") for m in extremes]
         ),
         "entities",
     )
@@ -157,11 +185,16 @@ def write_answers(
 
 def run_job(spark: SparkSession, settings: Mapping, mode: str = "strict") -> None:
     """A whole run from a job's settings: text in ``input_path`` to a store and all answers below
-    ``output_path``. Measures of station reports keep their wording and units.
+    ``output_path``, with the settings under ``config`` or not. Measures of station reports keep their
+    wording, units and decimals; others are averaged as doubles. ``partitionBy`` lists the columns that the
+    store is partitioned by, if not by entity.
     """
+    settings = settings.get("config", settings)
     labels = {m.name: (m.label, m.unit) for m in STATION_REPORT.measures}
-    spec = ObservationSpec.from_config(settings, labels, scale=DECIMALS)
+    spec = ObservationSpec.from_config(settings, labels, {m.name: m.scale for m in STATION_REPORT.measures})
     out = settings["output_path"].rstrip("/")
-    ingest(spark, settings["input_path"], f"{out}/{STORE}", spec, mode)
+    with scratch(spark):
+        keys = settings.get("partitionBy")
+        ingest(spark, settings["input_path"], f"{out}/{STORE}", spec, mode, keys, rejected=f"{out}/{REJECTED}")
     schema = spec.struct_type(values_as_strings=mode == "legacy")
     write_answers(read_observations(spark, f"{out}/{STORE}", schema), f"{out}/{ANSWERS}", spec)

@@ -1,6 +1,6 @@
-from almanac.sources.shared import materialise, reused, shared_folder, shared_path
+from almanac.sources.shared import materialise, reused, scratch, shared_folder, shared_path
 from almanac.sources.store import read_observations, write_csv, write_observations
-from almanac.sources.text import parse_legacy, parse_lines, read_lines
+from almanac.sources.text import parse_legacy, parse_lines, read_lines, rejected_lines
 
 __all__ = [
     "materialise",
@@ -8,7 +8,9 @@ __all__ = [
     "parse_lines",
     "read_lines",
     "read_observations",
+    "rejected_lines",
     "reused",
+    "scratch",
     "shared_folder",
     "shared_path",
     "write_csv",

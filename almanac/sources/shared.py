@@ -6,11 +6,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
@@ -27,8 +31,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, which ``scratch`` deletes if it is open."""
+    path = f"{shared_folder(spark).rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, exactly the tables in the shared folder that were begun within.
+
+    For runs that write their results elsewhere. What is still to be computed from the tables must
+    have been written before the end.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield paths
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -10,10 +10,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.functions.columns import cast_columns
+from almanac.functions.columns import cast_columns, quoted
 from almanac.sources.shared import materialise
 from almanac.spec import STATION_REPORT, ObservationSpec
 
@@ -22,7 +22,9 @@ MISSING = "---"
 PROVISIONAL = "Provisional"
 MARKS = "*#$"
 BLANKS = " \t\r\f\v"
-NUMBER = r"-?\d+(?:\.\d+)?"
+NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+START = r"^\s*\d{4}\s+\d{1,2}(?:\s|$)"
+FILE_NAME = r"([^/.]*)[^/]*$"
 
 # What the older job removed from a line, and the line starts it skipped.
 LEGACY_REMOVED = ("-", "provisional", "#", "*")
@@ -38,19 +40,25 @@ LEGACY_SKIPPED = (
 
 
 def read_lines(
-    spark: SparkSession, path: str, entity: str = "station", drop_titles: bool = False
+    spark: SparkSession,
+    path: str,
+    entity: str = "station",
+    drop_titles: bool = False,
+    entity_in: str = FILE_NAME,
 ) -> DataFrame:
-    """Lines of all files of a directory as (entity, value); the entity is the file name up to the
-    first dot.
+    """Lines of all files of a directory as (entity, value).
+
+    The entity is the first group of ``entity_in`` in a file's path: by default the file's name up to the
+    first dot; ``"station=([^/]*)/"`` finds it in the name of a folder.
 
     Cleaning recognises data lines by their form, so titles need no treatment. ``drop_titles`` drops
     all lines that equal their file's first line anyway. It reads the files twice: a first job collects
     the titles in the shared folder, whose size then tells whether they can be broadcast.
     """
-    # File names arrive percent-encoded, but with "+" as it is.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    # Paths arrive percent-encoded, but with "+" as it is.
+    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = spark.read.text(path).select(
-        F.regexp_extract(name, r"^([^.]*)", 1).alias(entity),
+        F.regexp_extract(name, entity_in, 1).alias(entity),
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
@@ -64,26 +72,57 @@ def read_lines(
             .agg(F.min_by("value", "_row").alias("value"))
         )
         lines = lines.join(materialise(titles, "titles"), ["_file", "value"], "left_anti")
-    return lines.select(entity, "value")
+    return lines.select(quoted(entity), "value")
 
 
-def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
-    """Typed observations plus ``provisional``, from every line that has the form of a data line."""
+def _tokens(lines: DataFrame, spec: ObservationSpec) -> DataFrame:
+    """(entity, value, token, ok) of every line that starts as data do: with a year and a month.
+
+    Marks and blanks separate tokens, and so does the provisional word, in any case and wherever it is
+    attached. A line is ok if it has a token for every value before that word or a note, and no
+    number after them.
+    """
     value = F.col("value")
-    measure = rf"\s+(?:{NUMBER}|{MISSING})[{MARKS}]*"
-    form = rf"^\s*\d{{4}}\s+\d{{1,2}}(?:{measure}){{{len(spec.values)}}}[{MARKS}\s]*(?:{PROVISIONAL})?\s*$"
-    # In such a line, marks stand only between values, so they separate them as blanks do.
-    token = F.split(F.btrim(value, F.lit(BLANKS)), rf"[{MARKS}\s]+")
-    tokens = lines.filter(value.rlike(form)).select(spec.entity, token.alias("token"))
+    word = rf"(?i){PROVISIONAL}"
+    apart = F.when(value.rlike(word), F.regexp_replace(value, word, f" {PROVISIONAL} ")).otherwise(value)
+    trimmed = F.ltrim(F.rtrim(apart, F.lit(BLANKS + MARKS)), F.lit(BLANKS))
+    # A generated column, which filters on it do not make Spark compute once more.
+    split = F.explode(F.array(F.split(trimmed, rf"[{MARKS}\s]+"))).alias("token")
+    tokens = lines.filter(value.rlike(START)).select(quoted(spec.entity), "value", split)
+    n = 2 + len(spec.values)
+    word_at, after = F.array_position("token", PROVISIONAL), F.get("token", F.lit(n))
+    enough = (F.size("token") >= n) & ((word_at == 0) | (word_at > n))
+    return tokens.withColumn("ok", enough & ~F.coalesce(after.rlike(f"^(?:{NUMBER}|{MISSING})$"), F.lit(False)))
+
+
+def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
+    """Typed observations plus ``provisional``, from every line with a year, a month and all values.
+
+    A value that is missing or no number is NULL, and so is a month that is none; the row stays. Lines
+    that start as data but have too few or too many values are in ``rejected_lines``.
+    """
+    tokens = _tokens(lines, spec).filter("ok")
     names = [spec.year, spec.month, *spec.values]
+    kinds = dict(spec.columns)
+
+    def value_at(i: int, name: str) -> Column:
+        token = F.get("token", F.lit(i))
+        token = token if i < 2 or kinds[name] not in ("double", "int", "long") else F.when(token.rlike(f"^{NUMBER}$"), token)
+        return (F.when(token.cast("int").between(1, 12), token) if i == 1 else token).alias(name)
+
     texts = tokens.select(
-        spec.entity,
-        *[F.get("token", F.lit(i)).alias(name) for i, name in enumerate(names)],
-        F.get("token", F.lit(len(names))).eqNullSafe(PROVISIONAL).alias("provisional"),
+        quoted(spec.entity),
+        *[value_at(i, name) for i, name in enumerate(names)],
+        F.array_contains("token", PROVISIONAL).alias("provisional"),
     )
     return cast_columns(texts, [c for c in spec.columns if c[0] in names])
 
 
+def rejected_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
+    """(entity, value) of the lines that start as data and are none, so that nothing is lost unseen."""
+    return _tokens(lines, spec).filter("not ok").select(quoted(spec.entity), "value")
+
+
 def parse_legacy(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
     """Observations as the older job stored them: year and month typed, measures as strings.
 
@@ -92,15 +131,12 @@ def parse_legacy(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Da
     therefore dropped, and a provisional row with one missing value shifts to the left.
     """
     skipped = reduce(or_, [F.startswith("value", F.lit(start)) for start in LEGACY_SKIPPED])
-    line = F.concat(F.col(spec.entity), F.lit(" "), "value")
+    line = F.concat(F.col(quoted(spec.entity)), F.lit(" "), "value")
     for removed in LEGACY_REMOVED:
         line = F.replace(line, F.lit(removed), F.lit(""))
-    token = F.split(F.rtrim(line, F.lit(BLANKS)), r"\s+")
+    # A generated column, which the filter on it does not make Spark compute once more.
+    token = F.explode(F.array(F.split(F.rtrim(line, F.lit(BLANKS)), r"\s+"))).alias("token")
     names = [spec.entity, spec.year, spec.month, *spec.values]
-    tokens = (
-        lines.filter(~skipped)
-        .select(token.alias("token"))
-        .filter(F.size("token") == len(names))
-    )
+    tokens = lines.filter(~skipped).select(token).filter(F.size("token") == len(names))
     texts = tokens.select(*[F.get("token", F.lit(i)).alias(name) for i, name in enumerate(names)])
     return cast_columns(texts, [c for c in spec.columns if c[0] in (spec.year, spec.month)])

@@ -82,19 +82,24 @@ class ObservationSpec:
 
     @classmethod
     def from_config(
-        cls, config: Mapping, labels: Mapping[str, tuple[str, str]] | None = None, scale: int | None = None
+        cls,
+        config: Mapping,
+        labels: Mapping[str, tuple[str, str]] | None = None,
+        scales: Mapping[str, int] | None = None,
     ) -> ObservationSpec:
         """Build a spec from a job's settings: ``schema`` (a list of cname/ctype pairs in the order of
         the text, of which the first three are entity, year and month), ``measuresCols``, and
-        optionally ``winterMonths`` and so on. ``labels`` gives each measure's wording and unit.
+        optionally ``winterMonths`` and so on; all of it may stand under ``config``. ``labels`` gives each
+        measure's wording and unit, ``scales`` the decimals of those that are known to have so many.
         """
+        config = config.get("config", config)
         types = tuple((field["cname"], field["ctype"]) for field in config["schema"])
         unknown = [kind for _, kind in types if kind not in _TYPES]
         if unknown:
             raise ValueError(f"unknown column types {unknown}; known are {sorted(_TYPES)}")
-        labels = labels or {}
+        labels, scales = labels or {}, scales or {}
         measures = tuple(
-            Measure(name, *labels.get(name, (name, "")), scale=scale) for name in config["measuresCols"]
+            Measure(name, *labels.get(name, (name, "")), scale=scales.get(name)) for name in config["measuresCols"]
         )
         (entity, _), (year, _), (month, _) = types[:3]
         seasons = tuple((name, tuple(config.get(f"{name}Months", months))) for name, months in SEASONS)

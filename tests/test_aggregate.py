@@ -105,3 +105,26 @@ def test_a_larger_scale_gives_the_same_means(spark):
     df = spark.createDataFrame(data, "k int, x double")
     found = [rows(means(df, ["k"], [Measure("x", scale=s)])) for s in (1, 2, 4, 6)]
     assert found[0] == found[1] == found[2] == found[3]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_of_any_size_are_averaged(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    nan, inf = float("nan"), float("inf")
+    data = [("a", 1e15), ("a", 3e15), ("b", nan), ("b", 2.0), ("c", inf), ("c", 1.0), ("d", 1e300), ("d", 1e300), ("e", 1e22), ("e", -1e22), ("e", 0.03), ("f", None)]
+    df = spark.createDataFrame(data, "k string, x double")
+    found = dict(rows(means(df, ["k"], [Measure("x", scale=4)])))
+    assert (found["a"], found["c"], found["d"], found["f"]) == (2e15, inf, 1e300, None)
+    assert found["b"] != found["b"]
+    assert found["e"] == 0.01
+    rolled = roll_up(period_totals(df, ["k"], [X]), ["k"], [X])
+    assert dict(rows(as_means(rolled, ["k"], [X])))["a"] == 2e15
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([("s", 1990, 1.5), ("s", 1991, 2.5)], "`my.station` string, `a.year` int, `rain.mm` double")
+    rain = Measure("rain.mm", scale=1)
+    assert rows(means(df, ["my.station"], [rain])) == [("s", 2.0)]
+    assert rows(first_seen(df, "my.station", "a.year")) == [("s", 1990)]
+    assert rows(max_by_entity(df, ["rain.mm"], "my.station")) == [("s", 2.5)]
+    assert rows(num_periods(df, "a.year")) == [(2,)]

@@ -7,7 +7,7 @@ from fractions import Fraction
 
 import pytest
 
-from almanac import SEASONS, STATION_REPORT
+from almanac import SEASONS, STATION_REPORT, ObservationSpec
 from almanac.plans import ingest, month_means, rank_by_max, rank_first_seen, run_job, write_answers
 from almanac.sources import parse_lines, read_lines, read_observations
 from tests.conftest import plan, rows
@@ -183,6 +183,40 @@ def test_run_from_settings(spark, folder, answers, tmp_path, mode):
         assert rows(spark.read.text(f"{tmp_path}/Answers/{answer}")) == rows(spark.read.text(f"{answers}/{answer}"))
 
 
+def test_other_settings(spark, tmp_path):
+    """Settings under ``config``, a store by year, values of many decimals, and lines that are no data."""
+    (tmp_path / "in").mkdir()
+    for k in range(5):
+        (tmp_path / "in" / f"S{k}.txt").write_text("title\n1990 1 0.00001 9\n1991 2 0.00003 9\n1991 3 1\n")
+    schema = [("station", "string"), ("year", "int"), ("month", "int"), ("flow", "double"), ("tmax", "double")]
+    settings = {"input_path": f"{tmp_path}/in", "output_path": f"{tmp_path}/out", "measuresCols": ["flow", "tmax"], "partitionBy": ["year"]}
+    settings["schema"] = [{"cname": c, "ctype": t} for c, t in schema]
+    spec = ObservationSpec.from_config({"config": settings}, scales={"tmax": 4})
+    assert [m.scale for m in spec.measures] == [None, 4]
+    ingest(spark, settings["input_path"], f"{tmp_path}/store", spec, partition_by=["year"], rejected=f"{tmp_path}/bad")
+    found = read_observations(spark, f"{tmp_path}/store", spec.struct_type())
+    assert found.count() == 10 and found.filter("year = 1990").groupBy().avg("flow").first()[0] == pytest.approx(0.00001)
+    assert {d.name for d in (tmp_path / "store").glob("year=*")} == {"year=1990", "year=1991"}
+    assert len(list((tmp_path / "store").glob("*/part-*"))) == 2
+    assert rows(spark.read.parquet(f"{tmp_path}/bad").select("value").distinct()) == [("1991 3 1",)]
+
+
+def test_the_shared_folder_is_left_empty(spark, folder, stored, tmp_path, monkeypatch):
+    from almanac.sources import shared
+
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: f"{tmp_path}/shared")
+    (tmp_path / "shared" / "almanac").mkdir(parents=True)
+    (tmp_path / "shared" / "almanac" / "other").write_text("of someone else")
+    write_answers(stored, f"{tmp_path}/answers")
+    ingest(spark, folder, f"{tmp_path}/store", mode="legacy")
+    left = [p.name for p in (tmp_path / "shared" / "almanac").iterdir()]
+    assert [n for n in left if not n.startswith("titles")] == ["other"]
+    with shared.scratch(spark) as paths:
+        df = shared.materialise(spark.range(5), "five")
+        assert df.count() == 5 and len(paths) == 1
+    assert not (tmp_path / "shared" / "almanac" / paths[0].rsplit("/", 1)[1]).exists()
+
+
 def test_strict_ingest_does_not_shuffle(spark, folder):
     assert "Exchange" not in plan(parse_lines(read_lines(spark, folder)))
 

@@ -1,22 +1,25 @@
 """Known results for four published station reports.
 
-Set ``ALMANAC_REPORTS`` to a folder with the text files of these stations, and ``ALMANAC_MAY_MEANS`` to
-a folder of CSV files with all stations' May means (year, tmax, tmin, af, rain, sun), to run them.
+They run where a folder beside the repository has the text files of these stations, and one the CSV files
+with all stations' May means (year, tmax, tmin, af, rain, sun), or where ``ALMANAC_REPORTS`` and
+``ALMANAC_MAY_MEANS`` name such folders.
 """
 
 import os
+from pathlib import Path
 
 import pytest
 
 from almanac import STATION_REPORT
 from almanac.operators import argmax_rows, best_worst, first_seen, max_by_entity, rank_global
 from almanac.plans import ingest, month_means, trend
-from almanac.plans.answers import BEST_MONTH
+from almanac.plans.answers import BEST_MONTH, MONTH_MEANS
 from almanac.sources import parse_legacy, parse_lines, read_lines, read_observations
 from tests.conftest import rows
 
-REPORTS = os.environ.get("ALMANAC_REPORTS", "")
-MAY_MEANS = os.environ.get("ALMANAC_MAY_MEANS", "")
+BESIDE = Path(__file__).resolve().parents[2] / "reference"
+REPORTS = os.environ.get("ALMANAC_REPORTS") or next((str(p.parent) for p in BESIDE.glob("**/Camborne.txt")), "")
+MAY_MEANS = os.environ.get("ALMANAC_MAY_MEANS") or next(map(str, BESIDE.glob(f"**/{MONTH_MEANS}")), "")
 needs_reports = pytest.mark.skipif(not os.path.isdir(REPORTS), reason="ALMANAC_REPORTS is not a folder")
 needs_means = pytest.mark.skipif(not os.path.isdir(MAY_MEANS), reason="ALMANAC_MAY_MEANS is not a folder")
 

@@ -119,7 +119,7 @@ def test_spec_from_settings():
         "measuresCols": ["flow"],
         "winterMonths": [1, 2, 3],
     }
-    spec = ObservationSpec.from_config(config, {"flow": ("mean flow", "m3")}, scale=2)
+    spec = ObservationSpec.from_config(config, {"flow": ("mean flow", "m3")}, {"flow": 2})
     assert (spec.entity, spec.measure_names) == ("place", ["flow"])
     assert (spec.measures[0].label, spec.measures[0].unit, spec.measures[0].scale) == ("mean flow", "m3", 2)
     assert dict(spec.seasons)["winter"] == (1, 2, 3)

@@ -41,9 +41,24 @@ def test_each_change_is_rounded_half_up_before_summing(spark):
     assert rows(trend_totals(by, [A], ["neg"])) == [(False, Decimal(2)), (True, Decimal(-3))]
 
 
-def test_changes_too_large_for_ten_digits_do_not_count(spark):
-    df = spark.createDataFrame([(1e12,), (3.0,)], "a double")
-    assert rows(trend_totals(df, [A])) == [(Decimal(3),)]
+def test_large_changes_count(spark):
+    df = spark.createDataFrame([(1e12,), (3.0,), (1e30,), (float("nan"),), (float("-inf"),), (None,)], "a double")
+    assert rows(trend_totals(df, [A])) == [(Decimal(10**30 + 10**12 + 3),)]
+    assert rows(trend_totals(df, [A], digits=10)) == [(Decimal(3),)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_change_that_no_decimal_holds_fails(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    with pytest.raises(Exception, match="change too large to add"):
+        trend_totals(spark.createDataFrame([(1e39,), (3.0,)], "a double"), [A]).collect()
+
+
+def test_years_may_be_called_years(spark):
+    spec = ObservationSpec((Measure("a.b", "first", "mm", 1),), year="years")
+    df = spark.createDataFrame([("s", 1990, 1, 1.0), ("s", 1991, 1, 4.0)], "station string, years int, month int, `a.b` double")
+    assert rows(trend(df, spec).select("measure", "change", "years")) == [("a.b", Decimal(3), 2)]
+    assert rows(trend(df, spec, by_season=True).select("season", "change")) == [("winter", Decimal(3))]
 
 
 def test_sentences(spark):
