@@ -99,7 +99,8 @@ def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: i
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), F.xxhash64("doc_id", "text").alias("k"))
     places, recurring = recurring_lines(keyed.filter("text is not null").select("k", "text"), least_docs, fixed)
     dropped = materialise(places.join(recurring, "line").groupBy("k").agg(F.collect_set("line").alias("gone")), "dropped")
-    joined = keyed.join(dropped, "k", "left").withColumn("lines", F.split("text", "\n"))
+    # Dealt by key at every size; lists of lines grow with the documents and are not for a broadcast.
+    joined = keyed.join(dropped.hint("merge"), "k", "left").withColumn("lines", F.split("text", "\n"))
     stay = F.filter("lines", lambda x: ~F.array_contains("gone", F.xxhash64(_masked(x))))
     kept = joined.select("doc", "text", "gone", "lines", F.when(F.col("gone").isNotNull(), stay).alias("stay"))
     left = F.when(F.col("gone").isNull(), F.size("lines")).otherwise(F.size("stay"))
