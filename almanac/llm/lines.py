@@ -40,14 +40,21 @@ def _leaf(parsed: Column) -> Column:
 def _places(docs: DataFrame) -> DataFrame:
     """(k, kind, leaf, line): the different lines of each document that are long enough.
 
-    ``kind`` tells documents apart by the leaf of their longest line, so that copies and near copies
-    of a document count once, and what they share is not taken for boilerplate.
+    ``kind`` tells a line's documents apart by the leaf of the longest other line, so that copies and near
+    copies of a document count once, and what they share is not taken for boilerplate. Documents of one
+    line are of one kind.
     """
     parsed = docs.select("k", _parsed(F.col("text")).alias("lines"))
-    kind = _leaf(F.array_max(F.transform("lines", lambda x: F.struct(x["n"], x["head"]))))
-    long = F.filter("lines", lambda x: x["n"] >= LEAST_TOKENS)
-    found = F.array_distinct(F.transform(long, lambda x: F.struct(_leaf(x).alias("leaf"), x["line"].alias("line"))))
-    return parsed.select("k", kind.alias("kind"), F.explode(found).alias("at")).select("k", "kind", "at.*")
+    order = F.sort_array(F.transform("lines", lambda x: F.struct(x["n"].alias("n"), x["head"].alias("head"))), asc=False)
+    parsed = parsed.select("k", "lines", _leaf(F.get(order, F.lit(0))).alias("one"), F.coalesce(_leaf(F.get(order, F.lit(1))), F.lit(0)).alias("two"))
+
+    def place(x: Column) -> Column:
+        kind = F.when(_leaf(x) == F.col("one"), F.col("two")).otherwise(F.col("one"))
+        return F.struct(kind.alias("kind"), _leaf(x).alias("leaf"), x["line"].alias("line"))
+
+    # Told apart as rows: within an array, structs would be compared each with each.
+    found = F.transform(F.filter("lines", lambda x: x["n"] >= LEAST_TOKENS), place)
+    return parsed.select("k", F.explode(found).alias("at")).select("k", "at.*").distinct()
 
 
 def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int = FIXED) -> tuple[DataFrame, DataFrame]:
@@ -125,8 +132,10 @@ OP8_SQL = f"""WITH
   line AS (SELECT doc_id, i, r, l, {_SQL_TOKENS} AS n, array_to_string(string_split(l, ' ')[1:{DEPTH}], ' ') AS head
     FROM (SELECT doc_id, i, raw[i] AS r, regexp_replace(raw[i], '{_TOKEN_WITH_DIGIT}', '{VARIABLE}', 'g') AS l
           FROM (SELECT doc_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM doc WHERE text IS NOT NULL))),
-  kind AS (SELECT doc_id, max({{'n': n, 'head': head}}) AS kind FROM line GROUP BY doc_id),
-  place AS (SELECT DISTINCT n, head, l, kind FROM line JOIN kind USING (doc_id) WHERE n >= {LEAST_TOKENS}),
+  top AS (SELECT doc_id, list({{'n': n, 'head': head}} ORDER BY n DESC, head DESC) AS top FROM line GROUP BY doc_id),
+  place AS (SELECT DISTINCT n, head, l,
+      CASE WHEN top[1] = {{'n': n, 'head': head}} THEN coalesce(top[2], {{'n': 0, 'head': ''}}) ELSE top[1] END AS kind
+    FROM line JOIN top USING (doc_id) WHERE n >= {LEAST_TOKENS}),
   hot AS (SELECT n, head FROM place GROUP BY ALL HAVING count(DISTINCT kind) >= {LEAST_DOCS}),
   token AS (SELECT n, head, l, pos, string_split(l, ' ')[pos] AS t
     FROM (SELECT DISTINCT n, head, l, unnest(range(1, n + 1)) AS pos FROM place JOIN hot USING (n, head))),

@@ -22,21 +22,24 @@ def expected(docs):
     leaves, line_kinds = defaultdict(set), defaultdict(set)
     for _, text in docs:
         if text is not None:
-            kind = max(leaf(x) for x in text.split("\n"))
+            top = sorted((leaf(x) for x in text.split("\n")), reverse=True) + ["alone"]
             for x in text.split("\n"):
+                kind = top[1] if leaf(x) == top[0] else top[0]
                 if leaf(x)[0] >= LEAST_TOKENS:
                     leaves[leaf(x)].add(kind)
                     line_kinds[masked(x)].add(kind)
     tokens = defaultdict(set)
     for x, kinds in line_kinds.items():
+        at = leaf(x)
         for pos, t in enumerate(x.split(" ")):
-            if most(leaves[leaf(x)]):
-                tokens[leaf(x), pos, t] |= kinds
+            if most(leaves[at]):
+                tokens[at, pos, t] |= kinds
     shapes, templates = {}, defaultdict(set)
     for x, kinds in line_kinds.items():
-        shape = [t if t != VARIABLE and most(tokens[leaf(x), pos, t]) else None for pos, t in enumerate(x.split(" "))]
+        at = leaf(x)
+        shape = [t if t != VARIABLE and most(tokens[at, pos, t]) else None for pos, t in enumerate(x.split(" "))]
         if sum(t is not None for t in shape) * 100 >= FIXED * len(shape):
-            shapes[x] = (leaf(x), tuple(shape))
+            shapes[x] = (at, tuple(shape))
             templates[shapes[x]] |= kinds
     gone = {x for x, shape in shapes.items() if most(templates[shape])}
     out = []
@@ -76,7 +79,7 @@ def test_against_brute_force(spark):
 
 def test_templates_go_with_what_varies_in_them(spark):
     names = ["ann", "bob", "cyd", "dan", "eve", "fay", "gus"]
-    docs = [(i, f"unique {n} line {n * 3} of {n} alone\nthis mail was sent to {n} by our list") for i, n in enumerate(names)]
+    docs = [(i, f"unique {n} line {n * 3} of {n}\nthis mail was sent to {n} by our list") for i, n in enumerate(names)]
     found = check(spark, docs)
     assert all(r[3] == 1 and "mail" not in r[1] for r in found)
 

@@ -2,9 +2,11 @@ import math
 import re
 from collections import defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 
-from almanac.llm.mixing import GROUP, LIMIT, mix_sources, source_targets
+from almanac.llm.mixing import GROUP, LIMIT, _rounded, mix_sources, source_targets
 from tests.conftest import rows
 
 SCHEMA = "doc_id long, text string, source string"
@@ -77,16 +79,14 @@ def test_a_source_of_many_groups_goes_through_the_tree(spark, monkeypatch):
         assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
 
 
-def test_probabilities_are_kept(spark):
-    docs = spark.createDataFrame([(i, "x " * (i % 5 + 1), "a" if i % 2 else "b") for i in range(40)], SCHEMA)
-    total, runs = defaultdict(int), 60
-    for seed in range(runs):
-        for r in mix_sources(docs, seed=seed).collect():
-            total[r.source] += r.copies
-            ratio = {r.source: r.target / r.source_size}
-            total[r.source, "expected"] += ratio[r.source]
-    for s in "ab":
-        assert abs(total[s] - total[s, "expected"]) < 0.06 * total[s, "expected"]
+def test_probabilities_are_kept():
+    units = pd.DataFrame({"unit": range(9), "doc_id": "1", "size": [5, 1, 9, 2, 2, 7, 3, 40, 1], "idx": 0, "bucket": 0, "p": [0.5, 0.2, 0.9, 0.4, 0.4, 0.1, 0.7, 0.3, 0.6]})
+    runs = [_rounded(units, 0, seed, True).sort_values("unit") for seed in range(4000)]
+    assert all(set(r["p"]) <= {0.0, 1.0} for r in runs)
+    assert np.allclose(np.mean([r["p"] for r in runs], axis=0), units["p"], atol=0.03)
+    left = _rounded(units, 0, 5, False)
+    assert ((left["p"] > 0) & (left["p"] < 1)).sum() <= 1
+    assert math.isclose((left["p"] * left["size"]).sum(), (units["p"] * units["size"]).sum())
 
 
 def test_odd_rows(spark):
