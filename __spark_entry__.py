@@ -190,9 +190,9 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.shared_path(spark, "csv")
-    means = op.means(observations(spark, sf_dir), ["station", "year"], MEASURES)
-    sources.write_csv(means, path)
-    return spark.read.schema(means.schema).csv(path)
+    with sources.reused(op.means(observations(spark, sf_dir), ["station", "year"], MEASURES)) as means:
+        sources.write_csv(means, path)
+        return spark.read.schema(means.schema).csv(path)
 
 
 def ingest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
