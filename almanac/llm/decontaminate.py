@@ -112,8 +112,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
     ``window`` consecutive words of an item, or all of a shorter one. A document's word is hit if it
     lies in an occurrence of a window; the document is contaminated if words are hit, and one in
     ``share`` at least. NULL and empty texts have no words: such documents are clean, such items match
-    nothing. Equal items are compared once and count by their ids; repeated ids count once. Repeated
-    rows each get their result. DataFrame functions only.
+    nothing. Equal items are compared once and count by their ids; repeated ids count once, and a NULL id
+    counts for no item though its words are hit. Repeated rows each get their result. DataFrame functions only.
     """
     rows = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     wanted = materialise(_items(items.select("item_id", "text")), "items")

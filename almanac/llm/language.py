@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.common import remainder, table
+from almanac.sources.shared import materialise
 
 #: Bytes of a window, and labelled texts per language that the network is fitted on.
 WINDOW, SAMPLE = 192, 1_500
@@ -169,14 +170,19 @@ def _predictor(net: ByteNetwork) -> Callable[[Iterator[pd.DataFrame]], Iterator[
 
 
 def labelled_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` rows of each label, those whose doc_id has the smallest hash, so that reruns agree.
+    """At most ``per_label`` different rows of each label, those with the smallest hashes, so that reruns agree.
 
-    Rows are numbered after each task has kept its own smallest, so a hot label is no hot task.
+    Labels are counted first; of a frequent one only the share of hashes that has about twice as many rows
+    goes on to be numbered. So what a task numbers does not grow with the input, however hot a label is.
     """
-    others = [c for c in rows.columns if c not in (label, "doc_id")]
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id", *others)
-    placed = rows.filter(F.col(label).isNotNull()).withColumn("place", F.row_number().over(order))
-    return placed.filter(F.col("place") <= per_label).drop("place")
+    known = rows.filter(F.col(label).isNotNull()).withColumn("hash", F.xxhash64(*[c for c in rows.columns if c != label]))
+    # Written, so that Spark sees how small it is and does not deal rows by label to join them.
+    counts = materialise(known.groupBy(F.col(label).alias("of")).agg(F.count("*").alias("rows")), "labels")
+    few = F.pmod("hash", F.lit(1 << 30)) * F.col("rows") < F.lit(float(2 * per_label) * (1 << 30))
+    some = known.join(counts, F.col(label) == F.col("of")).filter(few).select(*known.columns).distinct()
+    order = Window.partitionBy(label).orderBy("hash", *[c for c in rows.columns if c != label])
+    placed = some.withColumn("place", F.row_number().over(order))
+    return placed.filter(F.col("place") <= per_label).select(*rows.columns)
 
 
 def train(docs: DataFrame, fit_on: Column, per_language: int = SAMPLE) -> ByteNetwork | None:

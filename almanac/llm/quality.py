@@ -78,10 +78,12 @@ def passages(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarr
             heads = np.flatnonzero(np.diff(passage, prepend=-1))
             ids = passage[heads]
             words = np.diff(np.append(heads, len(starts))).astype(np.float32)
-            # From a passage's first word to the next passage's, blanks and line ends included.
-            size = np.maximum(1, np.diff(np.append(starts[heads], len(data)))).astype(np.float32)
+            # From a passage's first word to the next passage's or the text's end, blanks between words included.
+            stops = np.minimum(np.append(starts[heads][1:], len(data)), rows[text_of[heads] + 1] - 1)
+            size = np.maximum(1, stops - starts[heads]).astype(np.float32)
+            pairs = np.stack([starts[heads], stops], axis=1).ravel()  # every other piece lies between passages
             for k, kind in enumerate(_KINDS):
-                features[ids, k] = np.add.reduceat(kind[data], starts[heads]) / size
+                features[ids, k] = np.add.reduceat(kind[data], pairs)[::2] / size
             lengths = (ends - starts).astype(np.float32)
             hashes = span_hashes(data, starts, ends)
             key = np.sort((passage.astype(np.uint64) << np.uint64(32)) | (hashes >> np.uint64(32)))
