@@ -70,7 +70,7 @@ def test_toxic_documents_go_and_others_stay(stages):
     assert sorted(after, key=key) == sorted((r for r in before if "grob" not in (r[1] or "").split()), key=key)
 
 
-def test_lines(stages):
+def test_boilerplate_lines_go(stages):
     before, after, _ = stages[1]
     expected = test_lines.expected([r[:2] for r in before])
     assert sorted((r[:2] for r in after), key=key) == sorted((r[:2] for r in expected), key=key)
