@@ -79,9 +79,9 @@ def _profiler(words: int, whole: bool) -> Callable[[Iterator[pd.DataFrame]], Ite
 _PROFILE = "doc_id string, fp binary, n long, shingles array<long>"
 
 
-def _spare(n: str = "n") -> str:
+def _spare(percent: int) -> str:
     """How many of its n shingles a set may have that a partner lacks."""
-    return f"({n} - cast(ceil({n} * {PERCENT} / 100d - 1e-9) as long))"
+    return f"(n - cast(ceil(n * {percent} / 100d - 1e-9) as long))"
 
 
 def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -91,7 +91,7 @@ def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return ids.mapInPandas(_profiler(words, False), _PROFILE)
 
 
-def _survivors(rows: DataFrame) -> DataFrame:
+def _survivors(rows: DataFrame, percent: int) -> DataFrame:
     """(fp, doc_id) of the sets that may have a partner, by their shingles in the region.
 
     Of any part of a set, a partner lacks no more than of the whole. Both look at the same region, so a
@@ -105,11 +105,11 @@ def _survivors(rows: DataFrame) -> DataFrame:
     spread = sized.select("k", F.explode("shingles").alias("token"))
     common = spread.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
     shared = spread.join(common, "token").groupBy("k").agg(F.count("*").alias("shared"))
-    kept = classes.join(shared, "k", "left").filter(f"coalesce(shared, 0) >= copies * (r - {_spare()})")
+    kept = classes.join(shared, "k", "left").filter(f"coalesce(shared, 0) >= copies * (r - {_spare(percent)})")
     return kept.select("fp", "doc_id")
 
 
-def _prefixes(sets: DataFrame) -> DataFrame:
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """(fp, n, share, prefix): the shingles, rarest first, of which two linked sets must have one in common.
 
     Shingles of one set only can match nothing; they come first in the order and fill the prefix, so
@@ -118,17 +118,17 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     spread = sets.select("fp", "n", F.explode("shingles").alias("token"))
     common = spread.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     listed = spread.join(common, "token").groupBy("fp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    room = f"size(shared) - n + {_spare()} + 1"
+    room = f"size(shared) - n + {_spare(percent)} + 1"
     return listed.filter(f"{room} > 0").selectExpr("fp", "n", "size(shared) / n as share", f"transform(slice(shared, 1, cast({room} as int)), x -> x.token) as prefix")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets share enough, by exact intersection of their sorted arrays."""
     one = sets.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     two = sets.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     both = pairs.join(one, "a").join(two, "b")
-    return both.filter(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * PERCENT).select("a", "b")
+    return both.filter(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent).select("a", "b")
 
 
 def _folded(signature: bytes, width: int) -> np.ndarray:
@@ -136,7 +136,7 @@ def _folded(signature: bytes, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(-1, width), axis=0)
 
 
-def _tile_pairs(tile: pd.DataFrame) -> pd.DataFrame:
+def _tile_pairs(tile: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Pairs of different components whose signatures leave room for enough overlap."""
     n = tile["n"].to_numpy(np.int64)
     # Components as small integers, the block that a row comes from, and prefixes as they were cut.
@@ -150,7 +150,7 @@ def _tile_pairs(tile: pd.DataFrame) -> pd.DataFrame:
         equal += strip @ strip.T  # bits that agree, less bits that differ
     apart = (width - equal) / 2
     both = n[:, None] + n[None, :]
-    close = (100 + PERCENT) * (both - apart) >= 2 * PERCENT * both - 0.5
+    close = (100 + percent) * (both - apart) >= 2 * percent * both - 0.5
     close &= (comp[:, None] != comp[None, :]) & ~(upper[:, None] & upper[None, :])
     if tile["i"].iloc[0] != tile["j"].iloc[0]:
         close &= block[:, None] != block[None, :]
@@ -161,31 +161,35 @@ def _tile_pairs(tile: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(pairs, columns=["a", "b"])
 
 
-def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _tiles(percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Compare the tiles of a partition, which lie one after the other."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        key = batch[["token", "band", "i", "j"]].to_numpy()
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        bounds = [0, *cuts.tolist(), len(batch)]
-        for a, b in zip(bounds, bounds[1:]):
-            part = batch.iloc[a:b]
-            if held and (held[-1][["token", "band", "i", "j"]].iloc[-1].to_numpy() != key[a]).any():
-                yield _tile_pairs(pd.concat(held, ignore_index=True))
-                held = []
-            held.append(part)
-    if held:
-        yield _tile_pairs(pd.concat(held, ignore_index=True))
-
-
-def _tile_candidates(entries: DataFrame, facts: DataFrame) -> DataFrame:
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            key = batch[["token", "band", "i", "j"]].to_numpy()
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            bounds = [0, *cuts.tolist(), len(batch)]
+            for a, b in zip(bounds, bounds[1:]):
+                part = batch.iloc[a:b]
+                if held and (held[-1][["token", "band", "i", "j"]].iloc[-1].to_numpy() != key[a]).any():
+                    yield _tile_pairs(pd.concat(held, ignore_index=True), percent)
+                    held = []
+                held.append(part)
+        if held:
+            yield _tile_pairs(pd.concat(held, ignore_index=True), percent)
+
+    return compare
+
+
+def _tile_candidates(entries: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """(a, b) of sets in different components that meet in a tile and pass the bound.
 
     A tile has a prefix shingle and two neighbouring size bands; sets two bands apart differ too much
     in size. Tiles whose sets are in one component already have nothing to find. What is left is
     small as a rule; a tile that is not is cut into blocks, whose pairs are tiles of their own.
     """
-    band = F.floor(F.log("n") / float(np.log(100 / PERCENT)))
+    band = F.floor(F.log("n") / float(np.log(100 / percent)))
     sides = F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("upper")), F.struct((band - 1).alias("band"), F.lit(True).alias("upper"))))
     spread = entries.select("token", "fp", "n", "comp", sides.alias("side")).select("token", "fp", "n", "comp", "side.*")
     tile = ["token", "band"]
@@ -196,10 +200,10 @@ def _tile_candidates(entries: DataFrame, facts: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).join(facts, "fp")
     placed = dealt.repartition("token", "band", "i", "j").sortWithinPartitions("token", "band", "i", "j")
     columns = placed.select("token", "band", "i", "j", "fp", "n", "comp", "upper", "block", "signature", "prefix")
-    return columns.mapInPandas(_tiles, "a binary, b binary")
+    return columns.mapInPandas(_tiles(percent), "a binary, b binary")
 
 
-def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
+def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(node, root) by fingerprint: components of linked sets that differ.
 
     1. Sets that can have no partner go, by the region filter; texts of the others are read again.
@@ -208,39 +212,39 @@ def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFr
     3. Tiles compare what still lies in different components, signatures first; pairs that pass are
        intersected exactly. No link between different components is lost, and pairs inside a component are not made.
     """
-    chosen = materialise(_survivors(rows), "survivors")
+    chosen = materialise(_survivors(rows, percent), "survivors")
     texts = docs.select("doc_id", "text").alias("d").join(
         chosen.select("doc_id").distinct().alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi"
     )
     full = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(_profiler(words, True), _PROFILE + ", signature binary")
     firsts = [F.first(c).alias(c) for c in ("n", "shingles", "signature")]
     sets = materialise(full.filter("n > 0").groupBy("fp").agg(*firsts), "sets")
-    prefixes = materialise(_prefixes(sets), "prefixes")
+    prefixes = materialise(_prefixes(sets, percent), "prefixes")
 
     entries = prefixes.select("fp", "n", "share", F.explode("prefix").alias("token"))
     # The set with the fewest shingles of its own is the likeliest centre of those that share one.
     pivots = entries.groupBy("token").agg(F.max_by("fp", F.struct("share", "fp")).alias("pivot"))
     common = entries.join(pivots, "token").filter("fp <> pivot").groupBy("fp", "pivot").agg(F.count("*").alias("common"))
     best = common.groupBy("fp").agg(F.max_by("pivot", F.struct("common", "pivot")).alias("b"))
-    stars = materialise(_verified(best.select(F.col("fp").alias("a"), "b"), sets), "stars")
+    stars = materialise(_verified(best.select(F.col("fp").alias("a"), "b"), sets, percent), "stars")
 
     roots = components(stars).withColumnRenamed("node", "fp")
     entries = entries.join(roots, "fp", "left").select("token", "fp", "n", F.coalesce("root", "fp").alias("comp"))
     facts = sets.select("fp", "signature").join(prefixes.select("fp", "prefix"), "fp")
-    pairs = materialise(_tile_candidates(entries, facts), "candidates")
-    return components(stars.union(_verified(pairs, sets)))
+    pairs = materialise(_tile_candidates(entries, facts, percent), "candidates")
+    return components(stars.union(_verified(pairs, sets, percent)))
 
 
-def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text).
 
     A set has the distinct shingles of ``words`` words, A-Z lowered; a text of fewer words has one
-    shingle, an empty or NULL one none and no links. Sets link at a Jaccard similarity of ``PERCENT``.
+    shingle, an empty or NULL one none and no links. Sets link at a Jaccard similarity of ``percent``.
     ``component_id`` is the smallest doc_id that links lead to. Equal sets are one node, so copies and
     repeated rows are never paired. NULL ids sort out of the way: a component has its smallest other id.
     """
     rows = materialise(profiles(docs, words), "profiles")
-    roots = materialise(similar_sets(docs, rows, words), "roots").withColumnRenamed("node", "fp")
+    roots = materialise(similar_sets(docs, rows, words, percent), "roots").withColumnRenamed("node", "fp")
     members = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "n").join(roots, "fp", "left")
     members = members.withColumn("root", F.coalesce("root", "fp"))
     # Written first, so that the join is one of its own and a component with very many members is split in it.

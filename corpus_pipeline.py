@@ -34,12 +34,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return found.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
-def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_one_of_each_group(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = ngram_join.WORDS, percent: int = ngram_join.PERCENT
+) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays, once.
 
+    Near copies share ``percent`` of their runs of ``words`` words, by links; unless told otherwise, as in op4_ngram_join.
     Documents without words are no copies of anything; rows of one id with the same text are one document.
     """
-    found = ngram_join.ngram_components(docs)
+    found = ngram_join.ngram_components(docs, words, percent)
     gone = found.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null")
     ids = materialise(ids.select("doc_id"), "repeated")

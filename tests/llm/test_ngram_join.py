@@ -127,3 +127,29 @@ def test_components_of_random_graphs(spark):
             root[a] = root[b] = low
     assert found == {k: v for k, v in root.items() if k in found}
     assert {k for a, b in links if a != b for k in (a, b)} == set(found)
+
+
+def test_other_words_and_percentages(spark):
+    run = [f"w{i}" for i in range(400)]
+    near = [" ".join(run[:90]), " ".join([*run[:45], "other", *run[46:90]])]  # 5 words: 81 of 91; 4 words: 83 of 91
+    far = [" ".join(run[100:149]), " ".join([*run[100:120], "other", *run[121:149]])]  # 5 words: 40 of 50; 4 words: 42 of 50
+    docs = spark.createDataFrame(list(enumerate([*near, *far])), SCHEMA)
+    for words, percent in ((4, 85), (5, 80), (5, 81)):
+        found = {r[0]: r[2] for r in rows(ngram_components(docs, words, percent))}
+        assert found == {0: 0, 1: 0, 2: 2, 3: 2 if percent == 80 else 3}
+
+
+@pytest.mark.parametrize("words, percent", [(5, 80), (3, 60)])
+def test_other_values_against_brute_force(spark, words, percent):
+    docs = corpus(4, groups=6)
+    found = rows(ngram_components(spark.createDataFrame(docs, SCHEMA), words, percent))
+    sets = {d: shingles(t, words) for d, t in docs}
+    root = {d: d for d in sets}
+    for _ in range(len(docs)):
+        links = [(a, b) for a in sets for b in sets if a < b and root[a] != root[b] and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = {d: low if r == high else r for d, r in root.items()}
+        if not links:
+            break
+    assert found == sorted((d, len(s), root[d]) for d, s in sets.items())

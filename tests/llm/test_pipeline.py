@@ -122,3 +122,11 @@ def test_other_columns_travel_along(spark, folder):
     more = docs.selectExpr("*", "1 as n", "2 as score", "3 as k", "4 as size", "5 as `a.b`", "6 as gone", "7 as doc")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, more, folder).columns == more.columns
+
+
+def test_near_copies_by_other_values(spark, folder):
+    run = [f"w{i}" for i in range(49)]
+    texts = [" ".join(run), " ".join([*run[:20], "other", *run[21:]])]  # 40 of 50 runs of 5 words, 42 of 50 of 4
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    assert [r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs, folder, 5, 80).collect()] == [0]
+    assert corpus_pipeline.keep_one_of_each_group(spark, docs, folder).count() == 2
