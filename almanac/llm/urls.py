@@ -79,8 +79,8 @@ def _strength(counts: DataFrame, level: str, parent: str) -> DataFrame:
     return both.agg(F.least(F.greatest(F.coalesce(strength, F.lit(STRONGEST)), F.lit(WEAKEST)), F.lit(STRONGEST)).alias(f"k_{level}"))
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """(host, good, n, mean, bound) of every labelled host, from (host, good, n).
+def reputations(outcomes: DataFrame) -> dict[str, DataFrame]:
+    """By level (suffix, domain, host): (level, good, n, mean, bound) of all labelled ones, from (host, good, n).
 
     A host's good pages of n labelled ones are drawn to the mean of its registered domain, that to the
     mean of its suffix, and that to the mean of all, each by a beta prior whose strength is estimated
@@ -92,17 +92,22 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     strengths = [_strength(counts, level, parent) for level, parent in levels]
     prior = counts.groupBy("everything").agg(F.sum("good").alias("g"), F.sum("n").alias("w"))
     prior = prior.select("everything", (F.col("g") / F.col("w")).alias("m_everything"))
-    known = prior
+    known, found = prior, {}
     for (level, parent), strength in zip(levels, strengths):
         k, mean = F.col(f"k_{level}"), F.col(f"m_{parent}")
         child = counts.groupBy(parent, level).agg(F.sum("good").alias("g"), F.sum("n").alias("w"))
         # One row of strength joins by a constant, so that no plan needs a product.
         child = child.join(known, parent).withColumn("one", F.lit(1)).join(F.broadcast(strength.withColumn("one", F.lit(1))), "one")
-        keep = [F.col(level), ((F.col("g") + k * mean) / (F.col("w") + k)).alias(f"m_{level}")]
-        if level == "host":
-            keep += [F.col("g").alias("good"), F.col("w").alias("n"), (F.col("w") + k).alias("weight")]
-        known = child.select(*keep)
-    return known.select("host", "good", "n", F.col("m_host").alias("mean"), lower_bound(F.col("m_host"), F.col("weight")).alias("bound"))
+        m = f"m_{level}"
+        child = child.select(level, F.col("g").alias("good"), F.col("w").alias("n"), ((F.col("g") + k * mean) / (F.col("w") + k)).alias(m), (F.col("w") + k).alias("weight"))
+        found[level] = child.select(level, "good", "n", F.col(m).alias("mean"), lower_bound(F.col(m), F.col("weight")).alias("bound"))
+        known = child.select(level, m)
+    return found
+
+
+def host_reputation(outcomes: DataFrame) -> DataFrame:
+    """(host, good, n, mean, bound) of every labelled host, from (host, good, n)."""
+    return reputations(outcomes)["host"]
 
 
 def lower_bound(mean: Column, weight: Column) -> Column:
@@ -117,12 +122,13 @@ def judge_urls(
 
     ``labels`` (doc_id, quality, toxic) labels pages by their id: a page is good if its quality is 1
     and it is not toxic. A url that a rule fits gets the rule's verdict, else ``allow`` if its host's
-    posterior bound reaches ``least_good``, else ``block``. Hosts without labels take the bound of the mean over
-    all with no pages of their own; so do urls that are NULL or have no ``://`` (host and path empty),
-    and everything is allowed where nothing is labelled. NULL labels count for nothing; repeated rows count each time.
+    posterior bound reaches ``least_good``, else ``block``. Hosts without labels take the bound of their registered
+    domain, those of domains without labels that of their suffix, and others the bound of the mean over
+    all with no pages of their own; so do urls that are NULL or have no ``://`` (host and path empty), unless
+    such urls are labelled, and everything is allowed where nothing is labelled. NULL labels count for nothing; repeated rows count each time.
 
     Labels are summed by id and outcomes by host before they meet anything, so neither a hot host nor a
-    repeated id multiplies rows. The tables of hosts are broadcast only if Spark finds them small.
+    repeated id multiplies rows. The tables of hosts and domains are broadcast only if Spark finds them small.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -131,12 +137,15 @@ def judge_urls(
     outcomes = known.groupBy(F.col("doc_id").alias("page_id")).agg(F.sum(good).alias("good"), F.count("*").alias("n"))
     seen = rows.join(outcomes, "page_id").groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
 
-    reputation = host_reputation(seen)
+    reputation = reputations(seen)
     total = seen.agg((F.sum("good") / F.sum("n")).alias("mean"))
     unseen = total.select(F.lit(1).alias("one"), F.coalesce(lower_bound(F.col("mean"), F.lit(STRONGEST)), F.lit(1.0)).alias("other"))
     name, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    found = rows.withColumn("one", F.lit(1)).join(reputation.select("host", "bound"), "host", "left").join(F.broadcast(unseen), "one")
-    bound = F.coalesce("bound", "other")
+    found = rows.select("*", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), F.lit(1).alias("one"))
+    for level in ("host", "domain", "suffix"):
+        found = found.join(reputation[level].select(level, F.col("bound").alias(f"b_{level}")), level, "left")
+    found = found.join(F.broadcast(unseen), "one")
+    bound = F.coalesce("b_host", "b_domain", "b_suffix", "other")
     judged = F.when(bound >= least_good, "allow").otherwise("block")
     return found.select(
         "page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, judged).alias("verdict"), bound.alias("bound")

@@ -73,3 +73,15 @@ def test_odd_tables(spark):
     empty = spark.createDataFrame([], PAGES)
     assert judge_urls(empty, spark.createDataFrame(labels, LABELS)).collect() == []
     assert [r.verdict for r in judge_urls(pages, spark.createDataFrame([], LABELS)).collect()] == ["allow"] * 4
+
+
+def test_hosts_without_labels_take_the_bound_of_their_domain_or_suffix(spark):
+    urls, labels = [], []
+    for host, good, bad in (("a.site.org", 60, 0), ("b.site.org", 60, 0), ("a.spam.biz", 0, 20), ("b.spam.biz", 0, 20)):
+        for q in [1] * good + [0] * bad:
+            labels.append((len(urls), q, 0))
+            urls.append(f"http://{host}/x")
+    urls += [f"http://{h}/x" for h in ("new.spam.biz", "new.site.org", "other.biz", "other.org", "x.io")]
+    found = {r.host: r for r in judged(spark, urls, labels).values()}
+    assert [found[h].verdict for h in ("new.spam.biz", "other.biz", "new.site.org", "other.org", "x.io")] == ["block", "block", "allow", "allow", "allow"]
+    assert found["new.spam.biz"].bound < found["x.io"].bound < found["new.site.org"].bound
