@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import table
+from almanac.llm.ngram_join import ngram_components
 from almanac.sources.shared import materialise
 
 #: Leading tokens by which the tree branches, below the number of tokens.
@@ -57,7 +58,21 @@ def _places(docs: DataFrame) -> DataFrame:
     return parsed.select("k", F.explode(found).alias("at")).select("k", "at.*").distinct()
 
 
-def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int = FIXED) -> tuple[DataFrame, DataFrame]:
+def _by_copies(places: DataFrame, docs: DataFrame, least_docs: int) -> DataFrame:
+    """The places in leaves that enough documents reach, with the document's group of near copies as ``kind``.
+
+    Boilerplate that is longer than a document's own lines does not hide it, and a group of near copies
+    still counts once. Groups are those among the documents that reach such leaves; texts without words are one.
+    """
+    reached = places.groupBy("leaf").agg(F.count_distinct("k").alias("docs")).filter(F.col("docs") >= least_docs)
+    inside = materialise(places.join(reached.select("leaf"), "leaf").select("k", "leaf", "line"), "reached")
+    near = docs.join(inside.select("k").distinct(), "k", "left_semi").select(F.col("k").alias("doc_id"), "text")
+    found = ngram_components(near).withColumn("kind", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(0))
+    kinds = materialise(found.select(F.col("doc_id").alias("k"), "kind").distinct(), "kinds")
+    return inside.join(kinds.hint("merge"), "k").select("k", "kind", "leaf", "line")
+
+
+def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int = FIXED, by_copies: bool = False) -> tuple[DataFrame, DataFrame]:
     """The places of lines (k, kind, leaf, line), and the lines (line) whose template recurs.
 
     ``docs`` has k and text. A leaf of the tree has lines with equally many tokens and the same leading ones.
@@ -67,6 +82,8 @@ def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int =
     task holds a leaf, and what is joined is one row per line or token of the leaves that recur.
     """
     places = materialise(_places(docs), "places")
+    if by_copies:
+        places = materialise(_by_copies(places, docs, least_docs), "places-by-copies")
     hot = places.groupBy("leaf").agg(F.count_distinct("kind").alias("docs")).filter(F.col("docs") >= least_docs)
     hot = materialise(hot.select("leaf"), "leaves")
     inside = materialise(places.join(hot, "leaf").select("leaf", "line", "kind").distinct(), "inside")
@@ -94,17 +111,18 @@ def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int =
     return places, materialise(shape.join(often, "template").select("line"), "recurring")
 
 
-def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int = FIXED) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int = FIXED, by_copies: bool = False) -> DataFrame:
     """(doc, text, n_lines, n_dropped), one row per row of ``docs``, which has doc_id, text and any others.
 
     ``doc`` is the whole row as it was. Lines whose template recurs in ``least_docs`` different documents are gone from
     ``text``; the others stay as they were, in order. NULL text stays NULL with 0 lines, empty text is one
     empty line; lines of fewer than ``LEAST_TOKENS`` tokens stay. Documents that lose all lines stay, with
-    empty text. Repeated rows get equal results and count as one document.
+    empty text. Repeated rows get equal results and count as one document. Documents differ by their longest
+    other line, or with ``by_copies`` if they are no near copies (as in ngram_join) of each other.
     """
     # Two texts with one key would share a list of lines that are dropped anyway.
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), F.xxhash64("doc_id", "text").alias("k"))
-    places, recurring = recurring_lines(keyed.filter("text is not null").select("k", "text"), least_docs, fixed)
+    places, recurring = recurring_lines(keyed.filter("text is not null").select("k", "text"), least_docs, fixed, by_copies)
     dropped = materialise(places.join(recurring, "line").groupBy("k").agg(F.collect_set("line").alias("gone")), "dropped")
     # Dealt by key at every size; lists of lines grow with the documents and are not for a broadcast.
     joined = keyed.join(dropped.hint("merge"), "k", "left").withColumn("lines", F.split("text", "\n"))

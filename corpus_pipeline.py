@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go from the texts, whose length is set anew; documents stay."""
-    found = lines.drop_recurring_lines(docs)
+    found = lines.drop_recurring_lines(docs, by_copies=True)
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("doc.n_chars"))}
     return found.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 

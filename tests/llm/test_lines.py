@@ -95,3 +95,22 @@ def test_odd_rows(spark):
     clash = spark.createDataFrame([(1, "a b c")], SCHEMA).selectExpr("*", "1 as k", "2 as lines", "3 as gone", "4 as kind", "5 as doc")
     assert drop_recurring_lines(clash).selectExpr("doc.*").columns == clash.columns
     assert rows(drop_recurring_lines(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_boilerplate_longer_than_own_lines_goes_by_copies(spark):
+    rng = random.Random(3)
+
+    def own(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    head, foot = "all rights to this page are held by those who wrote it long ago", "see the other pages of this site for more of what you looked for"
+    kinds = {
+        "framed": [f"{head}\n{own(8)}\n{own(9)}\n{foot}" for _ in range(8)],
+        "doubled": [f"we sent this page to you once more\n{own(5)}\n{own(5)}\nwe sent this page to you once more" for _ in range(8)],
+        "single": [f"your order was sent out today {own(1)} to {own(1)}" for _ in range(8)],
+    }
+    same = "\n".join(own(30) for _ in range(4))
+    docs = [(i, t) for i, t in enumerate([*kinds["framed"], *kinds["doubled"], *kinds["single"], *[f"{same}\n{own(3)}" for _ in range(8)]])]
+    found = drop_recurring_lines(spark.createDataFrame(docs, SCHEMA), by_copies=True)
+    dropped = {r[0]: r[1] for r in rows(found.selectExpr("doc.doc_id", "n_dropped"))}
+    assert [dropped[i] for i in range(32)] == [2] * 16 + [1] * 8 + [0] * 8
