@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, language, lines, mixing, ngram_join, quality, toxicity, urls, warc
+from almanac.llm import decontaminate, embeddings, language, lines, marked_words, mixing, ngram_join, quality, toxicity, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_merkle_audit": warc.op9_merkle_audit,
     "op10_language_id": language.op10_language_id,
+    "op11_marked_words": marked_words.op11_marked_words,
 }
 
 #: What SQL cannot say (random rounding, trained models) is tested against brute force instead.
