@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, language, lines, marked_words, mixing, ngram_join, quality, toxicity, urls, warc
+from almanac.llm import decontaminate, embeddings, language, lines, marked_words, mixing, ngram_join, quality, toxicity, urls, warc, word_runs
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_merkle_audit": warc.op9_merkle_audit,
     "op10_language_id": language.op10_language_id,
     "op11_marked_words": marked_words.op11_marked_words,
+    "op12_word_runs": word_runs.op12_word_runs,
 }
 
 #: What SQL cannot say (random rounding, trained models) is tested against brute force instead.

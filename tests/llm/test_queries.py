@@ -17,6 +17,7 @@ COLUMNS = {
     "op5_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op10_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op11_marked_words": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op12_word_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "exponent_milli": "bigint", "runs_sha256": "string"},
 }
 
 
