@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.llm.common import table
+from almanac.llm.common import mixed, table
 
 #: Words of the shortest run, which has two periods at least.
 LEAST = 12
@@ -56,6 +56,9 @@ class Extensions:
         places = (np.arange(size)[None, :] * PERIOD + np.array(COVER)[:, None]).ravel()
         padded = np.concatenate([self._words, self._words[-1] + 1 + np.arange(max(0, places[-1] + PERIOD - len(self._words)) + 1)])
         columns = [padded[places + t] for t in range(PERIOD)]
+        base = int(padded[-1]) + 1
+        if base < 1 << 21:  # three words in one integer
+            columns = [sum(c * base ** (2 - k) for k, c in enumerate(columns[t : t + 3])) for t in range(0, PERIOD, 3)]
         order = np.lexsort(columns[::-1])
         new = np.zeros(len(order), bool)
         for c in columns:
@@ -194,17 +197,52 @@ def _sequences(texts: Sequence[str | None]) -> Iterator[tuple[int, list[list[byt
         yield first, rows
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _repeating(sequence: np.ndarray, starts: np.ndarray, lengths: np.ndarray, least: int) -> np.ndarray:
+    """Which parts have some stretch of half the shortest run twice: all that have runs, and hardly any others.
+
+    In a run of period p, at least half of ``least`` words in a row come again p words on.
+    """
+    k = max(1, least // 2)
+    if len(sequence) < k:
+        return np.zeros(len(starts), bool)
+    owner = np.repeat(np.arange(len(starts)), lengths + 1)[: len(sequence) - k + 1]
+    codes = mixed(sequence.astype(np.uint64))
+    stretch = owner.astype(np.uint64)
+    for t in range(k):
+        stretch = stretch * np.uint64(0x9E3779B97F4A7C15) + codes[t : len(sequence) - k + 1 + t]
+    order = np.argsort(stretch, kind="stable")
+    ordered = stretch[order]
+    found = np.zeros(len(starts), bool)
+    found[owner[order[1:]][ordered[1:] == ordered[:-1]]] = True
+    return found & (lengths >= least)
+
+
 def _collapsed(rows: list[list[bytes]], least: int) -> Iterator[tuple[list[dict], str]]:
     """Runs and collapsed text of each row."""
-    numbers: dict[bytes, int] = {}
+    numbers = _Numbers()
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
     starts = np.cumsum(lengths + 1) - lengths - 1
     sequence = np.empty(int(lengths.sum()) + len(rows), np.int64)
     for words, a in zip(rows, starts.tolist()):
-        sequence[a : a + len(words)] = [numbers.setdefault(w, len(numbers)) for w in words]
+        sequence[a : a + len(words)] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     sequence[starts + lengths] = len(numbers) + np.arange(len(rows))
-    long = lengths >= least
-    start, end, period = runs_of(sequence, starts[long], lengths[long], least)
+    # The index is made of the texts that may have runs.
+    some = np.flatnonzero(_repeating(sequence, starts, lengths, least))
+    inside = np.zeros(len(rows), bool)
+    inside[some] = True
+    whole = np.flatnonzero(np.repeat(inside, lengths + 1))
+    part_starts = np.cumsum(lengths[some] + 1) - lengths[some] - 1
+    start, end, period = runs_of(sequence[whole], part_starts, lengths[some], least)
+    end = whole[end - 1] + 1
+    start = whole[start]
     # Words from a run's second period to its end.
     change = np.zeros(len(sequence) + 1, np.int64)
     np.add.at(change, start + period, 1)
