@@ -62,7 +62,7 @@ def words_of(text: str) -> list[str]:
     return text.split(" ")
 
 
-def _blocks(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[tuple[str, list, list[np.ndarray], list[str], np.ndarray]]:
+def _blocks(batches: Iterator[pd.DataFrame], buckets: int, size: int) -> Iterator[tuple[str, list, list[np.ndarray], list[str], np.ndarray]]:
     """(block, ids of documents, numbers of each one's words, distinct words, bucket of each).
 
     A block's name is a digest of its rows, so it does not depend on the task that makes it.
@@ -87,21 +87,21 @@ def _blocks(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[tuple[str
             words = words_of(text)
             refs.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             held += len(text) + 1
-            if held >= BLOCK:
+            if held >= size:
                 yield closed()
                 ids, refs, numbers, digest, held = [], [], _Numbers(), blake2b(digest_size=16), 0
     if ids:
         yield closed()
 
 
-def distinct_words(docs: DataFrame, buckets: int) -> DataFrame:
+def distinct_words(docs: DataFrame, buckets: int, block_size: int = BLOCK) -> DataFrame:
     """(bucket, block, first, words, lengths): each block's distinct words, dealt to buckets by hash.
 
     ``words`` are put end to end, ``lengths`` are their lengths as int32; ``first`` is the number of the first one.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block, _, _, words, bucket in _blocks(batches, buckets):
+        for block, _, _, words, bucket in _blocks(batches, buckets, block_size):
             lengths = np.fromiter(map(len, words), np.int32, len(words))
             starts = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = np.append(starts[1:], len(words))
@@ -141,11 +141,11 @@ def segment_words(words: DataFrame, model: str) -> DataFrame:
     return words.groupBy("bucket").applyInPandas(segment, "block string, first int, counts binary, ids binary")
 
 
-def encode(docs: DataFrame, model: str, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: str, buckets: int | None = None, block_size: int = BLOCK) -> DataFrame:
     """(doc_id, ids): ids of every text as little-endian unsigned 32-bit integers, with begin and end ids.
 
     One row per row of ``docs``, which has doc_id, text and any others. They equal those of the library's encode().
-    Texts are cut before each run of markers, which no piece crosses. Blocks of texts (``BLOCK`` characters) list their distinct
+    Texts are cut before each run of markers, which no piece crosses. Blocks of texts (of ``block_size`` characters) list their distinct
     words; a word goes to one bucket, is segmented there once, and its ids go back to the blocks that have it, where
     documents take them by the numbers of their words. What is shuffled is each block's distinct words and 4 bytes per word of
     text. A word that every block has is one short row part per block. ``buckets`` is the number of input partitions unless
@@ -160,10 +160,10 @@ def encode(docs: DataFrame, model: str, buckets: int | None = None) -> DataFrame
     if buckets is None:
         buckets = max(docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism)
     kind = docs.schema["doc_id"].dataType
-    answers = segment_words(distinct_words(docs, buckets), model)
+    answers = segment_words(distinct_words(docs, buckets, block_size), model)
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block, ids, refs, _, _ in _blocks(batches, buckets):
+        for block, ids, refs, _, _ in _blocks(batches, buckets, block_size):
             yield pd.DataFrame({"block": block, "doc_id": pd.Series(ids, dtype=object), "refs": [r.tobytes() for r in refs]})
 
     numbered = T.StructType([T.StructField("block", T.StringType()), T.StructField("doc_id", kind), T.StructField("refs", T.BinaryType())])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, embeddings, language, lines, marked_words, mixing, ngram_join, quality, toxicity, urls, warc, word_runs
+from almanac.llm import decontaminate, embeddings, language, lexical_search, lines, marked_words, mixing, ngram_join, quality, toxicity, urls, warc, word_runs
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_language_id": language.op10_language_id,
     "op11_marked_words": marked_words.op11_marked_words,
     "op12_word_runs": word_runs.op12_word_runs,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 #: What SQL cannot say (random rounding, trained models) is tested against brute force instead.
@@ -27,4 +28,5 @@ ORACLE_SQL = {
     "op7_near_duplicates": embeddings.OP7_SQL,
     "op8_line_dedup": lines.OP8_SQL,
     "op9_merkle_audit": warc.OP9_SQL,
+    "op13_lexical_search": lexical_search.OP13_SQL,
 }

@@ -1,0 +1,122 @@
+"""Rankings against scores of all documents, and bounds against the scores they bound."""
+
+import math
+import random
+import re
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+from almanac.llm import lexical_search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def cut(text):
+    return TERM.findall(re.sub("[A-Z]", lambda c: c[0].lower(), text or ""))
+
+
+def expected(docs, items, top=50):
+    counts = [(d, Counter(cut(t))) for d, t in docs]
+    sizes = [sum(c.values()) for _, c in counts]
+    n_docs, n_terms = sum(n > 0 for n in sizes), sum(sizes)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for (doc_id, c), n in zip(counts, sizes):
+            score = 0
+            for t in set(cut(text)):
+                if c[t]:
+                    m = 50 + (50 * n * n_docs) // n_terms
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((10**9 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0, doc_id))
+        out += [(item, r + 1, f[3], -f[0]) for r, f in enumerate(sorted(found)[:top])]
+    return out
+
+
+def check(spark, docs, items, top=50):
+    found = lexical_search.search(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id string, text string"), top
+    )
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    want = expected(docs, items, top)
+    key = lambda r: (r[0] is not None, r[0] or "", r[1])
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(want, key=key)
+    return want
+
+
+def prose(rng, n, size=400):
+    """Words of very different frequency."""
+    return " ".join(f"w{int(size ** rng.random())}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    docs = [(i, prose(rng, rng.choice([0, 1, 3, 20, 100, 100, 400]))) for i in range(1300)]
+    docs += [(2000 + i, prose(random.Random(1), 60) + " rare") for i in range(150)]  # copies: equal scores
+    docs += [(3000, "w1 " * 30000 + "rare"), (3001, None), (3002, ""), (3003, "... --- \n"), (3004, "RARE É straße-é 2x"), (3005, "ÉÉ é")]
+    items = [(f"i{i}", prose(rng, 40)) for i in range(12)] + [("rare", "Rare RARE rare."), ("é", "É é"), ("none", "absent words"), ("empty", ""), ("null", None)]
+    return docs, items
+
+
+def test_all_items(spark, corpus):
+    want = check(spark, *corpus)
+    assert {r[0] for r in want} == {*(f"i{i}" for i in range(12)), "rare", "é"}
+    assert max(Counter(r[0] for r in want).values()) == 50
+
+
+@pytest.mark.parametrize("top", [1, 7])
+def test_other_tops_and_items_in_parts(spark, corpus, monkeypatch, top):
+    monkeypatch.setattr(lexical_search, "ITEMS", 5)
+    check(spark, *corpus, top)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    docs = [(1, "a b"), (1, "a b"), (1, "a c"), (None, "a b"), (None, None), (2, "a b c")]
+    want = check(spark, docs, [("x", "a b"), (None, "c")])
+    assert [r[1] for r in want if r[0] == "x"] == [1, 2, 3, 4, 5]
+
+
+def test_other_columns_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, "t"), (2, "c", 1, "u")], "doc_id long, text string, k int, term string")
+    items = spark.createDataFrame([(7, "a", 3)], "item_id int, text string, score int")
+    assert [tuple(r)[:3] for r in lexical_search.search(docs, items).collect()] == [(7, 1, 1)]
+    assert lexical_search.search(docs.limit(0), items).count() == 0
+    assert lexical_search.search(docs, items.limit(0)).count() == 0
+
+
+def test_bounds_are_never_too_low(spark, corpus):
+    docs, items = corpus
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = lexical_search.index(frame)
+    (queries,) = lexical_search._queries(found, spark.createDataFrame(items, "item_id string, text string"))
+    hashes = lexical_search._hashes(queries.terms)
+    exact = {}
+    for item, _, doc_id, score in expected(docs, items, len(docs)):
+        exact[item, doc_id] = score
+    keys = {r.k: r.doc_id for r in lexical_search._keyed(frame).collect()}
+    close = total = 0
+    for block in found.blocks.collect():
+        bounds = lexical_search._bounds(block, queries, found.n_docs, found.n_terms, hashes)
+        for d, k in enumerate(np.frombuffer(block.keys, np.int64).tolist()):
+            for i, item in enumerate(queries.ids):
+                score = exact.get((item, keys[k]), 0)
+                assert bounds[d, i] >= score
+                total += 1
+                close += bounds[d, i] <= 1.25 * score + 3e6
+    assert close > 0.95 * total
+
+
+def test_nothing_but_answers_is_left_in_the_shared_folder(spark, corpus):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "almanac"
+    before = set(folder.glob("*"))
+    docs, items = corpus
+    found = lexical_search.search(spark.createDataFrame(docs[:50], "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert found.count() > 0
+    assert [p.name.split("-")[0] for p in set(folder.glob("*")) - before] == ["answers"]

@@ -46,11 +46,10 @@ def test_mixed_texts(spark, library, buckets):
     check(spark, library, [rng.choice(["", " ", "  "]).join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(300)], buckets=buckets)
 
 
-def test_long_texts_and_small_blocks(spark, library, monkeypatch):
-    monkeypatch.setattr(marked_words, "BLOCK", 100)
+def test_long_texts_and_small_blocks(spark, library):
     rng = random.Random(3)
     words = ["alpha", "beta", "gamma", "", "δ"]
-    check(spark, library, ["y" * 5000, " ".join(rng.choice(words) for _ in range(20000)), *(" ".join(rng.choice(words) for _ in range(30)) for _ in range(50))])
+    check(spark, library, ["y" * 5000, " ".join(rng.choice(words) for _ in range(20000)), *(" ".join(rng.choice(words) for _ in range(30)) for _ in range(50))], block_size=100)
 
 
 def test_a_word_is_segmented_once(spark):

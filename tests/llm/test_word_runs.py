@@ -91,10 +91,14 @@ def test_odd_rows(spark):
     check(spark, rows)
 
 
-def test_texts_share_no_runs_and_sequences_may_be_short(spark, monkeypatch):
+def test_texts_share_no_runs_and_sequences_may_be_short(monkeypatch):
     monkeypatch.setattr(word_runs, "SEQUENCE", 50)
     monkeypatch.setattr(word_runs, "PAIRS", 7)
-    check(spark, [(i, "a " * n) for i, n in enumerate([5, 6, 7, 11, 12, 13, 100, 3])])
+    rows = [(i, "a " * n) for i, n in enumerate([5, 6, 7, 11, 12, 13, 100, 3, 40, 12, 12])]
+    texts = [t for _, t in rows]
+    found = [x for first, part in word_runs._sequences(texts) for x in word_runs._collapsed(part, 12)]
+    assert [([tuple(r.values()) for r in runs], text) for runs, text in found] == [r[1:] for r in expected(rows)]
+    assert len(list(word_runs._sequences(texts))) > 3
 
 
 def test_many_words(spark):
