@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -53,17 +54,22 @@ class Index(NamedTuple):
     n_terms: int
 
 
-def _hashes(found: list[bytes]) -> np.ndarray:
-    """A 64-bit number of each term, the same in every process."""
-    if not found:
-        return np.zeros(0, np.uint64)
-    return pd.util.hash_array(np.array([t.decode("utf-8", "replace") for t in found], dtype=object), categorize=False)
+class _Hashes(dict):
+    """64-bit numbers of terms, the same in every process, each made once."""
+
+    def __missing__(self, term: bytes) -> int:
+        number = self[term] = int.from_bytes(blake2b(term, digest_size=8).digest(), "little")
+        return number
+
+
+def _hashes(found: list[bytes], known: _Hashes) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
 
 
 def _bits(entries: np.ndarray, width: int) -> np.ndarray:
     """The bits (entry, hash) of entries in signatures of a width."""
-    places = [mixed(entries + np.uint64(0x1F123BB5 * (h + 1))) % np.uint64(width) for h in range(HASHES)]
-    return np.stack(places, axis=1).astype(np.int64)
+    step = mixed(entries) | np.uint64(1)
+    return np.stack([(entries + np.uint64(h) * step) % np.uint64(width) for h in range(HASHES)], axis=1).astype(np.int64)
 
 
 def _entries(hashes: np.ndarray, level: int) -> np.ndarray:
@@ -74,26 +80,31 @@ def _entries(hashes: np.ndarray, level: int) -> np.ndarray:
 _BLOCK = "keys binary, sizes binary, total bigint, width int, slices binary, term string, df bigint"
 
 
-def _packed(docs: list[tuple], entries: list[np.ndarray], width: int) -> dict:
+def _packed(docs: list[tuple[int, np.ndarray, np.ndarray]], width: int) -> dict:
     """A block: its documents and, for each bit of the signatures, a bitmap of the documents that have it."""
+    keys, tfs, hashes = zip(*docs)
+    owner, tf, hashed = np.repeat(np.arange(len(docs)), [len(t) for t in tfs]), np.concatenate(tfs), np.concatenate(hashes)
     bits = np.zeros((width, -(-len(docs) // 8) * 8), bool)
-    for d, own in enumerate(entries):
-        bits[_bits(own, width).ravel(), d] = True
-    keys, sizes = zip(*docs)
-    packed = {"keys": np.array(keys, np.int64).tobytes(), "sizes": np.array(sizes, np.int64).tobytes()}
-    return {**packed, "total": sum(sizes), "width": width, "slices": np.packbits(bits, axis=1).tobytes(), "term": None, "df": None}
+    for level in LEVELS:
+        there = tf >= level
+        if not there.any():
+            break
+        owner, tf, hashed = owner[there], tf[there], hashed[there]
+        bits[_bits(_entries(hashed, level), width), owner[:, None]] = True
+    sizes = np.fromiter((t.sum() for t in tfs), np.int64, len(tfs))
+    packed = {"keys": np.array(keys, np.int64).tobytes(), "sizes": sizes.tobytes(), "total": int(sizes.sum())}
+    return {**packed, "width": width, "slices": np.packbits(bits, axis=1).tobytes(), "term": None, "df": None}
 
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of blocks and of the lexicon (term, df), in one pass over texts."""
-    open_blocks: dict[int, tuple[list, list]] = {}
+    open_blocks: dict[int, list] = {}
     lexicon: Counter[bytes] = Counter()
-    held = 0
+    known, held, levels = _Hashes(), 0, np.array(LEVELS)
     columns = ["keys", "sizes", "total", "width", "slices", "term", "df"]
 
     def block(width: int) -> pd.DataFrame:
-        docs, entries = open_blocks.pop(width)
-        return pd.DataFrame([_packed(docs, entries, width)], columns=columns, dtype=object)
+        return pd.DataFrame([_packed(open_blocks.pop(width), width)], columns=columns, dtype=object)
 
     def counted() -> pd.DataFrame:
         rows = [(*[None] * 5, t.decode("utf-8", "replace"), n) for t, n in lexicon.items()]
@@ -106,18 +117,16 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             lexicon.update(counts.keys())
             tf = np.fromiter(counts.values(), np.int64, len(counts))
-            hashes = _hashes(list(counts))
-            entries = np.concatenate([_entries(hashes[tf >= level], level) for level in LEVELS if level <= tf.max()])
-            width = BITS << max(4, int(np.ceil(np.log2(len(entries)))))
-            docs, own = open_blocks.setdefault(width, ([], []))
-            docs.append((int(k), int(tf.sum())))
-            own.append(entries)
+            entries = int(np.searchsorted(levels, tf, side="right").sum())
+            width = BITS << max(4, (entries - 1).bit_length())
+            docs = open_blocks.setdefault(width, [])
+            docs.append((int(k), tf, _hashes(list(counts), known)))
             if len(docs) == BLOCK_DOCS:
                 yield block(width)
             held += len(text)
             if held >= LEXICON_PART:
                 yield counted()
-                lexicon, held = Counter(), 0
+                lexicon, known, held = Counter(), _Hashes(), 0
     for width in list(open_blocks):
         yield block(width)
     if lexicon:
@@ -219,7 +228,7 @@ def _bounds(block, queries: _Queries, n_docs: int, n_terms: int, hashes: np.ndar
 def _bounded(found: Index, queries: _Queries, keep: Callable[[np.ndarray], Iterator], schema: T.StructType) -> DataFrame:
     """Rows (item, k, bound) that ``keep`` chooses from the bounds of a block."""
     n_docs, n_terms = found.n_docs, found.n_terms
-    hashes = _hashes(queries.terms)
+    hashes = _hashes(queries.terms, _Hashes())
 
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         choose = keep()

@@ -96,7 +96,7 @@ def test_bounds_are_never_too_low(spark, corpus):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     found = lexical_search.index(frame)
     (queries,) = lexical_search._queries(found, spark.createDataFrame(items, "item_id string, text string"))
-    hashes = lexical_search._hashes(queries.terms)
+    hashes = lexical_search._hashes(queries.terms, lexical_search._Hashes())
     exact = {}
     for item, _, doc_id, score in expected(docs, items, len(docs)):
         exact[item, doc_id] = score
