@@ -1,12 +1,16 @@
-"""SentencePiece ids by a table of distinct marked words, each segmented once and joined back by position."""
+"""SentencePiece ids by tables of distinct marked words, each segmented once and joined back by position.
+
+One table of all words, joined to the words of every block of texts by shuffles, gave the same ids, but wrote 1.8 times the input
+to disk and took more than 3,000 MB of an executor (README): half of all different words stand in one block only.
+"""
 
 from __future__ import annotations
 
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,9 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm.common import table
+from almanac.sources.shared import materialise, scratch
 
 #: Characters of text that share a list of distinct words; a longer text is a block of its own.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
+#: Words of the table that all tasks get, and characters of its longest one.
+TABLE, LONGEST = 1 << 17, 64
 #: What a space is to the pieces: the marker that begins a word.
 MARK = "▁"
 _WORD = re.compile(" ( *[^ ]*)")
@@ -62,132 +69,103 @@ def words_of(text: str) -> list[str]:
     return text.split(" ")
 
 
-def _blocks(batches: Iterator[pd.DataFrame], buckets: int, size: int) -> Iterator[tuple[str, list, list[np.ndarray], list[str], np.ndarray]]:
-    """(block, ids of documents, numbers of each one's words, distinct words, bucket of each).
+def word_table(docs: DataFrame, model: str, size: int = TABLE, block_size: int = BLOCK) -> DataFrame:
+    """(word, ids) of the ``size`` most frequent words of the corpus, each segmented once.
 
-    A block's name is a digest of its rows, so it does not depend on the task that makes it.
-    Its words are numbered bucket by bucket.
+    Words are counted in the tasks that read the texts, block by block; words that come once in a block don't count there.
+    Longer words than ``LONGEST`` are left out. So the table has a bounded size, whatever the corpus.
     """
 
-    def closed() -> tuple[str, list, list[np.ndarray], list[str], np.ndarray]:
-        words = list(numbers)
-        bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) % buckets for w in words), np.int64, len(words))
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(words), np.int32)
-        place[order] = np.arange(len(words), dtype=np.int32)
-        return digest.hexdigest(), ids, [place[r] for r in refs], [words[i] for i in order], bucket[order]
-
-    ids, refs, numbers, digest, held = [], [], _Numbers(), blake2b(digest_size=16), 0
-    for batch in batches:
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            text = text if isinstance(text, str) else ""
-            digest.update(f"{doc_id}\0{len(text)}\0".encode())
-            digest.update(text.encode("utf-8", "replace"))
-            ids.append(doc_id)
-            words = words_of(text)
-            refs.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            held += len(text) + 1
-            if held >= size:
-                yield closed()
-                ids, refs, numbers, digest, held = [], [], _Numbers(), blake2b(digest_size=16), 0
-    if ids:
-        yield closed()
-
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, held = Counter(), 0
 
-def distinct_words(docs: DataFrame, buckets: int, block_size: int = BLOCK) -> DataFrame:
-    """(bucket, block, first, words, lengths): each block's distinct words, dealt to buckets by hash.
+        def closed() -> pd.DataFrame:
+            often = [(w, n) for w, n in counts.items() if n > 1 and len(w) <= LONGEST]
+            return pd.DataFrame(often, columns=["word", "n"])
 
-    ``words`` are put end to end, ``lengths`` are their lengths as int32; ``first`` is the number of the first one.
-    """
+        for batch in batches:
+            for text in batch["text"]:
+                if isinstance(text, str):
+                    counts.update(words_of(text))
+                    held += len(text)
+                if held >= block_size:
+                    yield closed()
+                    counts, held = Counter(), 0
+        yield closed()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block, _, _, words, bucket in _blocks(batches, buckets, block_size):
-            lengths = np.fromiter(map(len, words), np.int32, len(words))
-            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = np.append(starts[1:], len(words))
-            yield pd.DataFrame(
-                {
-                    "bucket": bucket[starts].astype(np.int32),
-                    "block": block,
-                    "first": starts.astype(np.int32),
-                    "words": ["".join(words[a:b]) for a, b in zip(starts, ends)],
-                    "lengths": [lengths[a:b].tobytes() for a, b in zip(starts, ends)],
-                }
-            )
+    def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"word": batch["word"], "ids": _segmented(batch["word"].tolist(), model)})
 
-    return docs.mapInPandas(cut, "bucket int, block string, first int, words string, lengths binary")
+    counted = docs.select("text").mapInPandas(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = materialise(counted.orderBy(F.desc("n"), "word").limit(size).select("word"), "words")
+    return materialise(top.mapInPandas(segment, "word string, ids array<int>"), "word-ids")
 
 
-def segment_words(words: DataFrame, model: str) -> DataFrame:
-    """(block, first, counts, ids): ids of the words of ``distinct_words``, put end to end, and how many each has.
+def _segmented(words: list[str], model: str) -> list[list[int]]:
+    """Ids of words without their first marker, which the library puts before each."""
+    tokenizer = _tokenizer(model)
+    # The library gives an empty text no ids, but a marker at the end of a text is one.
+    return [ids or [tokenizer.piece_to_id(MARK)] for ids in tokenizer.encode(words, num_threads=1)]
 
-    A word is in one bucket, so it is segmented once, however many blocks have it.
-    """
 
-    def segment(group: pd.DataFrame) -> pd.DataFrame:
-        tokenizer = _tokenizer(model)
-        numbers, rows = _Numbers(), []
-        for text, lengths in zip(group["words"], group["lengths"]):
-            ends = np.cumsum(np.frombuffer(lengths, np.int32)).tolist()
-            rows.append([numbers[text[a:b]] for a, b in zip([0, *ends], ends)])
-        found = tokenizer.encode(list(numbers), num_threads=1)
-        if "" in numbers:  # a marker at the end of a text; the library gives an empty text none
-            found[numbers[""]] = [tokenizer.piece_to_id(MARK)]
-        counts = [np.fromiter((len(found[i]) for i in row), np.int32, len(row)) for row in rows]
-        ids = [np.fromiter((x for i in row for x in found[i]), np.int32, int(n.sum())) for row, n in zip(rows, counts)]
-        packed = {"counts": [n.tobytes() for n in counts], "ids": [i.tobytes() for i in ids]}
-        return pd.DataFrame({"block": group["block"], "first": group["first"], **packed})
-
-    return words.groupBy("bucket").applyInPandas(segment, "block string, first int, counts binary, ids binary")
-
-
-def encode(docs: DataFrame, model: str, buckets: int | None = None, block_size: int = BLOCK) -> DataFrame:
+def encode(docs: DataFrame, model: str, table_size: int = TABLE, block_size: int = BLOCK) -> DataFrame:
     """(doc_id, ids): ids of every text as little-endian unsigned 32-bit integers, with begin and end ids.
 
     One row per row of ``docs``, which has doc_id, text and any others. They equal those of the library's encode().
-    Texts are cut before each run of markers, which no piece crosses. Blocks of texts (of ``block_size`` characters) list their distinct
-    words; a word goes to one bucket, is segmented there once, and its ids go back to the blocks that have it, where
-    documents take them by the numbers of their words. What is shuffled is each block's distinct words and 4 bytes per word of
-    text. A word that every block has is one short row part per block. ``buckets`` is the number of input partitions unless
-    given, so a bucket's size does not grow with the corpus.
+    Texts are cut before each run of markers, which no piece crosses. The frequent words are in one table for the whole corpus
+    (``word_table``), which goes to all tasks; a block of texts segments each of its other words once. Every
+    word of a text then takes its ids by its number. Texts are not shuffled, and a task holds one block of ``block_size`` characters.
 
     NULL and empty text have begin and end ids only. A very long text is a block of its own. Repeated rows
     and NULL ids are rows like others. Other columns are not read, whatever their names. An empty table gives none.
-    ``docs`` is read twice and must give the same rows in the same order, as tables in files do: otherwise the job fails.
     """
     check_model(model)
-    docs = docs.select("doc_id", "text")
-    if buckets is None:
-        buckets = max(docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism)
-    kind = docs.schema["doc_id"].dataType
-    answers = segment_words(distinct_words(docs, buckets, block_size), model)
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    with scratch(spark):
+        known = word_table(docs, model, table_size, block_size).toPandas()
+    shared = spark.sparkContext.broadcast((known["word"].tolist(), [np.array(i, np.int32) for i in known["ids"]]))
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType())])
 
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block, ids, refs, _, _ in _blocks(batches, buckets, block_size):
-            yield pd.DataFrame({"block": block, "doc_id": pd.Series(ids, dtype=object), "refs": [r.tobytes() for r in refs]})
-
-    numbered = T.StructType([T.StructField("block", T.StringType()), T.StructField("doc_id", kind), T.StructField("refs", T.BinaryType())])
-    refs = docs.mapInPandas(number, numbered)
-
-    def take(refs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(model)
         begin, end = np.int32([tokenizer.bos_id()]), np.int32([tokenizer.eos_id()])
-        answers = answers.drop_duplicates("first").sort_values("first")
-        counts = np.frombuffer(b"".join(answers["counts"]), np.int32)
-        flat = np.frombuffer(b"".join(answers["ids"]), np.int32)
-        starts = np.cumsum(counts) - counts
-        out = []
-        for packed in refs["refs"]:
-            words = np.frombuffer(packed, np.int32)
-            if len(words) and (not len(counts) or words.max() >= len(counts)):
-                raise RuntimeError("docs gave other rows when read again; write them to a table first")
-            n = counts[words]
-            ids = flat[np.repeat(starts[words] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-            out.append(np.concatenate([begin, ids, end]).astype("<u4").tobytes())
-        return pd.DataFrame({"doc_id": refs["doc_id"], "ids": out})
-
-    done = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.BinaryType())])
-    return refs.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(take, done)
+        common, common_ids = shared.value
+        table_of_words = {w: i for i, w in enumerate(common)}
+        common_counts = np.fromiter(map(len, common_ids), np.int64, len(common))
+        common_flat = np.concatenate([*common_ids, np.zeros(0, np.int32)])
+
+        def closed() -> pd.DataFrame:
+            rare = [w for w in numbers if w not in table_of_words]
+            found = _segmented(rare, model)
+            counts = np.concatenate([common_counts, np.fromiter(map(len, found), np.int64, len(found))])
+            flat = np.concatenate([common_flat, np.fromiter(chain.from_iterable(found), np.int32)])
+            starts = np.cumsum(counts) - counts
+            # A word's place: in the table, or behind it in this block's list.
+            behind = {w: len(common) + i for i, w in enumerate(rare)}
+            place = np.fromiter((table_of_words[w] if w in table_of_words else behind[w] for w in numbers), np.int64, len(numbers))
+            out = []
+            for ref in refs:
+                words = place[ref]
+                n = counts[words]
+                ids = flat[np.repeat(starts[words] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+                out.append(np.concatenate([begin, ids, end]).astype("<u4").tobytes())
+            return pd.DataFrame({"doc_id": pd.Series(doc_ids, dtype=object), "ids": out})
+
+        doc_ids, refs, numbers, held = [], [], _Numbers(), 0
+        for batch in batches:
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                words = words_of(text) if isinstance(text, str) else []
+                doc_ids.append(None if pd.isna(doc_id) else doc_id)
+                refs.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                held += len(text or "") + 1
+                if held >= block_size:
+                    yield closed()
+                    doc_ids, refs, numbers, held = [], [], _Numbers(), 0
+        if doc_ids:
+            yield closed()
+
+    return docs.mapInPandas(assign, schema)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

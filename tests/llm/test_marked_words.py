@@ -39,11 +39,11 @@ def test_odd_texts(spark, library):
     check(spark, library, ODD)
 
 
-@pytest.mark.parametrize("buckets", [1, 7])
-def test_mixed_texts(spark, library, buckets):
-    rng = random.Random(buckets)
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_mixed_texts(spark, library, size):
+    rng = random.Random(size)
     parts = [*(t for t in ODD if t), "the", "of", "banana", "\n", " ", "x" * 30, "q7&&", "straße"]
-    check(spark, library, [rng.choice(["", " ", "  "]).join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(300)], buckets=buckets)
+    check(spark, library, [rng.choice(["", " ", "  "]).join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(300)], table_size=size)
 
 
 def test_long_texts_and_small_blocks(spark, library):
@@ -52,34 +52,24 @@ def test_long_texts_and_small_blocks(spark, library):
     check(spark, library, ["y" * 5000, " ".join(rng.choice(words) for _ in range(20000)), *(" ".join(rng.choice(words) for _ in range(30)) for _ in range(50))], block_size=100)
 
 
-def test_a_word_is_segmented_once(spark):
-    docs = spark.createDataFrame([(i, f"the same words {i % 3}") for i in range(90)], "doc_id long, text string").repartition(6)
-    words = marked_words.distinct_words(docs, 4).collect()
-    seen = {}
-    for r in words:
-        ends = np.cumsum(np.frombuffer(r.lengths, np.int32)).tolist()
-        for a, b in zip([0, *ends], ends):
-            seen.setdefault(r.words[a:b], set()).add(r.bucket)
-    assert sorted(seen) == ["0", "1", "2", "same", "the", "words"]
-    assert all(len(buckets) == 1 for buckets in seen.values())
+def test_the_table_has_the_most_frequent_words_once(spark, library):
+    long = "z" * (marked_words.LONGEST + 1)
+    docs = spark.createDataFrame([(i, f"the same words {i % 3} {long} the  x ") for i in range(90)] + [(90, "once")], "doc_id long, text string")
+    found = marked_words.word_table(docs.repartition(5), MODEL).collect()
+    assert sorted(r.word for r in found) == sorted({"the", "same", "words", "0", "1", "2", " x", ""})
+    assert {r.word: list(r.ids) for r in found}["same"] == library.encode("same")
+    assert [r.word for r in marked_words.word_table(docs, MODEL, size=1).collect()] == ["the"]
 
 
 def test_repeated_rows_null_ids_and_other_columns(spark, library):
     rows = [(1, "a b", 0, "x"), (1, "a b", 0, "x"), (None, "c", 1, None), (None, None, 1, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, block int, ids string").coalesce(1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, word int, ids string").coalesce(1)
     found = marked_words.encode(docs, MODEL)
     assert found.columns == ["doc_id", "ids"]
     got = sorted((r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist()) for r in found.collect())
     assert got == sorted((r[0] or 0, e[0]) for r, e in zip(rows, expected(library, [r[1] for r in rows])))
 
 
-def test_equal_blocks(spark, library):
-    """Two partitions with the same rows: their blocks have one name."""
-    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
-    found = marked_words.encode(docs.union(docs), MODEL).collect()
-    assert [np.frombuffer(r.ids, "<u4").tolist() for r in found] == [expected(library, ["a b c"])[0][0]] * 2
-
-
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert marked_words.decode(marked_words.encode(docs, MODEL), MODEL).count() == 0
