@@ -272,6 +272,17 @@ def means_of_wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_linenumber", kind.alias("kind"), finite.alias("wide_avg"), "tiny_avg")
 
 
+def means_of_loose_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of values from 2e-12 to 5e13 without declared decimals, per supplier: the same bits in any order."""
+    item = table(spark, sf_dir, "lineitem")
+    sign = F.when(F.col("l_linenumber") % 2 == 0, -1.0).otherwise(1.0)
+    loose = sign * F.col("l_quantity") * F.pow(F.lit(2.0), F.col("l_partkey") % 81 - 40)
+    rows = item.select("l_suppkey", F.year("l_shipdate").alias("year"), loose.alias("loose"), F.lit(None).cast("double").alias("never"))
+    fine = op.period_totals(rows, ["l_suppkey", "year"], [Measure("loose"), Measure("never")])
+    totals = op.roll_up(fine, ["l_suppkey"], [Measure("loose"), Measure("never")])
+    return totals.selectExpr("l_suppkey", "loose_total", "loose_n", "loose_total / loose_n as loose_avg", "never_total", "never_n")
+
+
 def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.first_seen(observations(spark, sf_dir))
 
@@ -327,6 +338,13 @@ def argmax_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.argmax_rows(observations(spark, sf_dir), "price")
 
 
+def argmax_rows_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a supplier's maximum of any measure, from one pass for all of them."""
+    found = op.argmax_rows_each(observations(spark, sf_dir), SPEC.measure_names, ["year", "month"])
+    parts = [rows.select("station", "year", "month", F.lit(m).alias("measure"), F.col(f"max_{m}").alias("value")) for m, rows in found.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def argmax_rows_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.argmax_rows_window(observations(spark, sf_dir), "quantity")
 
@@ -338,6 +356,21 @@ def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.deltas(period_means(spark, sf_dir), MEASURES)
 
 
+def _by_instant(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
+    shipped = table(spark, sf_dir, "lineitem").selectExpr("l_returnflag flag", "l_shipdate instant", "l_quantity quantity", "l_extendedprice price")
+    return op.deltas(op.means(shipped, [*by, "instant"], MEASURES[:2]), MEASURES[:2], by, "instant")
+
+
+def deltas_by_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes from each moment of shipping to the next one: as many periods as there are such moments."""
+    return _by_instant(spark, sf_dir, [])
+
+
+def deltas_by_flag_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same within three groups, of which each holds a good part of all periods."""
+    return _by_instant(spark, sf_dir, ["flag"])
+
+
 def deltas_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.deltas(season_means(spark, sf_dir), MEASURES, ["season"])
 
@@ -379,9 +412,9 @@ def trend_text_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     ingest_lines, rejected_lines, ingest_files, ingest_files_legacy, ingest_legacy, ingest_trend, text_scan, parquet_roundtrip, csv_roundtrip, answers,
     num_periods, period_means, season_means, month_means, period_totals, rolled_up_means,
-    means_of_wide_values, first_seen, max_by_entity, season_of, join_on_keys,
-    rank_first_seen, rank_by_max, rank_multi, best_worst, argmax_rows, argmax_rows_window,
-    deltas, deltas_by_season, deltas_by_entity_season,
+    means_of_wide_values, means_of_loose_values, first_seen, max_by_entity, season_of, join_on_keys,
+    rank_first_seen, rank_by_max, rank_multi, best_worst, argmax_rows, argmax_rows_each, argmax_rows_window,
+    deltas, deltas_by_instant, deltas_by_flag_instant, deltas_by_season, deltas_by_entity_season,
     trend_totals, trend_totals_by_season, trend_large_changes, trend_text, trend_text_by_season,
 )
 
@@ -596,6 +629,15 @@ seen AS (SELECT station, min(year) AS y FROM obs GROUP BY station)
 )
 
 
+def _instants(by: str) -> str:
+    keys = f"{by}instant"
+    mean = "CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100 / count({c})"
+    window = f"({'PARTITION BY flag ' if by else ''}ORDER BY instant)"
+    return f"""WITH means AS (SELECT {keys}, {mean.format(c="l_quantity")} AS q, {mean.format(c="l_extendedprice")} AS p
+            FROM (SELECT *, l_returnflag AS flag, l_shipdate AS instant FROM lineitem) GROUP BY {keys})
+        SELECT {keys}, lead(q) OVER {window} - q AS quantity, lead(p) OVER {window} - p AS price FROM means"""
+
+
 def observation_sql() -> dict[str, str]:
     return {
         "ingest_lines": f"""SELECT 'S-' || l_suppkey AS station, {_YEAR} AS year, {_MONTH} AS month,
@@ -655,7 +697,19 @@ def observation_sql() -> dict[str, str]:
             SELECT * FROM (SELECT 'worst_year' AS year_type, year AS value FROM means
                            ORDER BY {_WORST_ORDER}, year DESC LIMIT 1)""",
         "argmax_rows": _argmax("price"),
+        "argmax_rows_each": f"WITH {_OBS} " + " UNION ALL ".join(
+            f"""SELECT station, year, month, '{m}' AS measure, {m} AS value FROM obs
+                JOIN (SELECT station AS s, max({m}) AS top FROM obs GROUP BY station) ON station = s AND {m} = top"""
+            for m in SPEC.measure_names
+        ),
         "argmax_rows_window": _argmax("quantity"),
+        "deltas_by_instant": _instants(""),
+        "deltas_by_flag_instant": _instants("flag, "),
+        "means_of_loose_values": """SELECT l_suppkey, total AS loose_total, n AS loose_n, total / n AS loose_avg,
+            CAST(NULL AS DOUBLE) AS never_total, CAST(0 AS BIGINT) AS never_n
+            FROM (SELECT l_suppkey, count(*) AS n, CAST(CAST(sum(CAST(CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END
+                * l_quantity * power(2, l_partkey % 81) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 40) AS total
+              FROM lineitem GROUP BY l_suppkey)""",
         "deltas": f"WITH {_OBS}, {_deltas('')} SELECT * FROM changes",
         "deltas_by_season": f"WITH {_OBS}, {_deltas('season')} SELECT * FROM changes",
         "deltas_by_entity_season": f"""WITH {_OBS}, means AS ({_means('station, season, year')}),

@@ -8,12 +8,14 @@ from almanac.operators.aggregate import (
     period_totals,
     roll_up,
 )
-from almanac.operators.extremes import argmax_rows, argmax_rows_window
+from almanac.operators.extremes import argmax_rows, argmax_rows_each, argmax_rows_window
+from almanac.operators.order import with_next
 from almanac.operators.rank import best_worst, rank_global
 from almanac.operators.trend import deltas, trend_text, trend_totals
 
 __all__ = [
     "argmax_rows",
+    "argmax_rows_each",
     "argmax_rows_window",
     "as_means",
     "best_worst",
@@ -28,4 +30,5 @@ __all__ = [
     "roll_up",
     "trend_text",
     "trend_totals",
+    "with_next",
 ]

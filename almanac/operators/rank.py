@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.columns import quoted
-from almanac.sources.shared import materialise
-
-_ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
+from almanac.operators.order import PART, row_in_part, sorted_table
 
 Order = Sequence[tuple[str, str]]
 
@@ -41,20 +39,16 @@ def rank_global(df: DataFrame, order: Order, name: str = "rank") -> DataFrame:
     place in its partition plus the sizes of the partitions before. The table of sizes has one row per
     sorted partition, so it can be broadcast. This operator runs one job, for the sorted table.
     """
-    in_order = df.orderBy(*ordering(order))
-    placed = materialise(in_order.withColumn("_id", F.monotonically_increasing_id()), "ranked")
-    part = F.shiftright("_id", _ROW_BITS)
-    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sorted_table(df, ordering(order), "ranked")
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(part.alias("_part"))
+        placed.groupBy(PART)
         .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+        .select(PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select(*map(quoted, df.columns), (F.col("_before") + row + 1).alias(name))
+        placed.join(F.broadcast(offsets), PART)
+        .select(*map(quoted, df.columns), (F.col("_before") + row_in_part() + 1).alias(name))
     )
 
 

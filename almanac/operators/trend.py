@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.functions.columns import all_present, quoted, trend_sentence
+from almanac.operators.order import with_next
 from almanac.spec import Measure
 
 #: Digits of the largest change that can be added.
@@ -24,22 +25,19 @@ def deltas(
 ) -> DataFrame:
     """Change of every ``<measure>_avg`` to the next period present, as ``<measure>``.
 
-    ``means`` has one row per (by…, period), so a window holds as many rows as there are periods; the
-    observations themselves never enter one. The last period's change is NULL. ``drop_last`` keeps
-    only rows whose successor has all measures; one filter after all leads, so that a group loses its
+    ``means`` has one row per (by…, period). The lead is taken over range partitions (``with_next``), so periods may
+    be years or instants and as many as rows; no task has to hold all of them. The last period's change is NULL.
+    ``drop_last`` keeps only rows whose successor has all measures; one filter after all leads, so that a group loses its
     last row once and not once per measure.
     """
-    group = f"partition by {', '.join(map(quoted, by))} " if by else ""
-    following = f"over ({group}order by {quoted(period)})"
-    averages = {m.name: quoted(f"{m.name}_avg") for m in measures}
-    nexts = {m.name: quoted(f"_next_{m.name}") for m in measures}
-    keys = [quoted(name) for name in (*by, period, *keep)]
-    leads = means.selectExpr(
-        *keys, *averages.values(), *[f"lead({averages[m]}) {following} as {nexts[m]}" for m in nexts]
-    )
+    averages = {m.name: f"{m.name}_avg" for m in measures}
+    keys = list(dict.fromkeys((*by, period, *keep)))
+    wide = means.select(*map(quoted, [*keys, *averages.values()]))
+    leads = with_next(wide, list(averages.values()), period, by)
     if drop_last:
-        leads = leads.filter(all_present([f"_next_{m.name}" for m in measures]))
-    return leads.selectExpr(*keys, *[f"{nexts[m]} - {averages[m]} as {quoted(m)}" for m in nexts])
+        leads = leads.filter(all_present([f"_next_{a}" for a in averages.values()]))
+    changes = [f"{quoted('_next_' + a)} - {quoted(a)} as {quoted(m)}" for m, a in averages.items()]
+    return leads.selectExpr(*map(quoted, keys), *changes)
 
 
 def trend_totals(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.columns import all_present, quoted, with_season
@@ -13,10 +13,11 @@ from almanac.operators.aggregate import (
     first_seen,
     max_by_entity,
     means,
+    num_periods,
     period_totals,
     roll_up,
 )
-from almanac.operators.extremes import argmax_rows
+from almanac.operators.extremes import argmax_rows_each
 from almanac.operators.rank import best_worst, rank_global
 from almanac.operators.trend import deltas, trend_text, trend_totals
 from almanac.sources.shared import materialise, scratch
@@ -33,7 +34,6 @@ BEST_MONTH = (
     ("af_avg", "asc"),
 )
 MAY = 5
-_NTH = "_nth_period"  # a name that columns are unlikely to have
 
 # Where a run keeps its store and each answer; {} stands for a capitalised measure.
 STORE = "PreProcessedData"
@@ -101,7 +101,7 @@ def trend(df: DataFrame, spec: ObservationSpec, by_season: bool = False) -> Data
     """How each measure's mean changed over the years, in all or per season.
 
     Columns (season?, measure, change, years, patterns). One scan and one shuffle of ``df``, which
-    leaves one row per year (and season); everything after that is as small as the calendar.
+    leaves one row per year (and season), written to the shared folder; everything after that is as small as the calendar.
     """
     if by_season:
         df = with_season(df, spec.month, spec.seasons)
@@ -113,15 +113,14 @@ def trend_of_totals(totals: DataFrame, spec: ObservationSpec, by_season: bool =
     """``trend`` from totals per year (and season), rows with NULL keys included."""
     by = ["season"] if by_season else []
     keys = [spec.year, *by]
-    # The number of years is one for all seasons, and counts NULL as a year, so it is taken before
-    # rows with NULL keys go. Both windows range over at most one row per year and season.
-    nth_year = F.dense_rank().over(Window.orderBy(quoted(spec.year)))
-    averages = as_means(totals.withColumn(_NTH, nth_year), [*keys, _NTH], spec.measures)
-    averages = averages.withColumn(_NTH, F.max(_NTH).over(Window.partitionBy()))
-    changes = deltas(averages.filter(all_present(keys)), spec.measures, by, spec.year, keep=[_NTH])
-    years = F.coalesce(F.max(_NTH), F.lit(0)).alias("years")
-    summed = trend_totals(changes, spec.measures, by, [years])
-    return trend_text(summed, spec.measures, by="season" if by_season else None)
+    # One row per year and season, of which the number of years is counted as well.
+    totals = materialise(totals, "yearly")
+    # The number of years is one for all seasons, and counts NULL as a year.
+    years = num_periods(totals, spec.year).first()["periods"]
+    averages = as_means(totals.filter(all_present(keys)), keys, spec.measures)
+    changes = deltas(averages, spec.measures, by, spec.year)
+    summed = trend_totals(changes, spec.measures, by)
+    return trend_text(summed, spec.measures, years=years, by="season" if by_season else None)
 
 
 def write_answers(
@@ -134,9 +133,9 @@ def write_answers(
 ) -> None:
     """All answers as CSV directories below ``out``.
 
-    The observations are read twice for all means, trends and rankings (totals per year and month, and
-    extremes per entity, both kept in the shared folder), and once for each measure in ``extremes``. What
-    lies in the shared folder meanwhile is deleted at the end.
+    The observations are read three times, however many measures are in ``extremes``: for totals per year and month, for
+    extremes per entity, and for the rows that have an extreme. All of these lie in the shared folder meanwhile and
+    are deleted at the end.
     """
     with scratch(observations.sparkSession):
         _write_answers(observations, out, spec, extremes, month, order)
@@ -173,8 +172,7 @@ def _write_answers(
     seasonal = trend_of_totals(roll_up(seasons, [year, "season"], spec.measures), spec, by_season=True)
     write_csv(seasonal.select("patterns"), f"{out}/{SEASONAL_TREND}")
 
-    for m in extremes:
-        rows = argmax_rows(observations, m, [year], entity, maxima=entities)
+    for m, rows in argmax_rows_each(observations, extremes, [year], entity, maxima=entities).items():
         write_csv(rows, f"{out}/{EXTREME_ROWS.format(m.capitalize())}")
 
     of_month = totals.filter(F.col(spec.month) == month).filter(all_present([year]))

@@ -68,6 +68,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(written: DataFrame) -> bool:
+    """Whether Catalyst knows a written table to be small enough for a broadcast."""
+    spark = written.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
 @contextmanager
 def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` on the executors for several queries and release it afterwards."""

@@ -28,9 +28,9 @@ _TYPES = {
 class Measure:
     """A numeric column. ``scale`` is a number of decimals that its values never exceed.
 
-    With a scale, sums are exact, so that means do not depend on the order in which tasks finish; it may
-    be larger than needed, but values with more decimals would be rounded. Without one, sums are plain
-    double sums.
+    Sums are exact, so that means do not depend on the order in which tasks finish. With a scale they are sums
+    of integers, which are fast; it may be larger than needed, but values with more decimals would be rounded. Without
+    one, doubles are cut into limbs and added as these, at several times the cost.
     """
 
     name: str

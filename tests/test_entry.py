@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from almanac import plans
 from tests.conftest import plan
 
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -68,11 +69,24 @@ def test_no_query_has_a_cross_join(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_trend_reads_the_table_once(spark):
+def test_trend_reads_the_table_once(spark, monkeypatch):
+    written, write = [], plans.answers.materialise
+    monkeypatch.setattr(plans.answers, "materialise", lambda df, name: (written.append(plan(df)), write(df, name))[1])
     text = plan(QUERIES["trend_text_by_season"](spark, str(SF_DIR)))
-    assert text.count("FileScan") == 1
-    assert text.count("Exchange hashpartitioning(year") == 1
-    assert "l_linenumber" not in text
+    (totals,) = written
+    assert totals.count("FileScan") == 1
+    assert totals.count("Exchange hashpartitioning(year") == 1
+    assert "l_linenumber" not in totals
+    assert "l_shipdate" not in text and "SinglePartition" not in text.split("Exchange SinglePartition, ENSURE")[0]
+
+
+@pytest.mark.parametrize("name", ["deltas", "deltas_by_instant", "trend_text", "trend_text_by_season"])
+def test_no_window_holds_all_periods(spark, name):
+    """The only windows without keys are over one row per sorted partition."""
+    text = plan(QUERIES[name](spark, str(SF_DIR)))
+    for line in text.splitlines():
+        if "Window [" in line:
+            assert "[_part" in line or "lag(_part" in line, line
 
 
 def test_best_and_worst_share_one_scan(spark):

@@ -5,7 +5,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from almanac.operators import argmax_rows, argmax_rows_window, extremes, max_by_entity
+from almanac import Measure, ObservationSpec, plans
+from almanac.operators import argmax_rows, argmax_rows_each, argmax_rows_window, extremes, max_by_entity
 from tests.conftest import plan, rows
 
 FORMS = [argmax_rows, argmax_rows_window]
@@ -96,3 +97,28 @@ def test_maxima_can_be_shared(spark):
 def test_counts_take_no_window(spark):
     df = spark.range(100).selectExpr("id % 3 station", "1990 year", "id % 5 x")
     assert "Window" not in plan(argmax_rows_window(df, "x"))
+
+
+@pytest.mark.parametrize("extremes", [["a"], ["a", "b", "c", "d"]])
+def test_answers_read_the_observations_three_times(spark, tmp_path, extremes):
+    """However many measures have their extremes taken."""
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: read.add(1) or True, "boolean").asNondeterministic()
+    rows = [(f"s{i % 7}", 1990 + i % 9, i % 12 + 1, float(i % 50), float(i % 11), None if i % 3 else 1.0, float(-i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "station string, year int, month int, a double, b double, c double, d double").repartition(3)
+    df = df.withColumn("ok", seen("station")).filter("ok").drop("ok")
+    spec = ObservationSpec(tuple(Measure(m, m, "", 1) for m in "abcd"))
+    plans.write_answers(df, str(tmp_path), spec, extremes, 5, [("a_avg", "desc")])
+    assert read.value == 3 * len(rows)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_each_measure_from_one_pass(spark, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rng = random.Random(9)
+    data = [(rng.choice([None, "x", "y", "z"]), i, rng.choice([None, 1.0, 2.0]), rng.randrange(5)) for i in range(600)] + [("w", 0, None, None)]
+    df = spark.createDataFrame(data, "station string, year int, a double, b int")
+    found = argmax_rows_each(df, ["a", "b"])
+    for m in ("a", "b"):
+        assert found[m].columns == ["station", "year", f"max_{m}"]
+        assert rows(found[m]) == rows(argmax_rows(df, m))

@@ -38,11 +38,11 @@ def test_ranks_equal_sorting_with_nulls_and_ties(spark, directions):
 
 def test_one_value_in_all_rows_is_still_sorted_by_several_tasks(spark, conf):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    df = spark.range(20_000).selectExpr("1995 as min_year", "id as station")
+    df = spark.range(20_000).selectExpr("1995 as min_year", "id as station").repartition(5)
     ranked = rank_global(df, [("min_year", "asc"), ("station", "asc")])
     assert ranked.filter("rank <> station + 1").count() == 0
     assert ranked.selectExpr("max(rank)", "count(distinct rank)").first() == (20_000, 20_000)
-    assert len(ranked.inputFiles()) == 8  # one sorted file per task
+    assert len(ranked.inputFiles()) == 8  # one sorted file per shuffle partition, however many cores there are
 
 
 def test_empty_table_has_no_ranks(spark):

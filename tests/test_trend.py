@@ -1,9 +1,10 @@
+import random
 from decimal import Decimal
 
 import pytest
 
 from almanac import STATION_REPORT, Measure, ObservationSpec
-from almanac.operators import deltas, trend_text, trend_totals
+from almanac.operators import deltas, trend_text, trend_totals, with_next
 from almanac.plans import trend
 from tests.conftest import rows
 
@@ -137,3 +138,26 @@ def test_trend_does_not_depend_on_how_rows_are_spread(spark):
     df = observed(spark, data)
     found = [rows(trend(df.repartition(n), SPEC, by_season=True)) for n in (1, 5, 16)]
     assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("by", [[], ["g"], ["g", "h"]])
+def test_next_rows_across_partitions(spark, conf, by):
+    """Groups that span partitions, that end with one, and that are one row each."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = random.Random(len(by))
+    periods = rng.sample(range(10_000), 400)
+    data = [(rng.choice([None, "a", "a", "a", "b"]), rng.randrange(2) if i % 50 else i, p, rng.choice([None, float(i)])) for i, p in enumerate(periods)]
+    df = spark.createDataFrame(data, "g string, h int, period int, x double").repartition(6)
+    found = with_next(df, ["x", "period"], "period", by)
+    assert found.columns == ["g", "h", "period", "x", "_next_x", "_next_period"]
+    expected, after = [], {}
+    for row in sorted(data, key=lambda r: -r[2]):
+        group = tuple(row[["g", "h"].index(b)] for b in by)
+        expected.append((*row, *after.get(group, (None, None))))
+        after[group] = (row[3], row[2])
+    assert rows(found) == rows(spark.createDataFrame(expected, found.schema))
+    assert df.count() == 400 and len(found.inputFiles()) > 4
+
+
+def test_next_row_of_an_empty_table(spark):
+    assert with_next(spark.createDataFrame([], "year int, x double"), ["x"], "year").count() == 0
