@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -22,7 +22,7 @@ from almanac.llm.common import table
 from almanac.sources.shared import materialise, scratch
 
 #: Characters of text that share a list of distinct words; a longer text is a block of its own.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
 #: Words of the table that all tasks get, and characters of its longest one.
 TABLE, LONGEST = 1 << 17, 64
 #: What a space is to the pieces: the marker that begins a word.
@@ -109,13 +109,14 @@ def _segmented(words: list[str], model: str) -> list[list[int]]:
     return [ids or [tokenizer.piece_to_id(MARK)] for ids in tokenizer.encode(words, num_threads=1)]
 
 
-def encode(docs: DataFrame, model: str, table_size: int = TABLE, block_size: int = BLOCK) -> DataFrame:
-    """(doc_id, ids): ids of every text as little-endian unsigned 32-bit integers, with begin and end ids.
+def encode(docs: DataFrame, model: str, table_size: int = TABLE, block_size: int = BLOCK, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids, text?): ids of every text as little-endian unsigned 32-bit integers, with begin and end ids.
 
     One row per row of ``docs``, which has doc_id, text and any others. They equal those of the library's encode().
     Texts are cut before each run of markers, which no piece crosses. The frequent words are in one table for the whole corpus
     (``word_table``), which goes to all tasks; a block of texts segments each of its other words once. Every
     word of a text then takes its ids by its number. Texts are not shuffled, and a task holds one block of ``block_size`` characters.
+    ``decoded`` adds the text that the ids give again (as ``decode`` does), where they are made.
 
     NULL and empty text have begin and end ids only. A very long text is a block of its own. Repeated rows
     and NULL ids are rows like others. Other columns are not read, whatever their names. An empty table gives none.
@@ -124,16 +125,17 @@ def encode(docs: DataFrame, model: str, table_size: int = TABLE, block_size: int
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     with scratch(spark):
         known = word_table(docs, model, table_size, block_size).toPandas()
-    shared = spark.sparkContext.broadcast((known["word"].tolist(), [np.array(i, np.int32) for i in known["ids"]]))
+    sizes = np.fromiter(map(len, known["ids"]), np.int64, len(known))
+    shared = spark.sparkContext.broadcast((known["word"].tolist(), sizes, np.fromiter(chain.from_iterable(known["ids"]), np.int32)))
     schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType())])
+    if decoded:
+        schema = schema.add("text", T.StringType())
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(model)
         begin, end = np.int32([tokenizer.bos_id()]), np.int32([tokenizer.eos_id()])
-        common, common_ids = shared.value
+        common, common_counts, common_flat = shared.value
         table_of_words = {w: i for i, w in enumerate(common)}
-        common_counts = np.fromiter(map(len, common_ids), np.int64, len(common))
-        common_flat = np.concatenate([*common_ids, np.zeros(0, np.int32)])
 
         def closed() -> pd.DataFrame:
             rare = [w for w in numbers if w not in table_of_words]
@@ -150,7 +152,8 @@ def encode(docs: DataFrame, model: str, table_size: int = TABLE, block_size: int
                 n = counts[words]
                 ids = flat[np.repeat(starts[words] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
                 out.append(np.concatenate([begin, ids, end]).astype("<u4").tobytes())
-            return pd.DataFrame({"doc_id": pd.Series(doc_ids, dtype=object), "ids": out})
+            rows = {"doc_id": pd.Series(doc_ids, dtype=object), "ids": out}
+            return pd.DataFrame(rows | {"text": _decoded(out, tokenizer)} if decoded else rows)
 
         doc_ids, refs, numbers, held = [], [], _Numbers(), 0
         for batch in batches:
@@ -168,6 +171,10 @@ def encode(docs: DataFrame, model: str, table_size: int = TABLE, block_size: int
     return docs.mapInPandas(assign, schema)
 
 
+def _decoded(ids: Iterable[bytes | None], tokenizer) -> pd.Series:
+    return pd.Series([None if i is None else tokenizer.decode(np.frombuffer(i, "<u4").tolist()) for i in ids], dtype=object)
+
+
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """The rows of ``encoded`` with ``text``, which the library decodes from ``ids`` (as in ``encode``).
 
@@ -178,8 +185,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(model)
         for batch in batches:
-            texts = [None if i is None else tokenizer.decode(np.frombuffer(i, "<u4").tolist()) for i in batch["ids"]]
-            yield batch.assign(text=pd.Series(texts, index=batch.index, dtype=object))
+            yield batch.assign(text=_decoded(batch["ids"], tokenizer).to_numpy())
 
     return encoded.mapInPandas(read, schema)
 
@@ -190,7 +196,7 @@ def op11_marked_words(spark: SparkSession, sf_dir: str, model: str | None = None
         import public_tokenizers
 
         model = public_tokenizers.path("piece_bpe_32k.model")
-    found = decode(encode(table(spark, sf_dir, "documents"), str(model)), str(model))
+    found = encode(table(spark, sf_dir, "documents"), str(model), decoded=True)
     return found.select(
         "doc_id",
         F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"),

@@ -33,6 +33,8 @@ def check(spark, library, texts, **options):
     by_id = {r.doc_id: (np.frombuffer(r.ids, "<u4").tolist(), r.text) for r in found}
     assert len(found) == len(texts)
     assert [by_id[i] for i in range(len(texts))] == expected(library, texts)
+    at_once = marked_words.encode(docs, MODEL, decoded=True, **options).collect()
+    assert {r.doc_id: r.text for r in at_once} == {i: text for i, (_, text) in by_id.items()}
 
 
 def test_odd_texts(spark, library):
