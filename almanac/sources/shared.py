@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -68,6 +68,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``materialise`` what ``make`` returns, and delete the tables that were begun in it."""
+    path = shared_path(spark, name)
+    with scratch(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(written: DataFrame) -> bool:
     """Whether Catalyst knows a written table to be small enough for a broadcast."""
     spark = written.sparkSession
