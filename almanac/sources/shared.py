@@ -53,8 +53,20 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _OWNED.reset(token)
         for path in paths:
-            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table of ``materialise`` or ``finished`` that nothing reads any more."""
+    folders = {file.rpartition("/")[0] for file in written.inputFiles()}
+    if len(folders) != 1 or "/almanac/" not in (folder := folders.pop()):
+        raise ValueError("not a table of the shared folder")
+    _delete(written.sparkSession, folder)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
