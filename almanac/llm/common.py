@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.sources.shared import materialise
+from almanac.sources.shared import discard, finished, materialise
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -108,28 +108,38 @@ def components(links: DataFrame, kind: str = "binary") -> DataFrame:
     neighbour is one row. The number of rounds grows with the logarithm of the longest path. Each
     round lies in the shared folder, so that lost executors cost one round at most.
     """
+    return finished(links.sparkSession, "components", lambda: _contracted(links))
+
+
+def _contracted(links: DataFrame) -> DataFrame:
+    spark = links.sparkSession
     edges = materialise(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "links",
     )
     done = edges.isEmpty()
     while not done:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        # Larger neighbours of a node point to the smallest one.
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialise(large.distinct(), "large")
-        # A node and its smaller neighbours point to the smallest of these.
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").union(lowest.select("a", "m"))
-        after = materialise(small.distinct(), "small")
+        after = finished(spark, "links", lambda edges=edges: _round(edges))
         done = _same(edges, after)
+        discard(edges)
         edges = after
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
 
+def _round(edges: DataFrame) -> DataFrame:
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # Larger neighbours of a node point to the smallest one.
+    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = materialise(large.distinct(), "large")
+    # A node and its smaller neighbours point to the smallest of these.
+    lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(lowest, "a")
+    small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").union(lowest.select("a", "m"))
+    return small.distinct()
+
+
 def _same(before: DataFrame, after: DataFrame) -> bool:
     """Whether two sets of links are equal, by their number and sums of two hashes."""
     checks = [

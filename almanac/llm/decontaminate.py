@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import LOWER, UPPER, table
-from almanac.sources.shared import materialise
+from almanac.sources.shared import finished, materialise
 
 # A word is a run of digits, letters a-z and characters beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -117,7 +117,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
     """
     rows = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     wanted = materialise(_items(items.select("item_id", "text")), "items")
-    found = materialise(contaminated_words(rows, wanted, window), "hits")
+    found = finished(docs.sparkSession, "hits", lambda: contaminated_words(rows, wanted, window))
     words = found.select("doc_id", "text_hash", F.explode("hits").alias("word")).distinct()
     hit = words.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_hit"))
     ids = found.select("doc_id", "text_hash", "iid").distinct().join(wanted.select("iid", "item_id").distinct(), "iid")

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import table
-from almanac.llm.ngram_join import ngram_components
-from almanac.sources.shared import materialise
+from almanac.sources.shared import finished, materialise
 
 #: Leading tokens by which the tree branches, below the number of tokens.
 DEPTH = 3
@@ -15,6 +14,9 @@ DEPTH = 3
 LEAST_DOCS, LEAST_TOKENS = 5, 3
 #: Share of a line's tokens, in percent, that its template must fix.
 FIXED = 70
+#: Near copies, by lines: percent of a document's tokens that stand in lines of another, and tokens that an edited line counts less.
+ALIKE, EDIT = 70, 8
+_PIECES = 16
 VARIABLE = "<*>"
 _DIGIT, _TOKEN_WITH_DIGIT = "[0-9]", "[^ ]*[0-9][^ ]*"
 
@@ -29,7 +31,8 @@ def _parsed(text: Column) -> Column:
 
     def parse(line: Column) -> Column:
         tokens = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-        return F.struct(tokens.alias("n"), F.substring_index(line, " ", DEPTH).alias("head"), F.xxhash64(line).alias("line"))
+        varies = F.contains(line, F.lit(VARIABLE)).alias("varies")
+        return F.struct(tokens.alias("n"), F.substring_index(line, " ", DEPTH).alias("head"), F.xxhash64(line).alias("line"), varies)
 
     return F.transform(F.transform(F.split(text, "\n"), _masked), parse)
 
@@ -39,7 +42,7 @@ def _leaf(parsed: Column) -> Column:
 
 
 def _places(docs: DataFrame) -> DataFrame:
-    """(k, kind, leaf, line): the different lines of each document that are long enough.
+    """(k, kind, leaf, line, n, varies): the different lines of each document that are long enough.
 
     ``kind`` tells a line's documents apart by the leaf of the longest other line, so that copies and near
     copies of a document count once, and what they share is not taken for boilerplate. Documents of one
@@ -51,25 +54,37 @@ def _places(docs: DataFrame) -> DataFrame:
 
     def place(x: Column) -> Column:
         kind = F.when(_leaf(x) == F.col("one"), F.col("two")).otherwise(F.col("one"))
-        return F.struct(kind.alias("kind"), _leaf(x).alias("leaf"), x["line"].alias("line"))
+        return F.struct(kind.alias("kind"), _leaf(x).alias("leaf"), x["line"].alias("line"), x["n"].alias("n"), x["varies"].alias("varies"))
 
     # Told apart as rows: within an array, structs would be compared each with each.
     found = F.transform(F.filter("lines", lambda x: x["n"] >= LEAST_TOKENS), place)
     return parsed.select("k", F.explode(found).alias("at")).select("k", "at.*").distinct()
 
 
-def _by_copies(places: DataFrame, docs: DataFrame, least_docs: int) -> DataFrame:
-    """The places in leaves that enough documents reach, with the document's group of near copies as ``kind``.
+def _by_copies(places: DataFrame, least_docs: int) -> DataFrame:
+    """The places in leaves that enough documents reach, with one document of each group of near copies as ``kind``.
 
-    Boilerplate that is longer than a document's own lines does not hide it, and a group of near copies
-    still counts once. Groups are those among the documents that reach such leaves; texts without words are one.
+    A document's group is looked for at the one of its leaves that the fewest documents reach, of those that others reach too:
+    lines of its own, edited words aside, come before boilerplate there. If ``ALIKE`` percent of its tokens stand in lines that
+    the group's first document has as well, that one is its kind, else itself. A line of the same leaf that is not
+    the same counts without ``EDIT`` tokens. A hot group is spread over the pieces of its first document.
     """
-    reached = places.groupBy("leaf").agg(F.count_distinct("k").alias("docs")).filter(F.col("docs") >= least_docs)
-    inside = materialise(places.join(reached.select("leaf"), "leaf").select("k", "leaf", "line"), "reached")
-    near = docs.join(inside.select("k").distinct(), "k", "left_semi").select(F.col("k").alias("doc_id"), "text")
-    found = ngram_components(near).withColumn("kind", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(0))
-    kinds = materialise(found.select(F.col("doc_id").alias("k"), "kind").distinct(), "kinds")
-    return inside.join(kinds.hint("merge"), "k").select("k", "kind", "leaf", "line")
+    leaves = places.groupBy("leaf").agg(F.count_distinct("k").alias("docs")).filter("docs > 1")
+    inside = materialise(places.join(leaves, "leaf"), "reached")
+    of = inside.groupBy("k").agg(F.min_by("leaf", F.struct("docs", "leaf")).alias("at"), F.max("docs").alias("most")).filter(F.col("most") >= least_docs)
+    first = of.groupBy("at").agg(F.min("k").alias("first"))
+    of = materialise(of.join(first, "at").select("k", "first"), "firsts")
+    tokens = places.groupBy("k").agg(F.sum("n").alias("tokens"))
+
+    pieces = F.explode(F.sequence(F.lit(0), F.lit(_PIECES - 1))).alias("piece")
+    theirs = places.join(of.select(F.col("first").alias("k")).distinct(), "k").groupBy(F.col("k").alias("first"), "leaf")
+    theirs = theirs.agg(F.collect_set("line").alias("lines")).select("first", "leaf", "lines", pieces)
+    mine = inside.join(of.filter("k <> first"), "k").withColumn("piece", F.pmod(F.col("k"), F.lit(_PIECES)).cast("int"))
+    alike = F.when(F.array_contains("lines", F.col("line")) & ~F.col("varies"), F.col("n")).otherwise(F.greatest(F.lit(0), F.col("n") - EDIT))
+    shared = mine.join(theirs, ["first", "leaf", "piece"]).groupBy("k", "first").agg(F.sum(alike).alias("alike")).join(tokens, "k")
+    copies = materialise(shared.filter(F.col("alike") * 100 >= F.col("tokens") * ALIKE).select("k", "first"), "copies")
+    reached = inside.filter(F.col("docs") >= least_docs).join(copies.hint("merge"), "k", "left")
+    return reached.select("k", F.coalesce("first", "k").alias("kind"), "leaf", "line")
 
 
 def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int = FIXED, by_copies: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -83,7 +98,7 @@ def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int =
     """
     places = materialise(_places(docs), "places")
     if by_copies:
-        places = materialise(_by_copies(places, docs, least_docs), "places-by-copies")
+        places = materialise(_by_copies(places, least_docs), "places-by-copies")
     hot = places.groupBy("leaf").agg(F.count_distinct("kind").alias("docs")).filter(F.col("docs") >= least_docs)
     hot = materialise(hot.select("leaf"), "leaves")
     inside = materialise(places.join(hot, "leaf").select("leaf", "line", "kind").distinct(), "inside")
@@ -118,12 +133,17 @@ def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: i
     ``text``; the others stay as they were, in order. NULL text stays NULL with 0 lines, empty text is one
     empty line; lines of fewer than ``LEAST_TOKENS`` tokens stay. Documents that lose all lines stay, with
     empty text. Repeated rows get equal results and count as one document. Documents differ by their longest
-    other line, or with ``by_copies`` if they are no near copies (as in ngram_join) of each other.
+    other line, or with ``by_copies`` if they are no near copies of each other (``_by_copies``).
     """
     # Two texts with one key would share a list of lines that are dropped anyway.
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), F.xxhash64("doc_id", "text").alias("k"))
-    places, recurring = recurring_lines(keyed.filter("text is not null").select("k", "text"), least_docs, fixed, by_copies)
-    dropped = materialise(places.join(recurring, "line").groupBy("k").agg(F.collect_set("line").alias("gone")), "dropped")
+    texts = keyed.filter("text is not null").select("k", "text")
+
+    def lists() -> DataFrame:
+        places, recurring = recurring_lines(texts, least_docs, fixed, by_copies)
+        return places.join(recurring, "line").groupBy("k").agg(F.collect_set("line").alias("gone"))
+
+    dropped = finished(docs.sparkSession, "dropped", lists)
     # Dealt by key at every size; lists of lines grow with the documents and are not for a broadcast.
     joined = keyed.join(dropped.hint("merge"), "k", "left").withColumn("lines", F.split("text", "\n"))
     stay = F.filter("lines", lambda x: ~F.array_contains("gone", F.xxhash64(_masked(x))))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import SPACES, components, mixed, pieces, span_hashes, table, table_of, word_spans
-from almanac.sources.shared import materialise
+from almanac.sources.shared import discard, finished, materialise
 
 #: Words of a shingle, and the percentage of the union that two sets must share.
 WORDS, PERCENT = 4, 85
@@ -219,6 +219,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS, percent:
     full = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(_profiler(words, True), _PROFILE + ", signature binary")
     firsts = [F.first(c).alias(c) for c in ("n", "shingles", "signature")]
     sets = materialise(full.filter("n > 0").groupBy("fp").agg(*firsts), "sets")
+    discard(chosen)
     prefixes = materialise(_prefixes(sets, percent), "prefixes")
 
     entries = prefixes.select("fp", "n", "share", F.explode("prefix").alias("token"))
@@ -244,7 +245,7 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     repeated rows are never paired. NULL ids sort out of the way: a component has its smallest other id.
     """
     rows = materialise(profiles(docs, words), "profiles")
-    roots = materialise(similar_sets(docs, rows, words, percent), "roots").withColumnRenamed("node", "fp")
+    roots = finished(docs.sparkSession, "roots", lambda: similar_sets(docs, rows, words, percent)).withColumnRenamed("node", "fp")
     members = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "n").join(roots, "fp", "left")
     members = members.withColumn("root", F.coalesce("root", "fp"))
     # Written first, so that the join is one of its own and a component with very many members is split in it.
