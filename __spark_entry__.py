@@ -130,6 +130,32 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("station").agg(F.count("*").alias("n"))
 
 
+def line_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of each class a station's text has, some of which are data but for their form."""
+    lines = station_lines(spark, sf_dir, odd=True)
+    half = F.concat(F.year("o_orderdate"), F.lit("-"), F.month("o_orderdate"), F.lit("  1 2 3 4 5"))
+    like = table(spark, sf_dir, "orders").select(F.concat(F.lit("S-"), F.col("o_custkey") % 50).alias("station"), half.alias("value"))
+    return sources.classified_lines(lines.unionByName(like)).groupBy("station", "class").agg(F.count("*").alias("n"))
+
+
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by class, as counted while the observations were written."""
+    root = sources.shared_path(spark, "store")
+    plans.ingest(spark, _station_files(spark, sf_dir, odd=True), root, entity_in=FOLDER, rejected=f"{root}-rejected")
+    return spark.read.parquet(f"{root}-rejected-counts")
+
+
+def ingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store brought up to date after one of seven stations' files had changed."""
+    root = sources.shared_path(spark, "store")
+    path = _station_files(spark, sf_dir, odd=False)
+    plans.ingest_changed(spark, path, root, entity_in=FOLDER)
+    newer = spark.read.text(_station_files(spark, sf_dir, odd=True)).filter("station = 'S-3'").select("value")
+    newer.write.mode("overwrite").text(f"{path}/station=S-3")
+    plans.ingest_changed(spark, path, root, entity_in=FOLDER)
+    return sources.read_observations(spark, root, STATION_REPORT.struct_type(provisional=True))
+
+
 def _station_files(spark: SparkSession, sf_dir: str, odd: bool) -> str:
     """Text in one folder per station, of which there are seven, with a title first in each file."""
     path = sources.shared_path(spark, "stations")
@@ -410,7 +436,7 @@ def trend_text_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    ingest_lines, rejected_lines, ingest_files, ingest_files_legacy, ingest_legacy, ingest_trend, text_scan, parquet_roundtrip, csv_roundtrip, answers,
+    ingest_lines, rejected_lines, line_classes, ingest_counts, ingest_changed, ingest_files, ingest_files_legacy, ingest_legacy, ingest_trend, text_scan, parquet_roundtrip, csv_roundtrip, answers,
     num_periods, period_means, season_means, month_means, period_totals, rolled_up_means,
     means_of_wide_values, means_of_loose_values, first_seen, max_by_entity, season_of, join_on_keys,
     rank_first_seen, rank_by_max, rank_multi, best_worst, argmax_rows, argmax_rows_each, argmax_rows_window,
@@ -644,6 +670,16 @@ def observation_sql() -> dict[str, str]:
             {_ODD}""",
         "rejected_lines": f"""SELECT 'S-' || l_suppkey AS station, count(*) AS n FROM lineitem
             WHERE {TOO_FEW} GROUP BY 1""",
+        "line_classes": f"""SELECT 'S-' || l_suppkey AS station, CASE WHEN {TOO_FEW} THEN 'rejected' ELSE 'data' END AS class, count(*) AS n
+            FROM lineitem GROUP BY ALL
+            UNION ALL SELECT 'S-' || s_suppkey, 'preamble', 8 FROM supplier
+            UNION ALL SELECT 'S-' || (o_custkey % 50), 'other', count(*) FROM orders GROUP BY ALL""",
+        "ingest_counts": f"""SELECT 'data' AS class, count(*) FILTER (NOT {TOO_FEW}) AS n FROM lineitem
+            UNION ALL SELECT 'rejected', count(*) FILTER ({TOO_FEW}) FROM lineitem
+            UNION ALL SELECT 'other', 0
+            UNION ALL SELECT 'preamble', 8 * count(*) FROM supplier""",
+        "ingest_changed": f"""SELECT 'S-' || l_linenumber AS station, {_YEAR} AS year, {_MONTH} AS month, {_MEASURED} FROM lineitem WHERE l_linenumber <> 3
+            UNION ALL SELECT 'S-' || l_linenumber, {_YEAR}, {_MONTH}, {_ODD} AND l_linenumber = 3""",
         "ingest_files": f"SELECT 'S-' || l_linenumber AS station, {_YEAR} AS year, {_MONTH} AS month, {_ODD}",
         "ingest_files_legacy": _LEGACY.replace("'S' || l_suppkey", "'S' || l_linenumber"),
         "means_of_wide_values": """SELECT l_linenumber, CASE l_linenumber WHEN 6 THEN 'inf' WHEN 7 THEN 'nan' ELSE 'number' END AS kind,

@@ -22,7 +22,18 @@ from almanac.operators.rank import best_worst, rank_global
 from almanac.operators.trend import deltas, trend_text, trend_totals
 from almanac.sources.shared import materialise, scratch
 from almanac.sources.store import read_observations, write_csv, write_observations
-from almanac.sources.text import FILE_NAME, parse_legacy, parse_lines, read_lines, rejected_lines
+from almanac.sources.text import (
+    CLASSES,
+    FILE_NAME,
+    OTHER,
+    REJECTED,
+    classified_lines,
+    line_counts,
+    parse_classified,
+    parse_legacy,
+    read_lines,
+    unread_lines,
+)
 from almanac.spec import STATION_REPORT, Measure, ObservationSpec
 
 # What makes a good month, most important first, for station reports.
@@ -37,7 +48,7 @@ MAY = 5
 
 # Where a run keeps its store and each answer; {} stands for a capitalised measure.
 STORE = "PreProcessedData"
-REJECTED = "RejectedLines"
+REJECTED_LINES = "RejectedLines"
 ANSWERS = "Answers"
 OLDEST = "Q4a/OldestStation"
 HIGHEST = "Q4b/Max{}Station"
@@ -65,17 +76,30 @@ def ingest(
     are written where they are read, without a shuffle. Otherwise rows of a partition lie in many
     files, or titles are dropped, which may shuffle lines; then they are gathered before they are written.
 
-    ``rejected`` is where strict mode writes the lines that start as data and are none, as Parquet.
+    ``rejected`` is where strict mode writes the lines that start as data and are none, or may have been meant as
+    such, with their class, as Parquet; and in ``<rejected>-counts`` (class, n) how many lines there were of each class, which
+    add up to the lines read. The counts come from the pass that writes the observations. If no line was left unread,
+    the text is not read again.
     """
     if mode not in ("strict", "legacy"):
         raise ValueError(f"mode must be strict or legacy, not {mode!r}")
     legacy = mode == "legacy"
-    parse = parse_legacy if legacy else parse_lines
     keys = list(partition_by or [spec.entity])
     lines = read_lines(spark, source, spec.entity, drop_titles=legacy, entity_in=entity_in)
-    write_observations(parse(lines, spec), root, keys, gather=legacy or keys != [spec.entity])
-    if rejected and not legacy:
-        rejected_lines(lines, spec).write.mode("overwrite").parquet(rejected)
+    if legacy:
+        write_observations(parse_legacy(lines, spec), root, keys)
+        return
+    classified, counts = line_counts(classified_lines(lines, spec))
+    write_observations(parse_classified(classified, spec), root, keys, gather=keys != [spec.entity])
+    if rejected:
+        seen = counts.get
+        if sum(seen[c] for c in CLASSES) != seen["read"]:
+            raise RuntimeError(f"lines of no class: {seen}")
+        spark.createDataFrame([(c, seen[c]) for c in CLASSES], "class string, n bigint").coalesce(1).write.mode("overwrite").parquet(f"{rejected}-counts")
+        unread = unread_lines(lines, spec)
+        if not seen[REJECTED] + seen[OTHER]:
+            unread = spark.createDataFrame([], unread.schema)
+        unread.write.mode("overwrite").parquet(rejected)
 
 
 def rank_first_seen(df: DataFrame, entity: str = "station", period: str = "year") -> DataFrame:
@@ -193,6 +217,6 @@ def run_job(spark: SparkSession, settings: Mapping, mode: str = "strict") -> Non
     out = settings["output_path"].rstrip("/")
     with scratch(spark):
         keys = settings.get("partitionBy")
-        ingest(spark, settings["input_path"], f"{out}/{STORE}", spec, mode, keys, rejected=f"{out}/{REJECTED}")
+        ingest(spark, settings["input_path"], f"{out}/{STORE}", spec, mode, keys, rejected=f"{out}/{REJECTED_LINES}")
     schema = spec.struct_type(values_as_strings=mode == "legacy")
     write_answers(read_observations(spark, f"{out}/{STORE}", schema), f"{out}/{ANSWERS}", spec)

@@ -1,8 +1,12 @@
-from almanac.sources.shared import materialise, reused, scratch, shared_folder, shared_path
+from almanac.sources.shared import delete_path, discard, finished, materialise, reused, scratch, shared_folder, shared_path
 from almanac.sources.store import read_observations, write_csv, write_observations
-from almanac.sources.text import parse_legacy, parse_lines, read_lines, rejected_lines
+from almanac.sources.text import classified_lines, parse_legacy, parse_lines, read_lines, rejected_lines, unread_lines
 
 __all__ = [
+    "classified_lines",
+    "delete_path",
+    "discard",
+    "finished",
     "materialise",
     "parse_legacy",
     "parse_lines",
@@ -13,6 +17,7 @@ __all__ = [
     "scratch",
     "shared_folder",
     "shared_path",
+    "unread_lines",
     "write_csv",
     "write_observations",
 ]

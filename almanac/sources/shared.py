@@ -53,10 +53,11 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _OWNED.reset(token)
         for path in paths:
-            _delete(spark, path)
+            delete_path(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or directory wherever the path's file system keeps it."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -66,7 +67,7 @@ def discard(written: DataFrame) -> None:
     folders = {file.rpartition("/")[0] for file in written.inputFiles()}
     if len(folders) != 1 or "/almanac/" not in (folder := folders.pop()):
         raise ValueError("not a table of the shared folder")
-    _delete(written.sparkSession, folder)
+    delete_path(written.sparkSession, folder)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.columns import cast_columns, quoted
@@ -26,6 +26,11 @@ NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 START = r"^\s*\d{4}\s+\d{1,2}(?:\s|$)"
 FILE_NAME = r"([^/.]*)[^/]*$"
 
+DIGIT_FIRST = r"^\s*\d"
+
+#: What a line is; every line is one of these.
+DATA, REJECTED, OTHER, PREAMBLE = CLASSES = ("data", "rejected", "other", "preamble")
+
 # What the older job removed from a line, and the line starts it skipped.
 LEGACY_REMOVED = ("-", "provisional", "#", "*")
 LEGACY_SKIPPED = (
@@ -39,14 +44,20 @@ LEGACY_SKIPPED = (
 )
 
 
+def entity_of(path: Column, entity_in: str = FILE_NAME) -> Column:
+    """The entity that a file's path names: the first group of ``entity_in``."""
+    # Paths arrive percent-encoded, but with "+" as it is.
+    return F.regexp_extract(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), entity_in, 1)
+
+
 def read_lines(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     entity: str = "station",
     drop_titles: bool = False,
     entity_in: str = FILE_NAME,
 ) -> DataFrame:
-    """Lines of all files of a directory as (entity, value).
+    """Lines of all files of a directory, or of a list of files, as (entity, value).
 
     The entity is the first group of ``entity_in`` in a file's path: by default the file's name up to the
     first dot; ``"station=([^/]*)/"`` finds it in the name of a folder.
@@ -55,10 +66,8 @@ def read_lines(
     all lines that equal their file's first line anyway. It reads the files twice: a first job collects
     the titles in the shared folder, whose size then tells whether they can be broadcast.
     """
-    # Paths arrive percent-encoded, but with "+" as it is.
-    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = spark.read.text(path).select(
-        F.regexp_extract(name, entity_in, 1).alias(entity),
+        entity_of(F.col("_metadata.file_path"), entity_in).alias(entity),
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
@@ -75,24 +84,28 @@ def read_lines(
     return lines.select(quoted(entity), "value")
 
 
-def _tokens(lines: DataFrame, spec: ObservationSpec) -> DataFrame:
-    """(entity, value, token, ok) of every line that starts as data do: with a year and a month.
+def classified_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
+    """(entity, value, token, class) of every line; each is in exactly one class.
 
-    Marks and blanks separate tokens, and so does the provisional word, in any case and wherever it is
-    attached. A line is ok if it has a token for every value before that word or a note, and no
-    number after them.
+    Lines that start as data do, with a year and a month, are ``data`` if they have a token for every value before a
+    provisional mark or a note and no number after these, else ``rejected``. Other lines that begin with a digit are ``other``,
+    as they may have been meant as data. All else is ``preamble``: titles, notes, headers, footers and blank lines.
+    ``token`` is NULL for lines that do not start as data.
     """
     value = F.col("value")
     word = rf"(?i){PROVISIONAL}"
+    # Marks and blanks separate tokens, and so does the provisional word, in any case and wherever it is attached.
     apart = F.when(value.rlike(word), F.regexp_replace(value, word, f" {PROVISIONAL} ")).otherwise(value)
     trimmed = F.ltrim(F.rtrim(apart, F.lit(BLANKS + MARKS)), F.lit(BLANKS))
     # A generated column, which filters on it do not make Spark compute once more.
-    split = F.explode(F.array(F.split(trimmed, rf"[{MARKS}\s]+"))).alias("token")
-    tokens = lines.filter(value.rlike(START)).select(quoted(spec.entity), "value", split)
+    split = F.explode(F.array(F.when(value.rlike(START), F.split(trimmed, rf"[{MARKS}\s]+")))).alias("token")
+    tokens = lines.select(quoted(spec.entity), "value", split)
     n = 2 + len(spec.values)
     word_at, after = F.array_position("token", PROVISIONAL), F.get("token", F.lit(n))
     enough = (F.size("token") >= n) & ((word_at == 0) | (word_at > n))
-    return tokens.withColumn("ok", enough & ~F.coalesce(after.rlike(f"^(?:{NUMBER}|{MISSING})$"), F.lit(False)))
+    ok = enough & ~F.coalesce(after.rlike(f"^(?:{NUMBER}|{MISSING})$"), F.lit(False))
+    kind = F.when(F.col("token").isNotNull(), F.when(ok, DATA).otherwise(REJECTED))
+    return tokens.withColumn("class", kind.when(value.rlike(DIGIT_FIRST), OTHER).otherwise(PREAMBLE))
 
 
 def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
@@ -101,7 +114,12 @@ def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Dat
     A value that is missing or no number is NULL, and so is a month that is none; the row stays. Lines
     that start as data but have too few or too many values are in ``rejected_lines``.
     """
-    tokens = _tokens(lines, spec).filter("ok")
+    return parse_classified(classified_lines(lines, spec), spec)
+
+
+def parse_classified(classified: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
+    """``parse_lines`` of lines that are classified already."""
+    tokens = classified.filter(F.col("class") == DATA)
     names = [spec.year, spec.month, *spec.values]
     kinds = dict(spec.columns)
 
@@ -119,8 +137,20 @@ def parse_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> Dat
 
 
 def rejected_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
-    """(entity, value) of the lines that start as data and are none, so that nothing is lost unseen."""
-    return _tokens(lines, spec).filter("not ok").select(quoted(spec.entity), "value")
+    """(entity, value) of the lines that start as data and are none."""
+    return classified_lines(lines, spec).filter(F.col("class") == REJECTED).select(quoted(spec.entity), "value")
+
+
+def unread_lines(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
+    """(entity, value, class) of the rejected lines and of others that begin with a digit, so that nothing is lost unseen."""
+    return classified_lines(lines, spec).filter(F.col("class").isin(REJECTED, OTHER)).select(quoted(spec.entity), "value", "class")
+
+
+def line_counts(classified: DataFrame, name: str = "lines") -> tuple[DataFrame, Observation]:
+    """The lines with an observation that counts them by class while some action reads them: read and one count per class."""
+    counts = Observation(name)
+    each = [F.count(F.when(F.col("class") == c, 1)).alias(c) for c in CLASSES]
+    return classified.observe(counts, F.count(F.lit(1)).alias("read"), *each), counts
 
 
 def parse_legacy(lines: DataFrame, spec: ObservationSpec = STATION_REPORT) -> DataFrame:
