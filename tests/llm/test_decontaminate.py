@@ -47,8 +47,11 @@ def test_against_brute_force(spark):
         part = words(items[rng.randrange(25)][1])
         a = rng.randrange(len(part))
         docs.append((d, text(rng.randrange(60)) + " " + " ".join(part[a:]) + " " + text(rng.randrange(300))))
+    # Words of no item around a short passage of one, and none of it.
+    other = [f"o{i}" for i in range(400)]
+    docs += [(100 + d, " ".join([*other[d:], *words(items[d][1])[:13], *other[:d]])) for d in range(20)] + [(200, " ".join(other))]
     found = check(spark, docs, items)
-    assert any(r[5] for r in found) and any(r[2] and not r[5] for r in found)
+    assert any(r[5] for r in found) and any(r[2] and not r[5] for r in found) and any(not r[2] for r in found)
 
 
 def test_shares_at_the_limit(spark):
