@@ -105,15 +105,16 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW)
     return found.select("doc_id", "text_hash", "iid", hits.alias("hits"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one row per row of ``docs``.
+def judged_texts(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash), one row per row of ``docs``.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns play no part. A window is
     ``window`` consecutive words of an item, or all of a shorter one. A document's word is hit if it
     lies in an occurrence of a window; the document is contaminated if words are hit, and one in
     ``share`` at least. NULL and empty texts have no words: such documents are clean, such items match
     nothing. Equal items are compared once and count by their ids; repeated ids count once, and a NULL id
-    counts for no item though its words are hit. Repeated rows each get their result. DataFrame functions only.
+    counts for no item though its words are hit. Repeated rows each get their result, and so do texts that share an id or
+    have none, which ``text_hash`` (xxhash64) tells apart. DataFrame functions only.
     """
     rows = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     wanted = materialise(_items(items.select("item_id", "text")), "items")
@@ -136,9 +137,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
+        "docs.text_hash",
     )
 
 
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of ``judged_texts``."""
+    return judged_texts(docs, items, window, share).drop("text_hash")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -71,7 +71,8 @@ def _profiler(words: int, whole: bool) -> Callable[[Iterator[pd.DataFrame]], Ite
                 kept = found if whole else found[found % np.uint64(REGION) == 0]
                 row = (doc_id, _fingerprint(found) if len(found) else None, len(found), kept.view(np.int64))
                 rows.append((*row, _signature(found) if len(found) else None) if whole else row)
-            yield pd.DataFrame(rows, columns=["doc_id", "fp", "n", "shingles", "signature"][: 5 if whole else 4])
+            made = pd.DataFrame(rows, columns=["doc_id", "fp", "n", "shingles", "signature"][: 5 if whole else 4])
+            yield made if whole else made.assign(text_hash=batch["text_hash"].to_numpy())
 
     return profile
 
@@ -85,10 +86,10 @@ def _spare(percent: int) -> str:
 
 
 def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp, n, shingles) of every row: a fingerprint of its set, the set's size, and the
-    shingles that fall into the region. The fingerprint has 128 bits; NULL for an empty set."""
-    ids = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return ids.mapInPandas(_profiler(words, False), _PROFILE)
+    """(doc_id, fp, n, shingles, text_hash) of every row: a fingerprint of its set, the set's size, the
+    shingles that fall into the region, and a hash of the text. The fingerprint has 128 bits; NULL for an empty set."""
+    ids = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return ids.mapInPandas(_profiler(words, False), _PROFILE + ", text_hash long")
 
 
 def _survivors(rows: DataFrame, percent: int) -> DataFrame:
@@ -236,21 +237,31 @@ def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS, percent:
     return components(stars.union(_verified(pairs, sets, percent)))
 
 
-def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text).
+def ngram_members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, text_hash, first), one row per row of ``docs`` (doc_id, text).
 
     A set has the distinct shingles of ``words`` words, A-Z lowered; a text of fewer words has one
     shingle, an empty or NULL one none and no links. Sets link at a Jaccard similarity of ``percent``.
     ``component_id`` is the smallest doc_id that links lead to. Equal sets are one node, so copies and
     repeated rows are never paired. NULL ids sort out of the way: a component has its smallest other id.
+    ``text_hash`` is xxhash64 of the text. ``first`` tells the rows that stand for their component: those with its smallest
+    id (NULL last) and, of these, the smallest hash; all rows without shingles do. Other columns of ``docs`` play no part.
     """
     rows = materialise(profiles(docs, words), "profiles")
     roots = finished(docs.sparkSession, "roots", lambda: similar_sets(docs, rows, words, percent)).withColumnRenamed("node", "fp")
-    members = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "n").join(roots, "fp", "left")
+    members = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "n", "text_hash").join(roots, "fp", "left")
     members = members.withColumn("root", F.coalesce("root", "fp"))
     # Written first, so that the join is one of its own and a component with very many members is split in it.
-    least = materialise(members.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
-    return members.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    least = materialise(members.filter("root is not null").groupBy("root").agg(F.min(own).alias("least")), "least")
+    first = F.col("root").isNull() | (F.col("least") == own)
+    component = F.coalesce("least.doc_id", "doc_id").alias("component_id")
+    return members.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), component, "text_hash", first.alias("first"))
+
+
+def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``ngram_members``."""
+    return ngram_members(docs, words, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

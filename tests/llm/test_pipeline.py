@@ -79,9 +79,16 @@ def test_boilerplate_lines_go(stages):
 
 def test_one_of_each_group_stays(stages):
     before, after, _ = stages[2]
-    found = test_ngram_join.expected([r[:2] for r in before])
-    keep = {d for d, n, c in found if n == 0 or d == c}
-    assert sorted(after, key=key) == sorted({r for r in before if r[0] in keep}, key=key)
+    sets = {r[0]: test_ngram_join.shingles(r[1], 5) for r in before}
+    root = {d: d for d in sets}
+    for _ in sets:
+        links = [(a, b) for a in sets for b in sets if root[a] != root[b] and sets[a] and sets[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+        if not links:
+            break
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = {d: low if r == high else r for d, r in root.items()}
+    assert sorted(after, key=key) == sorted({r for r in before if root[r[0]] == r[0]}, key=key)
     assert len(after) < len(before)
 
 
@@ -128,5 +135,28 @@ def test_near_copies_by_other_values(spark, folder):
     run = [f"w{i}" for i in range(49)]
     texts = [" ".join(run), " ".join([*run[:20], "other", *run[21:]])]  # 40 of 50 runs of 5 words, 42 of 50 of 4
     docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], SCHEMA)
-    assert [r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs, folder, 5, 80).collect()] == [0]
-    assert corpus_pipeline.keep_one_of_each_group(spark, docs, folder).count() == 2
+    assert [r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs, folder).collect()] == [0]
+    assert corpus_pipeline.keep_one_of_each_group(spark, docs, folder, 4, 85).count() == 2
+
+
+def test_null_and_clashing_ids(spark, folder):
+    """Texts that share an id, or have none, are judged each by itself."""
+    rng = random.Random(9)
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    clean = [" ".join(f"v{rng.randrange(500)}" for _ in range(60)) for _ in range(3)]
+    toxic = "wab wcd " + "grob " + clean[2]
+    near = clean[0] + " more"
+    texts = [(1, clean[0]), (1, item), (None, clean[1]), (None, item + " tail"), (None, clean[1]), (1, toxic), (None, toxic), (2, near), (None, near), (None, None), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(d, t, "en", "src0", 1) for d, t in texts], SCHEMA)
+
+    def kept(stage, rows=docs):
+        return sorted(((r.doc_id, r.text) for r in stage(spark, rows, folder).collect()), key=key)
+
+    labelled = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id >= 3").unionByName(docs)
+    ids = [(r.doc_id, r.text) for r in labelled.collect() if r.doc_id not in (1, 2, None)]
+    after = [r for r in kept(corpus_pipeline.drop_toxic, labelled) if r[0] in (1, 2, None) and r not in ids]
+    assert set(texts) - set(after) == {(1, toxic), (None, toxic)}
+    assert kept(corpus_pipeline.drop_contaminated) == sorted((t for t in texts if item not in (t[1] or "")), key=key)
+    # (1, clean) stands for (2, near) and (None, near); the copies without id and without words stay apart.
+    expected = [(1, clean[0]), (1, item), (None, clean[1]), (1, toxic), (None, None), (None, ""), (None, "")]
+    assert kept(corpus_pipeline.keep_one_of_each_group) == sorted(expected, key=key)
