@@ -14,8 +14,6 @@ from almanac.sources.shared import discard, finished, materialise
 
 #: Words of a shingle, and the percentage of the union that two sets must share.
 WORDS, PERCENT = 4, 85
-#: One in so many hash values belongs to the region that the first filter looks at.
-REGION = 5
 #: Rows of a tile's side; a larger tile is cut into blocks.
 BLOCK = 2_000
 #: Bits of two signatures that are compared at once.
@@ -63,16 +61,21 @@ def _signature(found: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def _profiler(words: int, whole: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _region(percent: int) -> int:
+    """One in so many hash values belongs to the region that the first filter looks at: somewhat more than a set may lack."""
+    return max(1, 80 // max(1, 100 - percent))
+
+
+def _profiler(words: int, region: int | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc_id, found in zip(batch["doc_id"], _sets(batch["text"], words)):
-                kept = found if whole else found[found % np.uint64(REGION) == 0]
+                kept = found[found % np.uint64(region) == 0] if region else found
                 row = (doc_id, _fingerprint(found) if len(found) else None, len(found), kept.view(np.int64))
-                rows.append((*row, _signature(found) if len(found) else None) if whole else row)
-            made = pd.DataFrame(rows, columns=["doc_id", "fp", "n", "shingles", "signature"][: 5 if whole else 4])
-            yield made if whole else made.assign(text_hash=batch["text_hash"].to_numpy())
+                rows.append((*row, _signature(found) if len(found) else None) if not region else row)
+            made = pd.DataFrame(rows, columns=["doc_id", "fp", "n", "shingles", "signature"][: 4 if region else 5])
+            yield made.assign(text_hash=batch["text_hash"].to_numpy()) if region else made
 
     return profile
 
@@ -85,11 +88,11 @@ def _spare(percent: int) -> str:
     return f"(n - cast(ceil(n * {percent} / 100d - 1e-9) as long))"
 
 
-def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def profiles(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, fp, n, shingles, text_hash) of every row: a fingerprint of its set, the set's size, the
     shingles that fall into the region, and a hash of the text. The fingerprint has 128 bits; NULL for an empty set."""
     ids = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    return ids.mapInPandas(_profiler(words, False), _PROFILE + ", text_hash long")
+    return ids.mapInPandas(_profiler(words, _region(percent)), _PROFILE + ", text_hash long")
 
 
 def _survivors(rows: DataFrame, percent: int) -> DataFrame:
@@ -217,7 +220,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS, percent:
     texts = docs.select("doc_id", "text").alias("d").join(
         chosen.select("doc_id").distinct().alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi"
     )
-    full = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(_profiler(words, True), _PROFILE + ", signature binary")
+    full = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(_profiler(words, None), _PROFILE + ", signature binary")
     firsts = [F.first(c).alias(c) for c in ("n", "shingles", "signature")]
     sets = materialise(full.filter("n > 0").groupBy("fp").agg(*firsts), "sets")
     discard(chosen)
@@ -247,7 +250,7 @@ def ngram_members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     ``text_hash`` is xxhash64 of the text. ``first`` tells the rows that stand for their component: those with its smallest
     id (NULL last) and, of these, the smallest hash; all rows without shingles do. Other columns of ``docs`` play no part.
     """
-    rows = materialise(profiles(docs, words), "profiles")
+    rows = materialise(profiles(docs, words, percent), "profiles")
     roots = finished(docs.sparkSession, "roots", lambda: similar_sets(docs, rows, words, percent)).withColumnRenamed("node", "fp")
     members = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "n", "text_hash").join(roots, "fp", "left")
     members = members.withColumn("root", F.coalesce("root", "fp"))
