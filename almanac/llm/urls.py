@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import lower_ascii, table
+from almanac.sources.shared import materialise
 
 # The rules of the query, as (host, path prefix, verdict).
 RULES = (
@@ -24,6 +25,9 @@ TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "
 WEAKEST, STRONGEST = 2.0, 200.0
 #: Normal quantile of the posterior bound, and the least share of good pages that it must reach.
 QUANTILE, LEAST_GOOD = 1.645, 0.5
+#: Good and bad pages that every table is taken to have seen already, so that a single label doesn't decide for all hosts.
+PRIOR = (9.0, 1.0)
+_ADDRESS = r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"
 
 
 def host_of(url: Column) -> Column:
@@ -36,15 +40,21 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
+def site_of(host: Column) -> Column:
+    """The host by which a url has its reputation: without user, port and dots at the end."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "^(?s:.*)@", ""), r":[0-9]*\z", ""), r"\.+\z", "")
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    """The last label, or the last two if they are one of ``suffixes``; an address is its own."""
     last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*TWO_LABEL_SUFFIXES), last_two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(host.rlike(_ADDRESS), host).when(last_two.isin(*suffixes), last_two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and one label before it."""
-    two = F.substring_index(host, ".", -2).isin(*TWO_LABEL_SUFFIXES)
-    return F.when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+def domain_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    """The registered domain: the suffix and one label before it; an address is its own."""
+    two = F.substring_index(host, ".", -2).isin(*suffixes)
+    return F.when(host.rlike(_ADDRESS), host).when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
 def _fits(host: Column, path: Column, rule: tuple[str, str, str]) -> Column:
@@ -79,35 +89,41 @@ def _strength(counts: DataFrame, level: str, parent: str) -> DataFrame:
     return both.agg(F.least(F.greatest(F.coalesce(strength, F.lit(STRONGEST)), F.lit(WEAKEST)), F.lit(STRONGEST)).alias(f"k_{level}"))
 
 
-def reputations(outcomes: DataFrame) -> dict[str, DataFrame]:
-    """By level (suffix, domain, host): (level, good, n, mean, bound) of all labelled ones, from (host, good, n).
+def reputations(outcomes: DataFrame, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[dict[str, DataFrame], float]:
+    """By level (suffix, domain, host): (level, good, n, mean, bound) of all labelled ones, from (host, good, n);
+    and the bound of a host of which nothing is known, not even its suffix.
 
     A host's good pages of n labelled ones are drawn to the mean of its registered domain, that to the
-    mean of its suffix, and that to the mean of all, each by a beta prior whose strength is estimated
-    from the spread at its level. ``bound`` is the lower end of the posterior.
+    mean of its suffix, that to the mean of all, and that to ``PRIOR``, each by a beta prior whose strength is estimated
+    from the spread at its level. ``bound`` is the lower end of the posterior. One row per labelled host is written, and one
+    job over it gives the strengths and the overall mean, which are numbers from then on.
     """
     counts = outcomes.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n")).filter("n > 0")
-    counts = counts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), F.lit(0).alias("everything"), "good", "n")
+    host = F.col("host")
+    counts = counts.select("host", domain_of(host, suffixes).alias("domain"), suffix_of(host, suffixes).alias("suffix"), F.lit(0).alias("everything"), "good", "n")
+    counts = materialise(counts, "hosts")
     levels = (("suffix", "everything"), ("domain", "suffix"), ("host", "domain"))
-    strengths = [_strength(counts, level, parent) for level, parent in levels]
-    prior = counts.groupBy("everything").agg(F.sum("good").alias("g"), F.sum("n").alias("w"))
-    prior = prior.select("everything", (F.col("g") / F.col("w")).alias("m_everything"))
-    known, found = prior, {}
-    for (level, parent), strength in zip(levels, strengths):
-        k, mean = F.col(f"k_{level}"), F.col(f"m_{parent}")
+    total = counts.agg(F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"), F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("n"))
+    numbers = total.select(F.lit("everything").alias("level"), "k", "n")
+    for level, parent in levels:
+        numbers = numbers.union(_strength(counts, level, parent).select(F.lit(level), f"k_{level}", F.lit(0.0)))
+    numbers = {r.level: r for r in numbers.collect()}  # four rows
+    overall = (numbers["everything"].k + PRIOR[0]) / (numbers["everything"].n + sum(PRIOR))
+    known, found = None, {}
+    for level, parent in levels:
+        k = F.lit(numbers[level].k)
         child = counts.groupBy(parent, level).agg(F.sum("good").alias("g"), F.sum("n").alias("w"))
-        # One row of strength joins by a constant, so that no plan needs a product.
-        child = child.join(known, parent).withColumn("one", F.lit(1)).join(F.broadcast(strength.withColumn("one", F.lit(1))), "one")
+        child = child.withColumn("m_everything", F.lit(overall)) if known is None else child.join(known, parent)
         m = f"m_{level}"
-        child = child.select(level, F.col("g").alias("good"), F.col("w").alias("n"), ((F.col("g") + k * mean) / (F.col("w") + k)).alias(m), (F.col("w") + k).alias("weight"))
+        child = child.select(level, F.col("g").alias("good"), F.col("w").alias("n"), ((F.col("g") + k * F.col(f"m_{parent}")) / (F.col("w") + k)).alias(m), (F.col("w") + k).alias("weight"))
         found[level] = child.select(level, "good", "n", F.col(m).alias("mean"), lower_bound(F.col(m), F.col("weight")).alias("bound"))
         known = child.select(level, m)
-    return found
+    return found, overall - QUANTILE * (overall * (1 - overall) / (STRONGEST + 1)) ** 0.5
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
     """(host, good, n, mean, bound) of every labelled host, from (host, good, n)."""
-    return reputations(outcomes)["host"]
+    return reputations(outcomes)[0]["host"]
 
 
 def lower_bound(mean: Column, weight: Column) -> Column:
@@ -116,7 +132,11 @@ def lower_bound(mean: Column, weight: Column) -> Column:
 
 
 def judge_urls(
-    pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, least_good: float = LEAST_GOOD
+    pages: DataFrame,
+    labels: DataFrame,
+    rules: Sequence[tuple[str, str, str]] = RULES,
+    least_good: float = LEAST_GOOD,
+    suffixes: Sequence[str] = TWO_LABEL_SUFFIXES,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, bound), one row per row of ``pages`` (page_id, url).
 
@@ -124,8 +144,10 @@ def judge_urls(
     and it is not toxic. A url that a rule fits gets the rule's verdict, else ``allow`` if its host's
     posterior bound reaches ``least_good``, else ``block``. Hosts without labels take the bound of their registered
     domain, those of domains without labels that of their suffix, and others the bound of the mean over
-    all with no pages of their own; so do urls that are NULL or have no ``://`` (host and path empty), unless
-    such urls are labelled, and everything is allowed where nothing is labelled. NULL labels count for nothing; repeated rows count each time.
+    all; so do urls that are NULL or have no ``://`` (host and path empty), unless such urls are labelled. For its
+    reputation a host goes without user, port and last dots, and an address is its own domain. Labels judge the pages of the
+    same number, which is an assumption of this operator. NULL labels count for nothing; repeated rows count each time;
+    other columns play no part, and a very long url is a url.
 
     Labels are summed by id and outcomes by host before they meet anything, so neither a hot host nor a
     repeated id multiplies rows. The tables of hosts and domains are broadcast only if Spark finds them small.
@@ -135,17 +157,15 @@ def judge_urls(
     good = (F.coalesce(F.col("quality") == 1, F.lit(False)) & F.coalesce(F.col("toxic") == 0, F.lit(True))).cast("long")
     known = labels.filter("doc_id is not null and quality is not null")
     outcomes = known.groupBy(F.col("doc_id").alias("page_id")).agg(F.sum(good).alias("good"), F.count("*").alias("n"))
-    seen = rows.join(outcomes, "page_id").groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    seen = rows.join(outcomes, "page_id").groupBy(site_of(F.col("host")).alias("host")).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
 
-    reputation = reputations(seen)
-    total = seen.agg((F.sum("good") / F.sum("n")).alias("mean"))
-    unseen = total.select(F.lit(1).alias("one"), F.coalesce(lower_bound(F.col("mean"), F.lit(STRONGEST)), F.lit(1.0)).alias("other"))
+    reputation, other = reputations(seen, suffixes)
     name, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    found = rows.select("*", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), F.lit(1).alias("one"))
-    for level in ("host", "domain", "suffix"):
-        found = found.join(reputation[level].select(level, F.col("bound").alias(f"b_{level}")), level, "left")
-    found = found.join(F.broadcast(unseen), "one")
-    bound = F.coalesce("b_host", "b_domain", "b_suffix", "other")
+    found = rows.withColumn("site", site_of(F.col("host")))
+    found = found.select("*", domain_of(F.col("site"), suffixes).alias("domain"), suffix_of(F.col("site"), suffixes).alias("suffix"))
+    for level, at in (("host", "site"), ("domain", "domain"), ("suffix", "suffix")):
+        found = found.join(reputation[level].select(F.col(level).alias(at), F.col("bound").alias(f"b_{level}")), at, "left")
+    bound = F.coalesce("b_host", "b_domain", "b_suffix", F.lit(other))
     judged = F.when(bound >= least_good, "allow").otherwise("block")
     return found.select(
         "page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, judged).alias("verdict"), bound.alias("bound")
@@ -186,28 +206,33 @@ def _sql_rule(value: int | None) -> str:
 
 
 def _sql_last(n: int) -> str:
-    return f"array_to_string(string_split(host, '.')[-{n}:], '.')"
+    return f"array_to_string(string_split(site, '.')[-{n}:], '.')"
 
 
 def _sql_bound(mean: str, weight: str) -> str:
     return f"{mean} - {QUANTILE} * sqrt({mean} * (1 - {mean}) / ({weight} + 1))"
 
 
-OP3_SQL = f"""WITH parts AS (
+OP3_SQL = f"""WITH urls AS (
     SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
            coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+  sites AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^(?s:.*)@', ''), ':[0-9]*$', ''), '\\.+$', '') AS site FROM urls),
+  parts AS (SELECT *,
+      CASE WHEN regexp_matches(site, '{_ADDRESS}') THEN site WHEN {_sql_last(2)} IN ({_SUFFIXES}) THEN {_sql_last(3)} ELSE {_sql_last(2)} END AS domain,
+      CASE WHEN regexp_matches(site, '{_ADDRESS}') THEN site WHEN {_sql_last(2)} IN ({_SUFFIXES}) THEN {_sql_last(2)} ELSE {_sql_last(1)} END AS suffix
+    FROM sites),
   outcomes AS (SELECT doc_id AS page_id, sum(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good,
       count(*) AS n FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
-  hosts AS (SELECT host, sum(good) AS good, sum(n) AS n, 0 AS everything,
-      CASE WHEN {_sql_last(2)} IN ({_SUFFIXES}) THEN {_sql_last(3)} ELSE {_sql_last(2)} END AS domain,
-      CASE WHEN {_sql_last(2)} IN ({_SUFFIXES}) THEN {_sql_last(2)} ELSE {_sql_last(1)} END AS suffix
-    FROM parts JOIN outcomes USING (page_id) GROUP BY host),
+  hosts AS (SELECT site AS host, sum(good) AS good, sum(n) AS n, 0 AS everything, any_value(domain) AS domain, any_value(suffix) AS suffix
+    FROM parts JOIN outcomes USING (page_id) GROUP BY site),
   {_sql_strength('suffix', 'everything')}, {_sql_strength('domain', 'suffix')}, {_sql_strength('host', 'domain')},
-  m_everything AS (SELECT everything, sum(good)::DOUBLE / sum(n)::DOUBLE AS mean FROM hosts GROUP BY 1),
+  m_everything AS (SELECT 0 AS everything, (coalesce(sum(good), 0) + {PRIOR[0]}::DOUBLE) / (coalesce(sum(n), 0) + {sum(PRIOR)}::DOUBLE) AS mean FROM hosts),
   {_sql_mean('suffix', 'everything')}, {_sql_mean('domain', 'suffix')}, {_sql_mean('host', 'domain')},
-  bounds AS (SELECT host, {_sql_bound('mean', 'weight')} AS bound FROM m_host),
-  other AS (SELECT coalesce({_sql_bound('max(mean)', str(STRONGEST))}, 1) AS bound FROM m_everything)
+  b_host AS (SELECT host AS site, {_sql_bound('mean', 'weight')} AS bound FROM m_host),
+  b_domain AS (SELECT domain, {_sql_bound('mean', 'weight')} AS bound FROM m_domain),
+  b_suffix AS (SELECT suffix, {_sql_bound('mean', 'weight')} AS bound FROM m_suffix),
+  other AS (SELECT {_sql_bound('mean', str(STRONGEST))} AS bound FROM m_everything)
   SELECT page_id, host, path, {_sql_rule(None)} AS rule,
-    coalesce({_sql_rule(1)}, CASE WHEN coalesce(bounds.bound, other.bound) >= {LEAST_GOOD} THEN 'allow' ELSE 'block' END) AS verdict
-  FROM parts LEFT JOIN bounds USING (host) CROSS JOIN other"""
+    coalesce({_sql_rule(1)}, CASE WHEN coalesce(b_host.bound, b_domain.bound, b_suffix.bound, other.bound) >= {LEAST_GOOD} THEN 'allow' ELSE 'block' END) AS verdict
+  FROM parts LEFT JOIN b_host USING (site) LEFT JOIN b_domain USING (domain) LEFT JOIN b_suffix USING (suffix) CROSS JOIN other"""

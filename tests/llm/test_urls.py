@@ -1,6 +1,8 @@
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from almanac.llm.urls import RULES, host_reputation, judge_urls
+from almanac.llm.urls import OP3_SQL, RULES, domain_of, host_reputation, judge_urls, site_of, suffix_of
 
 PAGES, LABELS = "page_id long, url string", "doc_id long, quality int, toxic int"
 
@@ -85,3 +87,30 @@ def test_hosts_without_labels_take_the_bound_of_their_domain_or_suffix(spark):
     found = {r.host: r for r in judged(spark, urls, labels).values()}
     assert [found[h].verdict for h in ("new.spam.biz", "other.biz", "new.site.org", "other.org", "x.io")] == ["block", "block", "allow", "allow", "allow"]
     assert found["new.spam.biz"].bound < found["x.io"].bound < found["new.site.org"].bound
+
+
+def test_sql_gives_hosts_without_labels_their_domains_bound(spark):
+    urls = [f"http://h{i}.bad.info/x" for i in range(40)] + [f"http://h{i}.good.org/x" for i in range(200)]
+    labels = [(i, int(i >= 40), 0) for i in range(240)]
+    urls += ["http://new.bad.info/x", "http://new.good.org:80/x", "http://u@h1.bad.info./x", "http://other.info/", "http://10.0.0.1/", "http://x.io/", None]
+    found = judged(spark, urls, labels)
+    assert [found[i].verdict for i in (240, 241, 242)] == ["block", "allow", "block"]
+    with duckdb.connect() as db:
+        for name, df, schema in (("pages", list(enumerate(urls)), PAGES), ("labels", labels, LABELS)):
+            frame = spark.createDataFrame(df, schema).toArrow()
+            db.register(name, frame)
+        expected = {r[0]: r[1:5] for r in db.execute(OP3_SQL).fetchall()}
+    assert {i: (r.host, r.path, r.rule, r.verdict) for i, r in found.items()} == expected
+
+
+def test_one_label_does_not_decide_for_all(spark):
+    for quality in (0, 1):
+        found = judged(spark, ["http://a.org/", "http://b.info/"], [(0, quality, 0)])
+        assert found[1].verdict == "allow" and found[1].bound < 1
+
+
+def test_site_domain_and_suffix(spark):
+    hosts = {"a.bad.com:8080": ("bad.com", "com"), "user@x.org": ("x.org", "org"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "shop.com.": ("shop.com", "com"), "a.b.co.uk": ("b.co.uk", "co.uk"), "": ("", "")}
+    site = site_of(F.col("host"))
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", domain_of(site).alias("d"), suffix_of(site).alias("s"))
+    assert {r.host: (r.d, r.s) for r in df.collect()} == hosts
