@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.common import table
@@ -44,21 +44,16 @@ def _leaf(parsed: Column) -> Column:
 def _places(docs: DataFrame) -> DataFrame:
     """(k, kind, leaf, line, n, varies): the different lines of each document that are long enough.
 
-    ``kind`` tells a line's documents apart by the leaf of the longest other line, so that copies and near
-    copies of a document count once, and what they share is not taken for boilerplate. Documents of one
-    line are of one kind.
+    ``kind`` tells a line's documents apart by their whole text, so that copies of a document count once.
     """
-    parsed = docs.select("k", _parsed(F.col("text")).alias("lines"))
-    order = F.sort_array(F.transform("lines", lambda x: F.struct(x["n"].alias("n"), x["head"].alias("head"))), asc=False)
-    parsed = parsed.select("k", "lines", _leaf(F.get(order, F.lit(0))).alias("one"), F.coalesce(_leaf(F.get(order, F.lit(1))), F.lit(0)).alias("two"))
+    parsed = docs.select("k", F.xxhash64("text").alias("kind"), _parsed(F.col("text")).alias("lines"))
 
     def place(x: Column) -> Column:
-        kind = F.when(_leaf(x) == F.col("one"), F.col("two")).otherwise(F.col("one"))
-        return F.struct(kind.alias("kind"), _leaf(x).alias("leaf"), x["line"].alias("line"), x["n"].alias("n"), x["varies"].alias("varies"))
+        return F.struct(_leaf(x).alias("leaf"), x["line"].alias("line"), x["n"].alias("n"), x["varies"].alias("varies"))
 
     # Told apart as rows: within an array, structs would be compared each with each.
     found = F.transform(F.filter("lines", lambda x: x["n"] >= LEAST_TOKENS), place)
-    return parsed.select("k", F.explode(found).alias("at")).select("k", "at.*").distinct()
+    return parsed.select("k", "kind", F.explode(found).alias("at")).select("k", "kind", "at.*").distinct()
 
 
 def _by_copies(places: DataFrame, least_docs: int) -> DataFrame:
@@ -101,7 +96,10 @@ def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int =
         places = materialise(_by_copies(places, least_docs), "places-by-copies")
     hot = places.groupBy("leaf").agg(F.count_distinct("kind").alias("docs")).filter(F.col("docs") >= least_docs)
     hot = materialise(hot.select("leaf"), "leaves")
-    inside = materialise(places.join(hot, "leaf").select("leaf", "line", "kind").distinct(), "inside")
+    # Of each line the first few documents will do: only whether there are enough of them is asked below.
+    nth = F.dense_rank().over(Window.partitionBy("line").orderBy("kind"))
+    inside = places.join(hot, "leaf").select("line", "kind").distinct().withColumn("nth", nth)
+    inside = materialise(inside.filter(F.col("nth") <= least_docs).select("line", "kind"), "inside")
 
     # The tokens of the lines in those leaves, each line once.
     lines = docs.select(F.explode(F.transform(F.split("text", "\n"), _masked)).alias("text"))
@@ -111,7 +109,7 @@ def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int =
     spread = lines.select("leaf", "line", F.posexplode(F.split("text", " ")).alias("pos", "token"))
     spread = materialise(spread, "tokens")
 
-    counted = spread.join(inside.select("line", "kind"), "line").groupBy("leaf", "pos", "token")
+    counted = spread.join(inside, "line").groupBy("leaf", "pos", "token")
     common = counted.agg(F.count_distinct("kind").alias("docs")).filter((F.col("docs") >= least_docs) & (F.col("token") != VARIABLE))
     common = common.select("leaf", "pos", "token", F.lit(True).alias("fixed"))
     marked = spread.join(common, ["leaf", "pos", "token"], "left")
@@ -121,7 +119,7 @@ def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: int =
     )
     shape = shape.filter(F.col("fixed") * 100 >= F.col("n") * fixed)
     shape = materialise(shape.select("line", F.xxhash64("leaf", "shape").alias("template")), "shapes")
-    often = shape.join(inside.select("line", "kind"), "line").groupBy("template").agg(F.count_distinct("kind").alias("docs"))
+    often = shape.join(inside, "line").groupBy("template").agg(F.count_distinct("kind").alias("docs"))
     often = often.filter(F.col("docs") >= least_docs).select("template")
     return places, materialise(shape.join(often, "template").select("line"), "recurring")
 
@@ -132,8 +130,8 @@ def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, fixed: i
     ``doc`` is the whole row as it was. Lines whose template recurs in ``least_docs`` different documents are gone from
     ``text``; the others stay as they were, in order. NULL text stays NULL with 0 lines, empty text is one
     empty line; lines of fewer than ``LEAST_TOKENS`` tokens stay. Documents that lose all lines stay, with
-    empty text. Repeated rows get equal results and count as one document. Documents differ by their longest
-    other line, or with ``by_copies`` if they are no near copies of each other (``_by_copies``).
+    empty text. Repeated rows get equal results. Documents of equal text count as one, and with ``by_copies`` near copies
+    do so as well (``_by_copies``); without it, what ``least_docs`` near copies share is dropped from them like any boilerplate.
     """
     # Two texts with one key would share a list of lines that are dropped anyway.
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), F.xxhash64("doc_id", "text").alias("k"))
@@ -167,13 +165,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SQL_TOKENS = "len(string_split(l, ' '))"
 OP8_SQL = f"""WITH
   doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents),
-  line AS (SELECT doc_id, i, r, l, {_SQL_TOKENS} AS n, array_to_string(string_split(l, ' ')[1:{DEPTH}], ' ') AS head
-    FROM (SELECT doc_id, i, raw[i] AS r, regexp_replace(raw[i], '{_TOKEN_WITH_DIGIT}', '{VARIABLE}', 'g') AS l
-          FROM (SELECT doc_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM doc WHERE text IS NOT NULL))),
-  top AS (SELECT doc_id, list({{'n': n, 'head': head}} ORDER BY n DESC, head DESC) AS top FROM line GROUP BY doc_id),
-  place AS (SELECT DISTINCT n, head, l,
-      CASE WHEN top[1] = {{'n': n, 'head': head}} THEN coalesce(top[2], {{'n': 0, 'head': ''}}) ELSE top[1] END AS kind
-    FROM line JOIN top USING (doc_id) WHERE n >= {LEAST_TOKENS}),
+  line AS (SELECT doc_id, kind, i, r, l, {_SQL_TOKENS} AS n, array_to_string(string_split(l, ' ')[1:{DEPTH}], ' ') AS head
+    FROM (SELECT doc_id, md5(text) AS kind, i, raw[i] AS r, regexp_replace(raw[i], '{_TOKEN_WITH_DIGIT}', '{VARIABLE}', 'g') AS l
+          FROM (SELECT doc_id, text, raw, unnest(range(1, len(raw) + 1)) AS i FROM doc WHERE text IS NOT NULL))),
+  place AS (SELECT DISTINCT n, head, l, kind FROM line WHERE n >= {LEAST_TOKENS}),
   hot AS (SELECT n, head FROM place GROUP BY ALL HAVING count(DISTINCT kind) >= {LEAST_DOCS}),
   token AS (SELECT n, head, l, pos, string_split(l, ' ')[pos] AS t
     FROM (SELECT DISTINCT n, head, l, unnest(range(1, n + 1)) AS pos FROM place JOIN hot USING (n, head))),

@@ -22,12 +22,10 @@ def expected(docs):
     leaves, line_kinds = defaultdict(set), defaultdict(set)
     for _, text in docs:
         if text is not None:
-            top = sorted((leaf(x) for x in text.split("\n")), reverse=True) + ["alone"]
             for x in text.split("\n"):
-                kind = top[1] if leaf(x) == top[0] else top[0]
                 if leaf(x)[0] >= LEAST_TOKENS:
-                    leaves[leaf(x)].add(kind)
-                    line_kinds[masked(x)].add(kind)
+                    leaves[leaf(x)].add(text)
+                    line_kinds[masked(x)].add(text)
     tokens = defaultdict(set)
     for x, kinds in line_kinds.items():
         at = leaf(x)
@@ -114,3 +112,21 @@ def test_boilerplate_longer_than_own_lines_goes_by_copies(spark):
     found = drop_recurring_lines(spark.createDataFrame(docs, SCHEMA), by_copies=True)
     dropped = {r[0]: r[1] for r in rows(found.selectExpr("doc.doc_id", "n_dropped"))}
     assert [dropped[i] for i in range(32)] == [2] * 16 + [1] * 8 + [0] * 8
+
+
+def test_every_recurring_template_goes(spark):
+    header = " ".join(f"head{chr(97 + i)}" for i in range(25))
+    footer = " ".join(f"foot{chr(97 + i)}" for i in range(25))
+    letters = [chr(97 + i % 26) + chr(97 + i // 26) for i in range(300)]
+    docs = [(i, f"{header}\nown{x} words{x} here{x}\n{footer}") for i, x in enumerate(letters)]
+    docs += [(1000 + i, f"page {i} of {x} was not found on this server today") for i, x in enumerate(letters)]
+    docs += [(2000 + i, f"{header} twice\n{x} x{x} y{x}\n{header} twice") for i, x in enumerate(letters)]
+    found = check(spark, docs)
+    assert [sum(r[3] for r in found if r[0] // 1000 == k) for k in range(3)] == [600, 300, 600]
+
+
+def test_what_near_copies_share_goes_from_the_fifth_on(spark):
+    shared = "\n".join(f"line {chr(97 + i)} of a text that has many near copies" for i in range(6))
+    for n in (LEAST_DOCS - 1, LEAST_DOCS):
+        found = check(spark, [(i, f"{shared}\nbut this is {chr(97 + i)}") for i in range(n)])
+        assert all(r[3] >= 6 if n == LEAST_DOCS else r[3] == 0 for r in found)
