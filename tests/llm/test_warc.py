@@ -1,10 +1,11 @@
 import gzip
 import hashlib
+import random
 from pathlib import Path
 
 import pytest
 
-from almanac.llm.warc import audit, leaves, read_warc, record_of, write_warc
+from almanac.llm.warc import audit, leaves, linked, read_warc, record_of, write_warc
 from tests.conftest import rows
 
 SCHEMA = "page_id long, url string, html string"
@@ -49,7 +50,7 @@ def test_a_cut_record_is_not_intact(spark, tmp_path):
 
 
 def test_leaves_have_the_offsets_of_the_files(spark):
-    found = leaves(records(spark, PAGES), ["page_id", "url"]).orderBy("pos").collect()
+    found = linked(leaves(records(spark, PAGES), ["page_id", "url"]), 1).orderBy("pos").collect()
     offset = 0
     for k, r in enumerate(found):
         assert (r.pos, r.offset) == (k, offset)
@@ -59,27 +60,100 @@ def test_leaves_have_the_offsets_of_the_files(spark):
     assert found[0].length == len(text.encode()) + 4
 
 
-@pytest.mark.parametrize("fanout, bad", [(2, {3, 4, 50}), (3, {0, 99}), (64, set(range(100))), (64, set())])
-def test_audit_finds_damage_and_nothing_else(spark, fanout, bad):
-    pages = [(i, f"http://h/{i}", "text" * (i % 7)) for i in range(100)]
-    copy = [(i, u, "~" + h if i in bad and len(bad) == 100 else ("X" * len(h) if i in bad and h else h + ("" if h or i not in bad else ""))) for i, u, h in pages]
-    changed = {a[0] for a, b in zip(pages, copy) if a != b}
-    found = audit(records(spark, pages), records(spark, copy), ["page_id", "url"], fanout).collect()
-    assert len(found) == 100
-    assert {r.page_id for r in found if not r.ok} == changed
-
-
-def test_a_lost_record_moves_what_follows(spark):
-    pages = [(i, "u", f"page {i}") for i in range(10)]
-    found = audit(records(spark, pages), records(spark, pages[:4] + pages[5:]), ["page_id", "url"], 2).collect()
-    assert {r.page_id for r in found if r.ok} == {0, 1, 2, 3}
+ORDERED = "page_id long, url string, html string, at long"
+
+
+def archive(spark, pages):
+    df = spark.createDataFrame(pages, ORDERED).repartition(3)
+    return df.select("page_id", "url", "at", record_of(df.page_id, df.url, df.html).alias("record"))
+
+
+def expected(primary, replica):
+    """{(page_id, side, text): status}, from lists in order, by looking at all records."""
+
+    def once(pages):
+        seen = {}
+        for p in sorted(pages, key=lambda p: (p[3], p[:2], p[2])):
+            seen[p[:3]] = seen.get(p[:3], 0) + 1
+        return seen
+
+    a, b = once(primary), once(replica)
+
+    def before(seen):
+        return dict(zip(seen, [None, *seen]))
+
+    lone, pa, pb, out = set(a) ^ set(b), before(a), before(b), {}
+    for side, mine, other in (("primary", a, b), ("replica", b, a)):
+        for r in mine:
+            if r not in other:
+                twin = any(x[:2] == r[:2] and x not in mine for x in other)
+                out[r, side] = "changed" if twin else "missing" if side == "primary" else "extra"
+            elif side == "primary":
+                moved = pa[r] != pb[r] and pa[r] not in lone and pb[r] not in lone
+                out[r, side] = "copies" if a[r] != b[r] else "moved" if moved else "ok"
+    return out
+
+
+def compare(spark, primary, replica, fanout):
+    found = audit(archive(spark, primary), archive(spark, replica), ["page_id", "url"], fanout, ["at"])
+    found = found.select("key.page_id", "side", "digest", "status").collect()
+    want = expected(primary, replica)
+    assert len(found) == len(want)
+    by_digest = {}
+    for (r, side), status in want.items():
+        by_digest.setdefault((r[0], side), []).append(status)
+    got = {}
+    for r in found:
+        got.setdefault((r.page_id, r.side), []).append(r.status)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in by_digest.items()}
+    return found
+
+
+@pytest.mark.parametrize("fanout", [2, 5, 64])
+def test_audit_against_brute_force(spark, fanout):
+    rng = random.Random(fanout)
+    pages = [(i, f"http://h/{i}", f"text {i % 7}", 2 * i) for i in range(200)]
+    copy = [p for p in pages if p[0] not in (7, 8, 150)]
+    copy = [(i, u, "damaged" if i in (0, 50, 199) else h, 2 * i + 5 if i in (30, 90) else at) for i, u, h, at in copy]
+    copy += [(900, "new", "x", 41), (901, "new", "y", 1000), copy[60]]
+    rng.shuffle(copy)
+    found = compare(spark, pages, copy, fanout)
+    status = [r.status for r in found]
+    assert [status.count(s) for s in ("missing", "changed", "extra", "copies")] == [3, 6, 2, 1]
+    assert {30, 90} <= {r.page_id for r in found if r.status == "moved"} and status.count("moved") < 8
+
+
+def test_lost_or_added_records_do_not_hide_the_others(spark):
+    pages = [(i, "u", f"page {i}", i) for i in range(200)]
+    lost = compare(spark, pages, pages[:100] + pages[101:], 4)
+    assert [r.page_id for r in lost if r.status != "ok"] == [100]
+    more = compare(spark, pages, [*pages, (300, "u", "a", 300), (301, "u", "b", 301)], 4)
+    assert sorted((r.page_id, r.status) for r in more if r.status != "ok") == [(300, "extra"), (301, "extra")]
+    turned = compare(spark, pages, [(i, u, h, -at) for i, u, h, at in pages], 4)
+    assert {r.status for r in turned} == {"moved"}
+    assert {r.status for r in compare(spark, pages, pages, 4)} == {"ok"}
 
 
 def test_odd_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     empty = none.select("page_id", "url", record_of(none.page_id, none.url, none.html).alias("record"))
-    assert audit(empty, empty, ["page_id", "url"]).collect() == []
-    assert [r.ok for r in audit(records(spark, PAGES[:1]), empty, ["page_id", "url"]).collect()] == [False]
+    key = ["page_id", "url"]
+    assert audit(empty, empty, key).collect() == []
+    assert [r.status for r in audit(records(spark, PAGES[:1]), empty, key).collect()] == ["missing"]
+    assert [(r.status, r.side) for r in audit(empty, records(spark, PAGES[:1]), key).collect()] == [("extra", "replica")]
     same = [(None, None, None)] * 3 + [(1, "u", "x" * 300_000)] * 2
-    more = records(spark, same).selectExpr("*", "1 as pos", "2 as part", "3 as digest")
-    assert [r.ok for r in audit(more, more, ["page_id", "url"], 2).collect()] == [True] * 5
+    more = records(spark, same).selectExpr("*", "1 as pos", "2 as part", "3 as digest", "4 as key", "5 as me", "6 as side")
+    for keys in (key, ["pos", "digest", "key", "page_id"]):
+        found = audit(more, more, keys, 2).orderBy("pos").collect()
+        assert [(r.status, r.copies, r.pos) for r in found] == [("ok", 3, 0), ("ok", 2, 1)]
+    fewer = audit(more, more.limit(3).union(more.filter("page_id = 1").limit(1)), key, 2)
+    assert fewer.filter("status = 'copies'").count() >= 1
+    void = records(spark, PAGES[:2]).selectExpr("page_id", "url", "cast(null as string) as record")
+    assert {r.status for r in audit(void, void, key).collect()} == {"ok"}
+    assert {r.status for r in audit(void, records(spark, PAGES[:2]), key).collect()} == {"changed"}
+
+
+def test_one_key_with_most_records(spark):
+    pages = [(1, "u", f"page {i}", 0) for i in range(3000)] + [(i, "v", "z", i) for i in range(2, 1000)]
+    found = compare(spark, pages, pages[:1000] + pages[1001:], 8)
+    assert [r.status for r in found if r.status != "ok"] == ["missing"]
