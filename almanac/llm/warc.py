@@ -227,19 +227,19 @@ def _sql_record() -> str:
 
 
 _SQL_SIDES = """
-  {0}_once AS (SELECT page_id, url, length, digest, min(at) AS at, count(*) AS copies FROM {0}_hashed GROUP BY ALL),
+  {0}_once AS (SELECT page_id, url, length, digest, min(place) AS place, count(*) AS copies FROM {0}_hashed GROUP BY ALL),
   {0} AS (SELECT *, row_number() OVER w - 1 AS pos, lag(me, 1, '') OVER w AS prev,
       CAST(coalesce(sum(length * copies) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_byte
     FROM (SELECT *, concat_ws('|', coalesce(page_id::VARCHAR, 'none'), digest, coalesce(url, 'none'), url IS NULL) AS me FROM {0}_once)
-    WINDOW w AS (ORDER BY at NULLS FIRST, page_id NULLS FIRST, url NULLS FIRST, digest)),"""
+    WINDOW w AS (ORDER BY place NULLS FIRST, page_id NULLS FIRST, url NULLS FIRST, digest)),"""
 _SQL_HASHED = f"CAST(strlen(record) + {len(END)} AS BIGINT) AS length, sha256(record) AS digest"
 OP9_SQL = f"""WITH
-  copied AS (SELECT page_id, url, CASE WHEN page_id % 97 = 31 THEN page_id * 2 + 3 ELSE page_id * 2 END AS at,
+  copied AS (SELECT page_id, url, CASE WHEN page_id % 97 = 31 THEN page_id * 2 + 3 ELSE page_id * 2 END AS place,
       CASE WHEN page_id % 97 = 5 AND strlen(html) > 0 THEN '~' || substr(html, 2) ELSE html END AS html
     FROM pages WHERE coalesce(page_id % 97 <> 11, true)
     UNION ALL SELECT page_id, coalesce(url, '') || '#new', page_id * 2 + 1, html FROM pages WHERE page_id % 97 = 23),
-  a_hashed AS (SELECT page_id, url, at, {_SQL_HASHED} FROM (SELECT page_id, url, page_id * 2 AS at, {_sql_record()} AS record FROM pages)),
-  b_hashed AS (SELECT page_id, url, at, {_SQL_HASHED} FROM (SELECT page_id, url, at, {_sql_record()} AS record FROM copied)),
+  a_hashed AS (SELECT page_id, url, place, {_SQL_HASHED} FROM (SELECT page_id, url, page_id * 2 AS place, {_sql_record()} AS record FROM pages)),
+  b_hashed AS (SELECT page_id, url, place, {_SQL_HASHED} FROM (SELECT page_id, url, place, {_sql_record()} AS record FROM copied)),
   {_SQL_SIDES.format("a")}{_SQL_SIDES.format("b")}
   a_lone AS (SELECT * FROM a WHERE me NOT IN (SELECT me FROM b)),
   b_lone AS (SELECT * FROM b WHERE me NOT IN (SELECT me FROM a)),
