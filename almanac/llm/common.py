@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -35,6 +36,25 @@ def remainder(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def training_texts(docs: DataFrame, chosen: DataFrame, label: str, longest: int) -> list[tuple]:
+    """Sorted (label, doc_id, text) on the driver, one per row of ``chosen`` (doc_id, label) at most, however many rows share its id.
+
+    Texts of at most ``longest`` characters. Only if these leave fewer than two classes, a stretch of that length is taken
+    from each longer text as well, at a place told by its id; if that gives no two classes either, a warning says so.
+    """
+    size = F.char_length("text")
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(size - longest, F.lit(0)) + 1).cast("int") + 1
+    stretch = F.col("text").substr(place, F.lit(longest)).alias("text")
+    rows: list[tuple] = []
+    for texts in (docs.filter(size <= longest), docs.filter("text is not null").select("doc_id", stretch)):
+        known = texts.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", label).agg(F.min("text").alias("text"))
+        rows = sorted((r[label], r.doc_id, r.text) for r in known.collect())
+        if len({r[0] for r in rows}) > 1:
+            return rows
+    warnings.warn(f"no texts of two classes of {label}: nothing is learned", stacklevel=3)
+    return rows
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers, each by itself."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

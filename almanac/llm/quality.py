@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.common import SPACES, pieces, remainder, span_hashes, table, table_of, word_spans
+from almanac.llm.common import SPACES, pieces, remainder, span_hashes, table, table_of, training_texts, word_spans
 from almanac.llm.language import labelled_sample
 
 #: Labelled texts per class that the model is fitted on, and the longest of them in characters.
@@ -171,15 +171,14 @@ def fit(bags: list[np.ndarray], target: np.ndarray, seed: int = 3) -> AttentionM
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_on: Column, per_class: int = SAMPLE) -> AttentionModel | None:
-    """Fit on a bounded sample: ``per_class`` labelled texts of each class, of ``LONGEST`` characters at most.
+    """Fit on a bounded sample: ``per_class`` labelled texts of each class, of ``LONGEST`` characters at most (``training_texts``).
 
     None if a class has no text.
     """
     known = labels.filter(fit_on & F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
     # Two classes of so many rows at most: small enough to send to where the texts are.
     chosen = F.broadcast(labelled_sample(known, "quality", per_class))
-    sample = docs.filter(F.char_length("text") <= LONGEST).select("doc_id", "text").join(chosen, "doc_id")
-    rows = sorted((r.quality, r.doc_id, r.text) for r in sample.collect())
+    rows = training_texts(docs, chosen, "quality", LONGEST)
     target = np.array([r[0] for r in rows], np.int64)
     if len(set(target.tolist())) < 2:
         return None
