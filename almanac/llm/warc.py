@@ -152,7 +152,7 @@ def audit(primary: DataFrame, replica: DataFrame, key: list[str], fanout: int =
     primary, where both of these records are in both archives; so what follows a lost or added record has not moved). A
     record that only the replica has is ``extra``. Repeated records are one row with the number of copies. NULL is a key of its
     own and comes first, as NULL in ``order`` does. A NULL record has a NULL digest and length. Long records are hashed where
-    they lie. Empty tables have no rows. Each replica is hashed once, and what lies below equal nodes is not compared.
+    they lie. Other columns are ignored, and key columns may have any name. Empty tables have no rows. Each replica is hashed once, and what lies below equal nodes is not compared.
     """
     placed = [leaves(x, key, order) for x in (primary, replica)]
     n, depth = max(x.count() for x in placed), 1
