@@ -156,12 +156,28 @@ def ingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_observations(spark, root, STATION_REPORT.struct_type(provisional=True))
 
 
+#: Lines of a station's file or so.
+FILE_LINES = 1 << 18
+
+
 def _station_files(spark: SparkSession, sf_dir: str, odd: bool) -> str:
-    """Text in one folder per station, of which there are seven, with a title first in each file."""
+    """Text in one folder per station, of which there are seven, with a title first in each file.
+
+    A station has more files the more lines there are, so that no task sorts a whole station; a station without titles has one.
+    """
     path = sources.shared_path(spark, "stations")
     lines = station_lines(spark, sf_dir, odd, "l_linenumber", "s_suppkey % 7 + 1")
-    title = F.col("value").startswith("Supplier")
-    lines.repartition("station").sortWithinPartitions("station", title.desc()).write.partitionBy("station").text(path)
+    files = max(1, -(-table(spark, sf_dir, "lineitem").count() // (7 * FILE_LINES)))
+    title = F.coalesce(F.col("value").startswith("Supplier"), F.lit(False))
+    dealt = F.pmod(F.xxhash64("value"), F.lit(files))
+    # Other lines go to files that have a title, which suppliers' names are.
+    names = table(spark, sf_dir, "supplier").select(F.expr("'S-' || (s_suppkey % 7 + 1)").alias("station"), F.col("s_name").alias("value"))
+    titled = names.filter(title).groupBy("station").agg(F.sort_array(F.collect_set(dealt)).alias("titled"))
+    place = F.get("titled", F.pmod(F.xxhash64("value"), F.size("titled")).cast("int"))
+    file = F.when(title, dealt).otherwise(F.coalesce(place, F.lit(0)))
+    lines = lines.join(F.broadcast(titled), "station", "left").select("station", file.alias("file"), "value")
+    lines = lines.repartition(7 * files, "station", "file").sortWithinPartitions("station", "file", title.desc())
+    lines.drop("file").write.partitionBy("station").text(path)
     return path
 
 

@@ -102,3 +102,26 @@ def test_means_use_one_aggregation_and_push_key_filters(spark):
     assert "IsNotNull(l_suppkey)" in text
     single = plan(QUERIES["period_means"](spark, str(SF_DIR)))
     assert single.count("FileScan") == 1 and "Join" not in single
+
+
+def test_a_station_has_more_files_the_more_lines_there_are(spark, tmp_path, monkeypatch):
+    """No task sorts a whole station; a title is first in each file, so that dropping titles drops no data."""
+    spark.range(4200).selectExpr(
+        "id div 7 as l_orderkey", "cast(id % 7 + 1 as int) as l_linenumber", "id % 140 + 1 as l_suppkey", "date_add(date'1992-01-01', cast(id % 2400 as int)) as l_shipdate",
+        "cast(id % 50 + 1 as double) as l_quantity", "id / 4 as l_extendedprice", "id % 10 / 100 as l_discount", "id % 9 / 100 as l_tax",
+        "element_at(array('N', 'A', 'R'), cast(id % 3 + 1 as int)) as l_returnflag", "if(id % 2 = 0, 'O', 'F') as l_linestatus",
+    ).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1, 141).selectExpr("id as s_suppkey", "concat('Supplier#', id) as s_name").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    duck = duckdb.connect()
+    for name in ("lineitem", "supplier"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    monkeypatch.setattr(entry_module, "FILE_LINES", 200)
+    files = list(Path(entry_module._station_files(spark, str(tmp_path), odd=False)).glob("station=*/*.txt"))
+    texts = [file.read_text().splitlines() for file in files]
+    assert sum(map(len, texts)) == 4200 + 8 * 140 and all(t[0].startswith("Supplier") for t in texts)
+    by_station = [sum(file.parent.name == f"station=S-{k}" for file in files) for k in range(1, 8)]
+    assert sum(by_station) == len(files) and min(by_station) > 1
+    for name in ("ingest_changed", "ingest_counts", "ingest_files", "ingest_files_legacy"):
+        df, result = QUERIES[name](spark, str(tmp_path)), duck.execute(SQL[name])
+        found = table(df.columns, [tuple(r) for r in df.collect()])
+        assert found == table([c[0] for c in result.description], result.fetchall()), name
