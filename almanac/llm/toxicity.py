@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import warnings
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -10,13 +11,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.common import pieces, remainder, span_hashes, table, table_of, training_texts, word_spans
-from almanac.llm.language import labelled_sample
+from almanac.llm.common import pieces, remainder, span_hashes, table, table_of, word_spans
+from almanac.sources.shared import discard, materialise, scratch
 
-#: Labelled texts per class that the network is fitted on, and the longest of them in characters.
-SAMPLE, LONGEST = 3_000, 8_000
-#: Texts of each class left out of the fit, by which thresholds are set; the least of them per language.
+#: Characters of ``docs`` for which there is one shard of labelled texts, which one task learns from at a time.
+SHARD = 1 << 24
+#: With several shards: how often their weights are averaged, and how often each text is seen in between.
+ROUNDS, PASSES = 2, 3
+#: One in so many texts is left out of the fit, by which thresholds are set; the least of them per class and language.
 CALIBRATION, LEAST = 4, 20
+#: Steps of a logit in which the texts left out are counted, and the largest logit told apart.
+STEPS, HIGHEST = 1_024, 30
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 12, 12, (1, 2, 3)
 #: A word is known by itself and by its first bytes, so that new forms of a stem are not new words.
 STEMS = (4, 5, 6)
@@ -119,21 +124,47 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(texts: list[np.ndarray], target: np.ndarray, seed: int = 11) -> WordNetwork:
-    """Adagrad on the cross entropy; only words at a filter's maximum take part in a step."""
+def _shapes() -> list[tuple[int, ...]]:
+    n = len(WIDTHS) * FILTERS
+    return [(BUCKETS, DIM), *[(w * DIM, FILTERS) for w in WIDTHS], (n,), (n,), (1,)]
+
+
+def _views(rows: np.ndarray) -> list[np.ndarray]:
+    """Embedding, filters, bias, dense and offset as parts of one array of rows of ``DIM`` values, the embedding's first."""
+    flat, out, at = rows.reshape(-1), [], 0
+    for shape in _shapes():
+        out.append(flat[at : at + int(np.prod(shape))].reshape(shape))
+        at += int(np.prod(shape))
+    return out
+
+
+def _network(rows: np.ndarray) -> WordNetwork:
+    embedding, *filters, bias, dense, offset = _views(rows)
+    return WordNetwork(embedding, filters, bias, dense, float(offset[0]))
+
+
+def start(seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Weights before training and sums of their squared gradients, as rows of ``DIM`` values."""
     rng = np.random.default_rng(seed)
     n = len(WIDTHS) * FILTERS
-    net = WordNetwork(
-        rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32),
-        [rng.normal(0, 0.3, (w * DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
-        np.zeros(n, np.float32),
-        np.abs(rng.normal(0, 0.3, n)).astype(np.float32),
-        0.0,
-    )
-    weights = [net.embedding, *net.filters, net.bias, net.dense]
-    squares = [np.full_like(w, 1e-3) for w in weights]
-    offset_square = 1e-3
-    for _ in range(EPOCHS):
+    size = -(-sum(int(np.prod(shape)) for shape in _shapes()) // DIM)
+    rows, squares = np.zeros((size, DIM), np.float32), np.full((size, DIM), 1e-3, np.float32)
+    embedding, *filters, _, dense, _ = _views(rows)
+    embedding[:] = rng.normal(0, 0.05, (BUCKETS, DIM))
+    for w, kernel in zip(WIDTHS, filters):
+        kernel[:] = rng.normal(0, 0.3, (w * DIM, FILTERS))
+    dense[:] = np.abs(rng.normal(0, 0.3, n))
+    return rows, squares
+
+
+def fit(texts: list[np.ndarray], target: np.ndarray, weights: np.ndarray, squares: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
+    """Adagrad on the cross entropy, in place; only words at a filter's maximum take part in a step."""
+    rng = np.random.default_rng(seed)
+    net = _network(weights)
+    parts, sums = _views(weights), _views(squares)
+    # Classes weigh alike, however few texts are toxic.
+    alike = (len(target) / np.maximum(1, 2 * np.bincount(target, minlength=2)))[target]
+    for _ in range(epochs):
         order = rng.permutation(len(texts))
         for k in range(0, len(order), BATCH):
             chosen = order[k : k + BATCH]
@@ -144,7 +175,7 @@ def fit(texts: list[np.ndarray], target: np.ndarray, seed: int = 11) -> WordNetw
             x = _vectors(net, buckets)
             pooled, outs = _convolved(net, x, edges)
             h = np.maximum(pooled, 0)
-            error = ((_sigmoid(h @ net.dense + net.offset) - target[chosen]) / len(chosen)).astype(np.float32)
+            error = ((_sigmoid(h @ net.dense + net.offset) - target[chosen]) * alike[chosen] / len(chosen)).astype(np.float32)
             back = error[:, None] * net.dense * (pooled > 0)
             grads = [np.zeros_like(f) for f in net.filters]
             rows, flows = [], []
@@ -162,58 +193,123 @@ def fit(texts: list[np.ndarray], target: np.ndarray, seed: int = 11) -> WordNetw
             touched, inverse = np.unique(buckets[place[real]].ravel(), return_inverse=True)
             summed = np.zeros((len(touched), DIM), np.float32)
             np.add.at(summed, inverse.ravel(), np.repeat(flow[real], buckets.shape[1], axis=0))
-            squares[0][touched] += summed**2
-            net.embedding[touched] -= RATE * summed / np.sqrt(squares[0][touched])
+            sums[0][touched] += summed**2
+            net.embedding[touched] -= RATE * summed / np.sqrt(sums[0][touched])
             dense = h.T @ error + DECAY * net.dense
-            for w, g, s in zip(weights[1:], [*grads, back.sum(axis=0), dense], squares[1:]):
+            for w, g, s in zip(parts[1:], [*grads, back.sum(axis=0), dense, error.sum(keepdims=True)], sums[1:]):
                 s += g * g
                 w -= RATE * g / np.sqrt(s)
-            offset_square += float(error.sum()) ** 2
-            net.offset -= RATE * float(error.sum()) / offset_square**0.5
-    return net
+            net.offset = float(parts[-1][0])
 
 
-def _threshold(scores: np.ndarray, target: np.ndarray) -> float:
-    """The logit between two texts at which most are told right; two thirds up the gap, as clean texts are more."""
+def _threshold(scores: np.ndarray, toxic: np.ndarray, clean: np.ndarray | None = None, upto: np.ndarray | None = None) -> float:
+    """The logit between two texts at which most are told right; two thirds up the gap, as clean texts are more.
+
+    ``toxic`` is 0 or 1 by text; or it and ``clean`` are numbers of texts with logits from ``scores`` to ``upto``.
+    """
     order = np.argsort(scores, kind="stable")
-    s, t = scores[order], target[order]
+    clean, upto = (1 - toxic if clean is None else clean)[order], (scores if upto is None else upto)[order]
+    s, t = scores[order], toxic[order]
     # Classes weigh alike; a cut before place i calls the rest toxic.
-    right = np.concatenate([[0], np.cumsum(t == 0) / max(1, (t == 0).sum())]) + np.concatenate([np.cumsum((t == 1)[::-1])[::-1] / max(1, (t == 1).sum()), [0]])
+    right = np.concatenate([[0], np.cumsum(clean) / max(1, clean.sum())]) + np.concatenate([np.cumsum(t[::-1])[::-1] / max(1, t.sum()), [0]])
     best = np.flatnonzero(right >= right.max() - 1e-12)
     i = int(best[len(best) // 2])
     if i == 0:
         return float(s[0]) - 1
-    return float(s[-1]) + 1 if i == len(s) else float(s[i - 1] + 2 * s[i]) / 3
+    return float(upto[-1]) + 1 if i == len(s) else float(upto[i - 1] + 2 * s[i]) / 3
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_on: Column, per_class: int = SAMPLE) -> WordNetwork | None:
-    """Fit on a bounded sample: ``per_class`` labelled texts of each class, of ``LONGEST`` characters at most (``training_texts``).
+def _labelled(docs: DataFrame, labels: DataFrame, fit_on: Column) -> tuple[DataFrame, int]:
+    """(shard, aside, toxic, text) of every different labelled text, written, and the number of shards.
 
-    One in ``CALIBRATION`` of them is kept from the fit. By it each language gets the threshold that
-    tells most texts right; one with fewer than ``LEAST`` texts of a class has the threshold of all. None if
-    a class has no text.
+    Texts are dealt to shards by hash, which have ``SHARD`` characters or so at most, and one longer text. By
+    another hash one in ``CALIBRATION`` is put aside.
     """
     known = labels.filter(fit_on & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
-    # Two classes of so many rows at most: small enough to send to where the texts are.
-    chosen = F.broadcast(labelled_sample(known, "toxic", per_class))
-    rows = training_texts(docs, chosen, "toxic", LONGEST)
-    target = np.array([r[0] for r in rows], np.int64)
-    if len(set(target.tolist())) < 2:
-        return None
-    texts, languages = [], []
-    for buckets, bounds, language in tokens([r[2] for r in rows]):
-        texts += [buckets[a:b] for a, b in zip(bounds, bounds[1:])]
-        languages += language.tolist()
-    aside = np.arange(len(rows)) % CALIBRATION == 0
-    net = fit([t for t, a in zip(texts, aside) if not a], target[~aside])
-    left = [t for t, a in zip(texts, aside) if a]
-    scores = np.concatenate([logits(net, t, np.array([0, len(t)])) for t in left])
-    language, truth = np.array(languages)[aside], target[aside]
-    overall = _threshold(scores, truth)
+    size = docs.agg(F.sum(F.char_length("text").cast("long")).alias("size")).first()["size"] or 0
+    shards = max(1, -(-size // SHARD))
+    # Labels grow with the documents, so they are not sent to all tasks; one shuffle serves the join and the distinct.
+    texts = docs.filter(fit_on & F.col("text").isNotNull()).select("doc_id", "text").join(known.hint("merge"), "doc_id").distinct()
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard")
+    aside = (F.pmod(F.xxhash64("text", "doc_id"), F.lit(CALIBRATION)) == 0).alias("aside")
+    return materialise(texts.select(shard, aside, F.col("toxic").cast("int").alias("toxic"), "text"), "labelled"), shards
+
+
+def _learner(weights: np.ndarray, squares: np.ndarray, epochs: int, seed: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """What one shard makes of the weights: the rows it changed, as changes of weights and of sums of squares."""
+
+    def learn(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
+        shard = shard.sort_values(["toxic", "text"])
+        texts = [b[x:y] for b, e, _ in tokens(shard["text"].tolist()) for x, y in zip(e, e[1:])]
+        after, sums = weights.copy(), squares.copy()
+        fit(texts, shard["toxic"].to_numpy(np.int64), after, sums, epochs, seed + int(key[0]))
+        row = np.flatnonzero((sums != squares).any(axis=1))
+        change = np.concatenate([after[row] - weights[row], sums[row] - squares[row]], axis=1)
+        return pd.DataFrame(change, columns=[f"c{k}" for k in range(2 * DIM)]).assign(row=row)
+
+    return learn
+
+
+def _counter(net: WordNetwork) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(logits(net, b, e), lang) for b, e, lang in tokens(batch["text"].tolist())]
+            if found:
+                score, lang = (np.concatenate(x) for x in zip(*found))
+                yield pd.DataFrame({"lang": lang, "score": score.astype(float), "toxic": batch["toxic"].to_numpy()})
+
+    return count
+
+
+def _thresholds(rows: DataFrame, net: WordNetwork) -> dict[str, float]:
+    """By language, from all ``rows`` (toxic, text). The driver gets counts by step of a logit, whose number is bounded."""
+    step = F.floor(F.least(F.greatest("score", F.lit(-HIGHEST)), F.lit(HIGHEST)) * STEPS).alias("step")
+    scored = rows.select("toxic", "text").mapInPandas(_counter(net), "lang int, score double, toxic int")
+    counted = scored.groupBy("lang", step).agg(F.min("score").alias("low"), F.max("score").alias("high"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    found = pd.DataFrame([r.asDict() for r in counted.collect()])
+
+    def cut(some: pd.DataFrame) -> float:
+        some = some.groupby("step", as_index=False).agg({"low": "min", "high": "max", "toxic": "sum", "clean": "sum"})
+        return _threshold(*(some[c].to_numpy() for c in ("low", "toxic", "clean", "high")))
+
+    overall, out = cut(found), {}
     for k, name in enumerate(_LANGUAGES):
-        own = language == k
-        enough = min((truth[own] == 0).sum(), (truth[own] == 1).sum()) >= LEAST
-        net.thresholds[name] = _threshold(scores[own], truth[own]) if enough else overall
+        own = found[found["lang"] == k]
+        out[name] = cut(own) if min(own["toxic"].sum(), own["clean"].sum()) >= LEAST else overall
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, fit_on: Column) -> WordNetwork | None:
+    """Fit on every different labelled text, whole, on the executors. None, with a warning, if a class has no text.
+
+    Texts are dealt to shards of bounded size. Each shard trains the network by itself, and a weight becomes the mean over the
+    shards that changed it: ``PASSES`` times over all texts in each of ``ROUNDS`` rounds, or ``EPOCHS`` times if there is one shard.
+    The driver holds the weights (3 MB, and as much again for Adagrad). One text in ``CALIBRATION`` is kept from the fit.
+    By all of these each language gets the threshold that tells most texts right; one with fewer than ``LEAST`` of them in a
+    class has the threshold of all. A text labelled both ways stands in both classes.
+    """
+    with scratch(docs.sparkSession):
+        rows, shards = _labelled(docs, labels, fit_on)
+        classes = {(r.aside, r.toxic) for r in rows.select("aside", "toxic").distinct().collect()}
+        if len({toxic for _, toxic in classes}) < 2:
+            warnings.warn("no texts of two classes of toxic: nothing is learned", stacklevel=2)
+            return None
+        # Of very few texts, either part may lack a class; it is then made up of all of them.
+        kept, left = (rows.filter(F.col("aside") == part) if {(part, 0), (part, 1)} <= classes else rows for part in (False, True))
+        weights, squares = start()
+        changed = [f"c{k}" for k in range(2 * DIM)]
+        schema = ", ".join([*[f"{c} float" for c in changed], "row int"])
+        for k in range(ROUNDS if shards > 1 else 1):
+            learn = _learner(weights, squares, PASSES if shards > 1 else EPOCHS, 11 + k * shards)
+            changes = kept.groupBy("shard").applyInPandas(learn, schema)
+            sums = materialise(changes.groupBy("row").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in changed]), "weights")
+            found = np.array(sums.collect())
+            at, change = found[:, 0].astype(int), (found[:, 2:] / found[:, 1:2]).astype(np.float32)
+            weights[at] += change[:, :DIM]
+            squares[at] += change[:, DIM:]
+            discard(sums)
+        net = _network(weights)
+        net.thresholds = _thresholds(left, net)
     return net
 
 

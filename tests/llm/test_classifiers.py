@@ -185,3 +185,44 @@ def test_attention_gradients_are_those_of_the_loss():
     edges = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
     score = quality._forward(model, np.concatenate(bags), edges)["score"]
     assert np.mean((score >= 0.5) == target) > 0.95
+
+
+def test_toxicity_learns_from_every_labelled_text(spark, insults, monkeypatch):
+    """A word that only long texts have, among which no sample and no limit of length may choose."""
+    rng = random.Random(4)
+    long = [(1000 + i, prose(rng, "aa", 1500) + (" gemein " if i % 2 else " ") + prose(rng, "aa", 900), i % 2) for i in range(60)]
+    assert min(len(t) for _, t, _ in long) > 8_000
+    docs = insults[0].union(spark.createDataFrame([r[:2] for r in long], insults[0].schema))
+    labels = insults[1].union(spark.createDataFrame([(i, 1, bad) for i, _, bad in long], insults[1].schema))
+    short = spark.createDataFrame([(i, prose(rng, "aa", 20) + word + prose(rng, "aa", 20)) for i, word in enumerate([" gemein ", " "] * 20)], "doc_id long, text string")
+    # In one shard and in several, whose weights are averaged.
+    for size in (toxicity.SHARD, 300_000):
+        monkeypatch.setattr(toxicity, "SHARD", size)
+        net = toxicity.train(docs, labels, F.lit(True))
+        found = toxicity.toxic_scores(short, net).collect()
+        assert np.mean([(r.score >= 0.5) == (r.doc_id % 2 == 0) for r in found]) > 0.9
+        found = toxicity.toxic_scores(insults[0], net).join(insults[1], "doc_id").collect()
+        assert np.mean([(r.score >= 0.5) == bool(r.toxic) for r in found]) > 0.9
+
+
+def test_each_different_labelled_text_is_in_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 100)
+    texts = [(i, f"text {i}") for i in range(40)] * 2 + [(7, f"copy {i}") for i in range(3)] + [(8, None), (None, "x"), (99, "unlabelled")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(4, 1), (5, 1), (6, None), (None, 1)], "doc_id long, toxic int")
+    found, shards = toxicity._labelled(docs, labels, F.col("doc_id") < 30)
+    expected = {(i % 2, t) for i, t in texts if i is not None and i < 30 and t} | {(1, "text 4")}
+    assert sorted((r.toxic, r.text) for r in found.collect()) == sorted(expected)
+    assert shards > 3 and {r.shard for r in found.collect()} == set(range(shards))
+    assert {r.aside for r in found.collect()} == {True, False}
+
+
+def test_thresholds_by_counts_are_those_by_texts(spark, insults):
+    net = toxicity.train(*insults, F.lit(True))
+    rows_of = insults[0].join(insults[1], "doc_id").select("toxic", "text")
+    data = rows_of.collect()
+    parts = list(toxicity.tokens([r.text for r in data]))
+    scores = np.concatenate([toxicity.logits(net, b, e) for b, e, _ in parts])
+    other = np.concatenate([lang for *_, lang in parts]) == len(toxicity._LANGUAGES) - 1
+    expected = toxicity._threshold(scores[other], np.array([r.toxic for r in data])[other])
+    assert abs(toxicity._thresholds(rows_of, net)[toxicity.OTHER] - expected) < 2 / toxicity.STEPS
